@@ -46,7 +46,7 @@ TEXT_COLUMNS = {
     "origin": "concat('AP', CAST(l_suppkey % 25 AS STRING))",
     "dep_delay": """CASE WHEN l_partkey % 20 = 0 OR l_suppkey % 53 = 0 THEN NULL
         WHEN l_partkey % 41 = 0 THEN 'late' ELSE CAST(l_quantity * 3 - 30 AS STRING) END""",
-    "arr_delay": """CASE WHEN l_partkey % 20 = 0 THEN ' ' WHEN l_partkey % 43 = 0 THEN '5d'
+    "arr_delay": """CASE WHEN l_partkey % 20 = 0 THEN ' ' WHEN l_partkey % 43 = 0 THEN '5 min'
         ELSE CAST(CAST(l_quantity * 3 - 35 + l_linenumber AS INT) AS STRING) END""",
     "cancelled": """CASE WHEN l_orderkey % 103 = 0 THEN NULL WHEN l_orderkey % 107 = 0 THEN 'no'
         WHEN l_partkey % 20 = 0 THEN '1.0' ELSE '0' END""",

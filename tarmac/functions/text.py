@@ -19,42 +19,34 @@ WHITESPACE = (
 
 
 def stripped(cell: Column) -> Column:
-    """The cell without white space around it, NULL if nothing is left."""
-    return F.nullif(F.btrim(cell, F.lit(WHITESPACE)), F.lit(""))
+    """The cell without white space around it."""
+    return F.btrim(cell, F.lit(WHITESPACE))
 
 
 def number(cell: Column) -> Column:
-    """The cell as a double, NULL if it is blank or not a number.
+    """The cell as a double, NULL if it is blank or not a number."""
+    return cell.try_cast("double")
 
-    Java also reads a trailing type letter ("5d", "7f"), which is not a number here;
-    the pattern only runs on cells that do not end in a digit.
-    """
-    ends_in_digit = F.right(cell, F.lit(1)).between("0", "9")
-    return F.when(ends_in_digit | ~cell.rlike(r"[0-9.][dDfF]\s*$"), cell.try_cast("double"))
 
+def truncated(value: Column) -> Column:
+    """A double as an int, cutting decimals off; NULL if it is too large or not a number."""
+    return value.try_cast("int")
 
-def truncated(cell: Column) -> Column:
-    """The cell as an int, cutting decimals off ("1.0" is 1)."""
-    return F.coalesce(cell.try_cast("int"), number(cell).try_cast("int"))
 
+def whole(value: Column) -> Column:
+    """A double as an int, NULL if it has a fraction."""
+    return F.when(value == F.floor(value), value.try_cast("int"))
 
-def whole(cell: Column) -> Column:
-    """The cell as an int, NULL if it has a fraction ("1.0" is 1, "1.5" is NULL)."""
-    value = number(cell)
-    return F.coalesce(cell.try_cast("int"), F.when(value == F.floor(value), value.try_cast("int")))
 
-
-def as_type(cell: Column, field: T.StructField) -> Column:
-    """The cell as the field's type; the month has to be a whole number."""
+def from_number(value: Column, field: T.StructField) -> Column:
+    """A double as the field's type; the month has to be a whole number."""
     if field.name == "month":
-        return whole(cell)
-    if isinstance(field.dataType, T.IntegerType):
-        return truncated(cell)
-    if isinstance(field.dataType, T.DoubleType):
-        return number(cell)
-    return cell
+        return whole(value)
+    return truncated(value) if isinstance(field.dataType, T.IntegerType) else value
 
 
-def is_junk(cell: Column, field: T.StructField) -> Column:
-    """Whether a cell is neither blank nor a value of the field's type."""
-    return as_type(cell, field).isNull() & (F.btrim(cell, F.lit(WHITESPACE)) != "")
+def from_text(cell: Column, field: T.StructField) -> Column:
+    """A text cell as the field's type. "1.0" is a number in every numeric column."""
+    if isinstance(field.dataType, T.StringType):
+        return cell
+    return from_number(number(cell), field)

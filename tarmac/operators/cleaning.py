@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tarmac.functions.delays import operated, was_cancelled
+from tarmac.functions.text import from_text
 from tarmac.model import CANCELLATION_REASONS, DELAY_CAUSES, FLIGHTS, FLIGHTS_RAW, MANDATORY, NO_REASON
 
 KEYS = ("op_unique_carrier", "origin")
@@ -48,6 +49,11 @@ def select_columns(df: DataFrame, columns=tuple(FLIGHTS_RAW.names)) -> DataFrame
     return df.select(*columns)
 
 
+def cast_columns(df: DataFrame, columns=("month", "arr_delay", "cancelled")) -> DataFrame:
+    """Text columns to the types of the schema; cells that do not fit become NULL."""
+    return df.withColumns({name: from_text(F.col(name), FLIGHTS_RAW[name]) for name in columns})
+
+
 def drop_null_mandatory(df: DataFrame, columns=MANDATORY) -> DataFrame:
     return df.dropna(subset=list(columns))
 

@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 from tarmac.model import SUBSET_SEED, SUBSET_SIZES
 
 DRAW = "_draw"
+RECORD_DIGITS = 32
+RANDOM_DIGITS = 13
 STEP = 4  # hex digits looked at per counting job: at most 65,536 counts for each size
 COPIES_PER_CHUNK = 10_000
 
@@ -43,7 +45,8 @@ def record_draw(columns, seed: int) -> Column:
 
 def random_draw(seed: int) -> Column:
     """An independent draw for each row, fixed by the seed and the row's place in the input."""
-    return _hex(F.rand(seed))
+    whole = (F.rand(seed) * 2.0 ** (4 * RANDOM_DIGITS)).cast("long")
+    return F.lpad(F.lower(F.hex(whole)), RANDOM_DIGITS, "0")
 
 
 def shuffled(df: DataFrame, seed: int = SUBSET_SEED) -> DataFrame:
@@ -55,52 +58,49 @@ def row_count(df: DataFrame) -> DataFrame:
     return df.agg(F.count("*").alias("rows"))
 
 
-def find_cuts(draws: DataFrame, sizes) -> dict[int, Cut]:
+def find_cuts(draws: DataFrame, sizes, width: int) -> dict[int, Cut]:
     """The cut for each size, without those that reach past the last row.
 
     Each job counts the rows by the next digits of their draw, looking only at rows that
     share the digits found so far, until a cut falls between two counts or, among equal
-    draws, the digits run out. Only one row per size comes back to the driver.
+    draws, all ``width`` digits are used up. One row per size comes back to the driver.
     """
     found: dict[int, Cut] = {}
     pending = {n: ("", 0) for n in sizes}  # size -> digits so far, rows below them
     digits = 0
     while pending:
+        parent = F.substring(DRAW, 1, digits)
+        rows = draws.filter(parent.isin({prefix for prefix, _ in pending.values()})) if digits else draws
         digits += STEP
-        parent, cell = F.substring(DRAW, 1, digits - STEP), F.substring(DRAW, 1, digits)
-        counts = (
-            draws.filter(parent.isin({prefix for prefix, _ in pending.values()}))
-            .groupBy(parent.alias("parent"), cell.alias("cell"), (F.length(DRAW) <= digits).alias("last"))
-            .agg(F.count("*").alias("rows"))
+        counts = rows.groupBy(parent.alias("parent"), F.substring(DRAW, 1, digits).alias("cell")).agg(
+            F.count("*").alias("rows")
         )
         up_to = F.sum("rows").over(Window.partitionBy("parent").orderBy("cell"))
-        wanted = F.array(*(F.struct(F.lit(p).alias("p"), F.lit(n).alias("n"), F.lit(b).alias("b"))
-                           for n, (p, b) in pending.items()))
-        hits = (
-            counts.withColumn("up_to", up_to)
-            .withColumn("size", F.explode(wanted))
-            .filter(
-                (F.col("parent") == F.col("size.p"))
-                & (F.col("size.n") - F.col("size.b") <= F.col("up_to"))
-                & (F.col("size.n") - F.col("size.b") > F.col("up_to") - F.col("rows"))
+        sizes_left = F.array(
+            *(
+                F.struct(F.lit(n).alias("n"), F.lit(prefix).alias("prefix"), F.lit(n - below).alias("left"))
+                for n, (prefix, below) in pending.items()
             )
-            .select("size.n", "cell", "rows", "last", (F.col("size.b") + F.col("up_to") - F.col("rows")).alias("below"))
+        )
+        hits = (
+            counts.withColumn("before", up_to - F.col("rows"))
+            .withColumn("size", F.explode(sizes_left))
+            .filter(F.col("parent") == F.col("size.prefix"))
+            .withColumn("keep", F.col("size.left") - F.col("before"))
+            .filter((F.col("keep") > 0) & (F.col("keep") <= F.col("rows")))
+            .select("size.n", "cell", "keep", "rows")
             .collect()
         )
         pending = {}
-        for hit in hits:
-            keep = hit["n"] - hit["below"]
-            if keep == hit["rows"] or hit["last"]:
-                found[hit["n"]] = Cut(hit["cell"], keep, hit["rows"])
+        for n, cell, keep, rows in hits:
+            if keep == rows or digits >= width:
+                found[n] = Cut(cell, keep, rows)
             else:
-                pending[hit["n"]] = (hit["cell"], hit["below"])
+                pending[n] = (cell, n - keep)
     return found
 
 
-def up_to_cut(drawn: DataFrame, cut: Cut | None) -> DataFrame:
-    """The rows up to the cut, all rows if there is none."""
-    if cut is None:
-        return drawn.drop(DRAW)
+def up_to_cut(drawn: DataFrame, cut: Cut) -> DataFrame:
     start = F.substring(DRAW, 1, len(cut.prefix))
     if cut.keep == cut.rows:
         return drawn.filter(start <= cut.prefix).drop(DRAW)
@@ -127,24 +127,20 @@ def size_ladder(
     """
     if any(n < 1 for n in sizes.values()):
         raise ValueError("a subset needs at least one row")
-    total = df.count()
-    sizes = {name: n for name, n in sizes.items() if n <= total}
-    if exact:
-        drawn = df.withColumn(DRAW, record_draw(df.columns, seed))
-        samples = {n: drawn for n in sizes.values()}
-    else:
-        drawn = df.withColumn(DRAW, random_draw(seed))
-        samples = {n: drawn.filter(F.col(DRAW) < _hex(F.lit(n / total))) for n in sizes.values()}
-    cuts = find_cuts(drawn.select(DRAW), sizes.values()) if sizes else {}
-    ladder = {name: up_to_cut(samples[n], cuts.get(n)) for name, n in sizes.items()}
+    width = RECORD_DIGITS if exact else RANDOM_DIGITS
+    drawn = df.withColumn(DRAW, record_draw(df.columns, seed) if exact else random_draw(seed))
+    cuts = find_cuts(drawn.select(DRAW), set(sizes.values()), width)
+    sampled = {n: drawn for n in cuts}
+    if not exact:
+        total = df.count()
+        for n in cuts:
+            if n < total:
+                bound = f"{int(n / total * 16**RANDOM_DIGITS):0{RANDOM_DIGITS}x}"
+                sampled[n] = drawn.filter(F.col(DRAW) < bound)
+    ladder = {name: up_to_cut(sampled[n], cuts[n]) for name, n in sizes.items() if n in cuts}
     return {**ladder, "full": df}
 
 
-def _hex(fraction: Column) -> Column:
-    """A fraction from 0 to 1 as 13 hex digits, in the same order."""
-    return F.lpad(F.lower(F.hex((fraction * 2.0**52).cast("long"))), 13, "0")
-
-
 def _copies(equal: DataFrame, keep: int) -> DataFrame:
     """``keep`` of the rows of ``equal``, which all share one draw and so are copies of one
     record (or, by a rare chance, of a few).

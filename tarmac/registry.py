@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 from tarmac import binding
 from tarmac.functions.delays import delay_band, reason_label
 from tarmac.functions.months import month_name, month_names
-from tarmac.functions.text import as_type
 from tarmac.model import CAUSE_LABELS, DELAY_CAUSES, FLIGHTS, FLIGHTS_RAW, MONTH_NAMES
 from tarmac.operators import cleaning, measures, ranking, subsets
 from tarmac.plans import airport, carrier, quality
@@ -179,11 +178,7 @@ _register(
 _register("drop_column", _raw(cleaning.drop_column), _on_raw("SELECT * EXCLUDE (diverted) FROM flights_raw"))
 _register(
     "cast_columns",
-    _text(
-        lambda df: df.select(
-            *(as_type(F.col(c), FLIGHTS[c]).alias(c) for c in ("month", "arr_delay", "cancelled"))
-        )
-    ),
+    _text(lambda df: cleaning.cast_columns(df).select("month", "arr_delay", "cancelled")),
     _on_text(
         f"""SELECT CASE WHEN {_IS_MONTH} THEN CAST({_number_sql('month')} AS INT) END AS month,
         {_number_sql('arr_delay')} AS arr_delay,
@@ -541,8 +536,15 @@ _DRAW = "md5(concat_ws('|', '42', {}))".format(
 _RUNGS = ", ".join(f"('{name}', {n})" for name, n in _LADDER.items())
 
 
+def _clean_table(spark, sf_dir) -> DataFrame:
+    """The clean flights as a table on disk: the subsets scan it several times."""
+    path = scratch_path(spark, "flights")
+    writing.write_table(binding.flights(spark, sf_dir), path)
+    return spark.read.parquet(path)
+
+
 def _subset_ladder(spark, sf_dir):
-    rungs = subsets.size_ladder(binding.flights(spark, sf_dir), _LADDER, exact=True)
+    rungs = subsets.size_ladder(_clean_table(spark, sf_dir), _LADDER, exact=True)
     totals = [
         df.agg(
             F.lit(name).alias("size"),
@@ -560,10 +562,13 @@ def _subset_ladder(spark, sf_dir):
 
 _register(
     "exact_subset",
-    _clean(lambda df: subsets.exact_subset(df, 5_000)),
+    lambda spark, sf_dir: subsets.exact_subset(_clean_table(spark, sf_dir), 5_000),
     _on_clean(f"SELECT * FROM flights ORDER BY {_DRAW} LIMIT 5000"),
 )
-_register("bernoulli_subset", _clean(lambda df: subsets.bernoulli_subset(df, 5_000)))
+_register(
+    "bernoulli_subset",
+    lambda spark, sf_dir: subsets.bernoulli_subset(_clean_table(spark, sf_dir), 5_000),
+)
 _register(
     "subset_ladder",
     _subset_ladder,

@@ -1,16 +1,20 @@
 """Flight tables from delimited text or Parquet.
 
-Cells are scanned as text and typed by column expressions, so the file is read once (no
-type inference), only the wanted columns are parsed, and junk never fails the job.
+The columns are declared, not inferred, so the file is read once and the CSV reader itself
+turns cells into numbers. Numeric cells are read as doubles first, because a whole number
+may be written "1.0".
 """
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tarmac.functions.text import as_type, is_junk, stripped
+from tarmac.functions.text import from_number, stripped
 from tarmac.model import FLIGHTS, FLIGHTS_RAW
 
 # Quotes inside quoted cells are doubled; the reader and the writer agree on it.
@@ -28,15 +32,17 @@ def header_names(spark: SparkSession, path) -> list[str]:
 
 
 def scan_csv(spark: SparkSession, path, schema: T.StructType = FLIGHTS_RAW) -> DataFrame:
-    """The columns of ``schema``, found by name in the header; other columns are skipped.
+    """The columns of ``schema``, found by name in the header; other columns are not parsed.
 
     A cell that does not fit its type is NULL. Files whose headers differ are an error.
     """
-    text = spark.read.options(**CSV_FORMAT, header=True, enforceSchema=False).csv(path)
-    _check_names(text.columns, schema)
-    return text.select(
-        *(as_type(F.col(f"`{field.name}`"), field).alias(field.name) for field in schema)
+    names = _checked_header(spark, path, schema)
+    lines = (
+        spark.read.schema(_file_schema(names, schema))
+        .options(**CSV_FORMAT, header=True, enforceSchema=False)
+        .csv(path)
     )
+    return lines.select(*(_value(field, F.col(field.name)) for field in schema))
 
 
 def scan_tolerant(spark: SparkSession, path, schema: T.StructType = FLIGHTS) -> DataFrame:
@@ -46,23 +52,25 @@ def scan_tolerant(spark: SparkSession, path, schema: T.StructType = FLIGHTS) ->
     month or cancelled is blank or junk, or if another number is neither blank nor a number.
     Cells lose the white space around them. ``scan_report`` tells how many lines went.
     """
-    lines = _headed_lines(spark, path, schema)
-    return _parsed(lines.filter(_line_status(schema) == "kept"), schema)
+    names = _checked_header(spark, path, schema)
+    return _kept(_lines(spark, path, names, schema, header=True), names, schema)
 
 
 def scan_positional(
     spark: SparkSession, path, schema: T.StructType = FLIGHTS, layout: T.StructType = FLIGHTS
 ) -> DataFrame:
     """Like ``scan_tolerant`` for files laid out as ``layout``, with or without a header."""
-    lines = _lines(spark, path, layout.names, layout, header=False)
-    lines = lines.select(*_wanted(layout.names, schema))
-    return _parsed(lines.filter(_line_status(schema) == "kept"), schema)
+    names = layout.names
+    return _kept(_lines(spark, path, names, schema, header=False), names, schema)
 
 
 def scan_report(spark: SparkSession, path, schema: T.StructType = FLIGHTS) -> DataFrame:
     """How many lines ``scan_tolerant`` keeps and drops, and why, in one pass."""
-    status = _line_status(schema).alias("status")
-    return _headed_lines(spark, path, schema).groupBy(status).agg(F.count("*").alias("lines"))
+    names = _checked_header(spark, path, schema)
+    lines = _lines(spark, path, names, schema, header=True)
+    is_header = F.coalesce(_cells()[0] == names[0], F.lit(False))
+    status = F.when(is_header, "header").when(_is_kept(names, schema), "kept").otherwise("malformed")
+    return lines.groupBy(status.alias("status")).agg(F.count("*").alias("lines"))
 
 
 def read_flights(spark: SparkSession, path, schema: T.StructType = FLIGHTS) -> DataFrame:
@@ -72,60 +80,71 @@ def read_flights(spark: SparkSession, path, schema: T.StructType = FLIGHTS) -> D
     return spark.read.parquet(path).select(*schema.names)
 
 
-def _check_names(names, schema: T.StructType) -> None:
+def _checked_header(spark: SparkSession, path, schema: T.StructType) -> list[str]:
+    names = header_names(spark, path)
     missing = [name for name in schema.names if name not in names]
     if missing:
         raise ValueError(f"columns not in the header: {missing}")
+    return names
 
 
-def _headed_lines(spark: SparkSession, path, schema: T.StructType) -> DataFrame:
-    names = header_names(spark, path)
-    _check_names(names, schema)
-    lines = _lines(spark, path, names, schema, header=True)
-    return lines.select(*_wanted(names, schema))
+def _is_text(field: T.StructField) -> bool:
+    return isinstance(field.dataType, T.StringType)
+
+
+def _file_schema(names, schema: T.StructType) -> T.StructType:
+    """All columns of the file: doubles where ``schema`` wants a number, text elsewhere."""
+    numbers = {field.name for field in schema if not _is_text(field)}
+    return T.StructType(
+        [T.StructField(n, T.DoubleType() if n in numbers else T.StringType()) for n in names]
+    )
 
 
 def _lines(spark: SparkSession, path, names, schema: T.StructType, header: bool) -> DataFrame:
-    fields = [T.StructField(name, T.StringType()) for name in names]
-    fields.append(T.StructField(_BROKEN, T.StringType()))
+    """Typed lines with the text of those that have a bad cell or another number of cells."""
     return (
-        spark.read.schema(T.StructType(fields))
+        spark.read.schema(_file_schema(names, schema).add(_BROKEN, T.StringType()))
         .options(**CSV_FORMAT, header=header, enforceSchema=not header)
+        .options(ignoreLeadingWhiteSpace=True, ignoreTrailingWhiteSpace=True)
         .option("columnNameOfCorruptRecord", _BROKEN)
         .csv(path)
     )
 
 
-def _wanted(names, schema: T.StructType) -> list[Column]:
-    """The wanted cells, and whether the line is too short to have them all.
+def _value(field: T.StructField, cell: Column) -> Column:
+    return (cell if _is_text(field) else from_number(cell, field)).alias(field.name)
+
+
+def _cells() -> Column:
+    """The cells of a broken line, without quotes and blanks around them."""
+    cells = F.split(_BROKEN, _COMMA_OUTSIDE_QUOTES, -1)
+    return F.transform(cells, lambda cell: F.btrim(cell, F.lit(' "')))
 
-    Spark keeps the text of lines whose cell count differs from the header's. Longer lines
-    are fine, and so are shorter ones that only lack unwanted columns.
+
+def _is_kept(names, schema: T.StructType) -> Column:
+    """Whether the line has all wanted cells, no junk among them, and a month and a status.
+
+    A broken line may still be fine: what is wrong can be a column that is not wanted. Its
+    cells are split again to tell junk, a cell with text but no value, from a blank. The test
+    names every wanted number, so a query that needs fewer columns drops the same lines.
     """
+    numbers = [field.name for field in schema if not _is_text(field)]
     needed = 1 + max(names.index(name) for name in schema.names)
-    cells = F.size(F.split(_BROKEN, _COMMA_OUTSIDE_QUOTES))
-    short = F.when(F.col(_BROKEN).isNotNull(), cells < needed).otherwise(F.lit(False))
-    return [*(F.col(f"`{name}`").alias(name) for name in schema.names), short.alias("_short")]
-
-
-def _line_status(schema: T.StructType) -> Column:
-    """"header", "malformed" or "kept"."""
-    first = schema.names[0]
-    status = F.when(F.col(first) == first, "header").when(F.col("_short"), "malformed")
-    for field in schema:
-        cell = F.col(field.name)
-        if field.name in REQUIRED:
-            status = status.when(as_type(cell, field).isNull(), "malformed")
-        elif not isinstance(field.dataType, T.StringType):
-            status = status.when(is_junk(cell, field), "malformed")
-    return status.otherwise("kept")
-
-
-def _parsed(lines: DataFrame, schema: T.StructType) -> DataFrame:
-    cells = {
-        field.name: stripped(F.col(field.name))
-        if isinstance(field.dataType, T.StringType)
-        else as_type(F.col(field.name), field)
-        for field in schema
-    }
-    return lines.select(*(cell.alias(name) for name, cell in cells.items()))
+    values = F.array(*(F.col(name) for name in numbers))
+    places = F.array(*(F.lit(names.index(name)) for name in numbers))
+    texts = F.transform(places, lambda place: F.get(_cells(), place))
+    junk = F.exists(F.zip_with(values, texts, lambda v, text: v.isNull() & (text != "")), lambda bad: bad)
+    fine = (F.size(_cells()) >= needed) & ~junk
+    complete = [
+        from_number(F.col(name), schema[name]).isNotNull() for name in REQUIRED if name in numbers
+    ]
+    return reduce(and_, complete, F.when(F.col(_BROKEN).isNotNull(), fine).otherwise(F.lit(True)))
+
+
+def _kept(lines: DataFrame, names, schema: T.StructType) -> DataFrame:
+    return lines.filter(_is_kept(names, schema)).select(
+        *(
+            _value(field, stripped(F.col(field.name)) if _is_text(field) else F.col(field.name))
+            for field in schema
+        )
+    )
