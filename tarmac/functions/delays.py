@@ -28,7 +28,8 @@ def band_tests(low_below: float = LOW_BELOW, high_above: float = HIGH_ABOVE) ->
     """For each band, whether an operated flight's departure delay lies in it."""
     delay = F.col("dep_delay")
     limits = (delay < low_below, delay.between(low_below, high_above), delay > high_above)
-    return {name: operated() & limit for name, limit in zip(BAND_NAMES, limits)}
+    flew = operated()
+    return {name: flew & limit for name, limit in zip(BAND_NAMES, limits)}
 
 
 def delay_band(low_below: float = LOW_BELOW, high_above: float = HIGH_ABOVE) -> Column:
@@ -49,21 +50,20 @@ def cause_tests(gate_cancelled: bool = True) -> dict[str, Column]:
     ``gate_cancelled=False`` also counts the reason of flights that operated although
     they carry a cancellation code.
     """
-    tests = {
-        label: operated() & (F.col(column) > 0) for column, label in DELAY_CAUSES.items()
-    }
+    flew, stayed = operated(), was_cancelled()
+    tests = {label: flew & (F.col(column) > 0) for column, label in DELAY_CAUSES.items()}
     for reason in CANCELLATION_REASONS.values():
         test = F.col("cancellation_reason") == reason
-        tests[CANCELLATION_PREFIX + reason] = was_cancelled() & test if gate_cancelled else test
+        tests[CANCELLATION_PREFIX + reason] = stayed & test if gate_cancelled else test
     return tests
 
 
-def cause_list() -> Column:
-    """The labels of all causes of one flight, an array of none to five."""
-    reason = F.col("cancellation_reason")
+def possible_causes() -> Column:
+    """An array with one place per kind of cause: its label if it applies to the flight, or
+    NULL. Taking the gaps out here would leave generated code; filter after exploding."""
+    reason, flew = F.col("cancellation_reason"), operated()
     cancelled_for = F.when(was_cancelled() & (reason != NO_REASON), reason_label(reason))
     delayed_by = (
-        F.when(operated() & (F.col(column) > 0), F.lit(label))
-        for column, label in DELAY_CAUSES.items()
+        F.when(flew & (F.col(column) > 0), F.lit(label)) for column, label in DELAY_CAUSES.items()
     )
-    return F.array_compact(F.array(cancelled_for, *delayed_by))
+    return F.array(cancelled_for, *delayed_by)

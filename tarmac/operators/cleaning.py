@@ -73,9 +73,8 @@ def require_delays_if_operated(df: DataFrame) -> DataFrame:
 
 def zero_fill_causes(df: DataFrame) -> DataFrame:
     """Missing causes of delay are 0 minutes if the flight operated, NULL if it did not."""
-    return df.withColumns(
-        {name: F.when(operated(), F.coalesce(F.col(name), F.lit(0.0))) for name in DELAY_CAUSES}
-    )
+    flew, zero = operated(), F.lit(0.0)
+    return df.withColumns({name: F.when(flew, F.coalesce(name, zero)) for name in DELAY_CAUSES})
 
 
 def valid_month(df: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tarmac.functions.delays import cause_list
+from tarmac.functions.delays import possible_causes
 from tarmac.model import CAUSE_LABELS
 
 
@@ -33,7 +33,8 @@ def ranked_causes(labels=CAUSE_LABELS, k: int = 3) -> Column:
 
 def explode_causes(flights: DataFrame, *keep: str) -> DataFrame:
     """One row per flight and cause."""
-    return flights.select(*keep, F.explode(cause_list()).alias("cause"))
+    places = flights.select(*keep, F.explode(possible_causes()).alias("cause"))
+    return places.filter(F.col("cause").isNotNull())
 
 
 def top_causes_by_window(flights: DataFrame, keys=("origin", "month"), k: int = 3) -> DataFrame:

@@ -1,9 +1,9 @@
 """Seeded subsets of a table.
 
-Every row gets a draw, a string of hex digits that is uniform over the rows, and a subset
-of n rows is the n rows with the smallest draws. A few counting jobs find where the n-th
-draw lies; taking the subset is then a filter inside the scan. Nothing is sorted, and there
-is no ``limit``, which would send all the rows it keeps through one task.
+Every row gets a draw, a whole number that is uniform over the rows, and a subset of n rows
+is the n rows with the smallest draws. A few counting jobs find where the n-th draw lies;
+taking the subset is then a filter inside the scan. Nothing is sorted, and there is no
+``limit``, which would send all the rows it keeps through one task.
 
 The input is scanned more than once, so it has to give the same rows in the same order each
 time: pass a table read from files, not the result of another random step.
@@ -19,34 +19,46 @@ from pyspark.sql import functions as F
 from tarmac.model import SUBSET_SEED, SUBSET_SIZES
 
 DRAW = "_draw"
-RECORD_DIGITS = 32
-RANDOM_DIGITS = 13
-STEP = 4  # hex digits looked at per counting job: at most 65,536 counts for each size
+STEP = 16  # bits looked at per counting job: at most 65,536 counts for each size
 COPIES_PER_CHUNK = 10_000
 
 
+class Draw(NamedTuple):
+    """A column of whole numbers from 0 to 2 ** bits - 1."""
+
+    column: Column
+    bits: int
+
+
 class Cut(NamedTuple):
-    """The subset has every row whose draw starts below ``prefix`` and ``keep`` of the
-    ``rows`` rows whose draw starts with it."""
+    """The subset has all rows whose draw is below ``low`` and ``keep`` of the ``rows`` rows
+    whose draw lies from ``low`` to ``high``."""
 
-    prefix: str
+    low: int
+    high: int
     keep: int
     rows: int
 
 
-def record_draw(columns, seed: int) -> Column:
+def random_draw(seed: int) -> Draw:
+    """An independent draw for each row, fixed by the seed and the row's place in the input."""
+    return Draw((F.rand(seed) * 2.0**52).cast("long"), 52)
+
+
+def record_draw(columns, seed: int) -> Draw:
     """A draw that depends only on the seed and the record, not on how it is stored.
 
-    Equal records share it.
+    Equal records share it. The hash skips NULLs, so their places are hashed as well.
     """
-    cells = (F.coalesce(F.col(name).cast("string"), F.lit("\\N")) for name in columns)
-    return F.md5(F.concat_ws("|", F.lit(str(seed)), *cells))
+    gaps = (F.col(name).isNull() for name in columns)
+    return Draw(F.shiftrightunsigned(F.xxhash64(F.lit(seed), *columns, *gaps), 4), 60)
 
 
-def random_draw(seed: int) -> Column:
-    """An independent draw for each row, fixed by the seed and the row's place in the input."""
-    whole = (F.rand(seed) * 2.0 ** (4 * RANDOM_DIGITS)).cast("long")
-    return F.lpad(F.lower(F.hex(whole)), RANDOM_DIGITS, "0")
+def portable_draw(columns, seed: int) -> Draw:
+    """A record's draw that other engines can compute as well, from its text. Slower."""
+    cells = (F.coalesce(F.col(name).cast("string"), F.lit("\\N")) for name in columns)
+    digest = F.md5(F.concat_ws("|", F.lit(str(seed)), *cells))
+    return Draw(F.conv(F.substring(digest, 1, 15), 16, 10).cast("long"), 60)
 
 
 def shuffled(df: DataFrame, seed: int = SUBSET_SEED) -> DataFrame:
@@ -58,98 +70,110 @@ def row_count(df: DataFrame) -> DataFrame:
     return df.agg(F.count("*").alias("rows"))
 
 
-def find_cuts(draws: DataFrame, sizes, width: int) -> dict[int, Cut]:
+def exact_subset(df: DataFrame, n: int, seed: int = SUBSET_SEED, draw: Draw | None = None) -> DataFrame:
+    """Exactly n rows (all, if there are fewer), the same ones however the table is stored."""
+    return exact_ladder(df, {"subset": n}, seed, draw).get("subset", df)
+
+
+def bernoulli_subset(df: DataFrame, n: int, seed: int = SUBSET_SEED) -> DataFrame:
+    """Each row with probability n / row count, and at most n rows."""
+    return size_ladder(df, {"subset": n}, seed).get("subset", df)
+
+
+def size_ladder(
+    df: DataFrame, sizes: dict[str, int] = SUBSET_SIZES, seed: int = SUBSET_SEED
+) -> dict[str, DataFrame]:
+    """Random samples of at most the given sizes and, as "full", the table.
+
+    Sizes above its row count are left out.
+    """
+    draw = random_draw(seed)
+    drawn = df.withColumn(DRAW, draw.column)
+    cuts = find_cuts(drawn.select(DRAW), set(sizes.values()), draw.bits)
+    total = df.count()
+    ladder = {}
+    for name, n in sizes.items():
+        if n in cuts:
+            chance = F.col(DRAW) < int(n / total * 2**draw.bits)
+            ladder[name] = _up_to(drawn if n == total else drawn.filter(chance), cuts[n])
+    return {**ladder, "full": df}
+
+
+def exact_ladder(
+    df: DataFrame,
+    sizes: dict[str, int] = SUBSET_SIZES,
+    seed: int = SUBSET_SEED,
+    draw: Draw | None = None,
+) -> dict[str, DataFrame]:
+    """Like ``size_ladder``, but of exactly the given sizes and chosen by the records."""
+    draw = draw or record_draw(df.columns, seed)
+    drawn = df.withColumn(DRAW, draw.column)
+    cuts = find_cuts(drawn.select(DRAW), set(sizes.values()), draw.bits)
+    ladder = {name: _up_to(drawn, cuts[n]) for name, n in sizes.items() if n in cuts}
+    return {**ladder, "full": df}
+
+
+def find_cuts(draws: DataFrame, sizes, bits: int) -> dict[int, Cut]:
     """The cut for each size, without those that reach past the last row.
 
-    Each job counts the rows by the next digits of their draw, looking only at rows that
-    share the digits found so far, until a cut falls between two counts or, among equal
-    draws, all ``width`` digits are used up. One row per size comes back to the driver.
+    Each job counts the rows by the next bits of their draw, looking only at rows that share
+    the bits found so far, until a cut falls between two counts or, among equal draws, the
+    bits are used up. One row per size comes back to the driver.
     """
+    if any(n < 1 for n in sizes):
+        raise ValueError("a subset needs at least one row")
     found: dict[int, Cut] = {}
-    pending = {n: ("", 0) for n in sizes}  # size -> digits so far, rows below them
-    digits = 0
+    pending = {n: (0, 0) for n in sizes}  # size -> leading bits so far, rows below them
+    unseen = bits
     while pending:
-        parent = F.substring(DRAW, 1, digits)
-        rows = draws.filter(parent.isin({prefix for prefix, _ in pending.values()})) if digits else draws
-        digits += STEP
-        counts = rows.groupBy(parent.alias("parent"), F.substring(DRAW, 1, digits).alias("cell")).agg(
-            F.count("*").alias("rows")
-        )
-        up_to = F.sum("rows").over(Window.partitionBy("parent").orderBy("cell"))
-        sizes_left = F.array(
+        seen, unseen = unseen, max(unseen - STEP, 0)
+        rows = draws
+        if seen < bits:
+            rows = draws.filter(F.shiftright(DRAW, seen).isin({lead for lead, _ in pending.values()}))
+        counts = rows.groupBy(F.shiftright(DRAW, unseen).alias("cell")).agg(F.count("*").alias("rows"))
+        counts = counts.withColumn("lead", F.shiftright("cell", seen - unseen))
+        before = F.sum("rows").over(Window.partitionBy("lead").orderBy("cell")) - F.col("rows")
+        wanted = F.array(
             *(
-                F.struct(F.lit(n).alias("n"), F.lit(prefix).alias("prefix"), F.lit(n - below).alias("left"))
-                for n, (prefix, below) in pending.items()
+                F.struct(F.lit(n).alias("n"), F.lit(lead).alias("lead"), F.lit(n - below).alias("left"))
+                for n, (lead, below) in pending.items()
             )
         )
         hits = (
-            counts.withColumn("before", up_to - F.col("rows"))
-            .withColumn("size", F.explode(sizes_left))
-            .filter(F.col("parent") == F.col("size.prefix"))
+            counts.withColumn("before", before)
+            .withColumn("size", F.explode(wanted))
+            .filter(F.col("lead") == F.col("size.lead"))
             .withColumn("keep", F.col("size.left") - F.col("before"))
             .filter((F.col("keep") > 0) & (F.col("keep") <= F.col("rows")))
             .select("size.n", "cell", "keep", "rows")
             .collect()
         )
         pending = {}
-        for n, cell, keep, rows in hits:
-            if keep == rows or digits >= width:
-                found[n] = Cut(cell, keep, rows)
+        for n, cell, keep, count in hits:
+            if keep == count or unseen == 0:
+                found[n] = Cut(cell << unseen, ((cell + 1) << unseen) - 1, keep, count)
             else:
                 pending[n] = (cell, n - keep)
     return found
 
 
-def up_to_cut(drawn: DataFrame, cut: Cut) -> DataFrame:
-    start = F.substring(DRAW, 1, len(cut.prefix))
+def _up_to(drawn: DataFrame, cut: Cut) -> DataFrame:
     if cut.keep == cut.rows:
-        return drawn.filter(start <= cut.prefix).drop(DRAW)
-    below = drawn.filter(start < cut.prefix).drop(DRAW)
-    return below.unionByName(_copies(drawn.filter(start == cut.prefix).drop(DRAW), cut.keep))
-
-
-def exact_subset(df: DataFrame, n: int, seed: int = SUBSET_SEED) -> DataFrame:
-    """Exactly n rows (all, if there are fewer), the same ones however the table is stored."""
-    return size_ladder(df, {"subset": n}, seed, exact=True).get("subset", df)
-
-
-def bernoulli_subset(df: DataFrame, n: int, seed: int = SUBSET_SEED) -> DataFrame:
-    """Each row with probability n / row count, and at most n rows."""
-    return size_ladder(df, {"subset": n}, seed).get("subset", df)
-
-
-def size_ladder(
-    df: DataFrame, sizes: dict[str, int] = SUBSET_SIZES, seed: int = SUBSET_SEED, exact: bool = False
-) -> dict[str, DataFrame]:
-    """Subsets by name and, as "full", the table; sizes above its row count are left out.
-
-    The subsets are samples of at most the given size, or of exactly that size.
-    """
-    if any(n < 1 for n in sizes.values()):
-        raise ValueError("a subset needs at least one row")
-    width = RECORD_DIGITS if exact else RANDOM_DIGITS
-    drawn = df.withColumn(DRAW, record_draw(df.columns, seed) if exact else random_draw(seed))
-    cuts = find_cuts(drawn.select(DRAW), set(sizes.values()), width)
-    sampled = {n: drawn for n in cuts}
-    if not exact:
-        total = df.count()
-        for n in cuts:
-            if n < total:
-                bound = f"{int(n / total * 16**RANDOM_DIGITS):0{RANDOM_DIGITS}x}"
-                sampled[n] = drawn.filter(F.col(DRAW) < bound)
-    ladder = {name: up_to_cut(sampled[n], cuts[n]) for name, n in sizes.items() if n in cuts}
-    return {**ladder, "full": df}
+        return drawn.filter(F.col(DRAW) <= cut.high).drop(DRAW)
+    below = drawn.filter(F.col(DRAW) < cut.low).drop(DRAW)
+    tied = drawn.filter(F.col(DRAW).between(cut.low, cut.high)).drop(DRAW)
+    return below.unionByName(_some_of(tied, cut.keep))
 
 
-def _copies(equal: DataFrame, keep: int) -> DataFrame:
-    """``keep`` of the rows of ``equal``, which all share one draw and so are copies of one
+def _some_of(tied: DataFrame, keep: int) -> DataFrame:
+    """``keep`` of the rows of ``tied``, which all share one draw and so are copies of one
     record (or, by a rare chance, of a few).
 
     The copies are counted on the map side, so no task ever holds more than one of each,
     and they are written out again in chunks that spread over the tasks.
     """
-    groups = equal.groupBy(*equal.columns).agg(F.count("*").alias("_copies"))
-    before = F.sum("_copies").over(Window.orderBy(*equal.columns)) - F.col("_copies")
+    groups = tied.groupBy(*tied.columns).agg(F.count("*").alias("_copies"))
+    before = F.sum("_copies").over(Window.orderBy(*tied.columns)) - F.col("_copies")
     taken = groups.withColumn("_take", F.least("_copies", F.lit(keep) - before)).filter("_take > 0")
     size = F.lit(COPIES_PER_CHUNK)
     chunks = taken.withColumn("_chunk", F.explode(F.sequence(F.lit(0), F.floor((F.col("_take") - 1) / size))))
@@ -157,5 +181,5 @@ def _copies(equal: DataFrame, keep: int) -> DataFrame:
     return (
         chunks.repartition("_chunk")
         .withColumn("_copy", F.explode(F.sequence(F.lit(1), rest)))
-        .select(*equal.columns)
+        .select(*tied.columns)
     )

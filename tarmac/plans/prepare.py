@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tarmac.model import SUBSET_SEED, SUBSET_SIZES
 from tarmac.operators.cleaning import clean
-from tarmac.operators.subsets import size_ladder
+from tarmac.operators.subsets import exact_ladder, size_ladder
 from tarmac.plans.quality import funnel_counts
 from tarmac.sources.writing import write_csv, write_table
 
@@ -33,7 +33,8 @@ def write_subsets(
 ) -> dict[str, int]:
     """Write ``flight_<size>.csv`` for each rung of the ladder; returns the rows in each."""
     written = {}
-    for name, df in size_ladder(spark.read.parquet(clean_path), sizes, seed, exact).items():
+    ladder = exact_ladder if exact else size_ladder
+    for name, df in ladder(spark.read.parquet(clean_path), sizes, seed).items():
         rows = Observation(f"rows_{name}")
         write_csv(df.observe(rows, F.count("*").alias("rows")), f"{out_dir}/flight_{name}.csv")
         written[name] = rows.get["rows"]

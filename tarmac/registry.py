@@ -536,6 +536,11 @@ _DRAW = "md5(concat_ws('|', '42', {}))".format(
 _RUNGS = ", ".join(f"('{name}', {n})" for name, n in _LADDER.items())
 
 
+def _portable_draw() -> subsets.Draw:
+    """The draw that the SQL can compute too."""
+    return subsets.portable_draw(FLIGHTS.names, 42)
+
+
 def _clean_table(spark, sf_dir) -> DataFrame:
     """The clean flights as a table on disk: the subsets scan it several times."""
     path = scratch_path(spark, "flights")
@@ -544,7 +549,7 @@ def _clean_table(spark, sf_dir) -> DataFrame:
 
 
 def _subset_ladder(spark, sf_dir):
-    rungs = subsets.size_ladder(_clean_table(spark, sf_dir), _LADDER, exact=True)
+    rungs = subsets.exact_ladder(_clean_table(spark, sf_dir), _LADDER, draw=_portable_draw())
     totals = [
         df.agg(
             F.lit(name).alias("size"),
@@ -562,7 +567,7 @@ def _subset_ladder(spark, sf_dir):
 
 _register(
     "exact_subset",
-    lambda spark, sf_dir: subsets.exact_subset(_clean_table(spark, sf_dir), 5_000),
+    lambda spark, sf_dir: subsets.exact_subset(_clean_table(spark, sf_dir), 5_000, draw=_portable_draw()),
     _on_clean(f"SELECT * FROM flights ORDER BY {_DRAW} LIMIT 5000"),
 )
 _register(

@@ -49,9 +49,9 @@ def test_exact_subsets_are_nested(table):
 
 
 def test_exact_subset_equals_sorting_everything(table):
-    drawn = table.withColumn("draw", subsets.record_draw(table.columns, 42))
-    want = drawn.orderBy("draw").limit(1000).drop("draw")
-    assert bag(subsets.exact_subset(table, 1000)) == bag(want)
+    for draw in (subsets.record_draw(table.columns, 42), subsets.portable_draw(table.columns, 42)):
+        want = table.withColumn("draw", draw.column).orderBy("draw").limit(1000).drop("draw")
+        assert bag(subsets.exact_subset(table, 1000, draw=draw)) == bag(want)
 
 
 def hot_table(spark, path, copies=30_000):
@@ -65,7 +65,7 @@ def hot_table(spark, path, copies=30_000):
 
 def test_a_record_with_most_of_the_rows_is_cut_exactly(spark, tmp_path):
     df = hot_table(spark, str(tmp_path / "hot"))
-    draws = df.withColumn("draw", subsets.record_draw(df.columns, 42))
+    draws = df.withColumn("draw", subsets.record_draw(df.columns, 42).column)
     below = draws.filter(F.col("draw") < draws.filter("name = 'copy'").first().draw).count()
     for n in (below, below + 1, below + 12_345, below + 29_999, below + 30_000, below + 30_001):
         got = bag(subsets.exact_subset(df, n))
@@ -96,7 +96,7 @@ def test_bernoulli_cap_binds_for_some_seeds(table):
 
 
 def test_ladder_leaves_out_sizes_above_the_table(table):
-    ladder = subsets.size_ladder(table, {"a": 100, "b": 5164, "c": 5165}, exact=True)
+    ladder = subsets.exact_ladder(table, {"a": 100, "b": 5164, "c": 5165})
     assert {name: df.count() for name, df in ladder.items()} == {"a": 100, "b": 5164, "full": 5164}
     ladder = subsets.size_ladder(table, {"a": 100, "b": 5164, "c": 5165})
     assert list(ladder) == ["a", "b", "full"]
@@ -121,3 +121,19 @@ def test_shuffle_keeps_all_rows_in_another_order(table):
     got = [tuple(r) for r in shuffled.collect()]
     assert got != rows and got == [tuple(r) for r in subsets.shuffled(table).collect()]
     assert got != [tuple(r) for r in subsets.shuffled(table, 7).collect()]
+
+
+def test_records_that_differ_in_where_a_value_is_missing_draw_differently(spark):
+    df = spark.createDataFrame([(1, None), (None, 1)], "a int, b int")
+    draw = subsets.record_draw(df.columns, 42).column
+    assert df.select(draw).distinct().count() == 2
+
+
+def test_records_that_share_a_draw_are_still_cut_exactly(spark, tmp_path):
+    path = str(tmp_path / "shared")
+    write_table(spark.range(1000).select((F.col("id") % 40).alias("id")), path)
+    df = spark.read.parquet(path)
+    coarse = subsets.Draw(F.col("id") % 4, 2)
+    for n in (1, 249, 250, 251, 618, 1000):
+        got = bag(subsets.exact_subset(df, n, draw=coarse))
+        assert sum(got.values()) == n and not got - bag(df)
