@@ -105,7 +105,10 @@ def exact_ladder(
     seed: int = SUBSET_SEED,
     draw: Draw | None = None,
 ) -> dict[str, DataFrame]:
-    """Like ``size_ladder``, but of exactly the given sizes and chosen by the records."""
+    """Like ``size_ladder``, but of exactly the given sizes and chosen by the records.
+
+    A draw that is costly to compute can be stored as a column of the table and named here.
+    """
     draw = draw or record_draw(df.columns, seed)
     drawn = df.withColumn(DRAW, draw.column)
     cuts = find_cuts(drawn.select(DRAW), set(sizes.values()), draw.bits)

@@ -536,20 +536,28 @@ _DRAW = "md5(concat_ws('|', '42', {}))".format(
 _RUNGS = ", ".join(f"('{name}', {n})" for name, n in _LADDER.items())
 
 
-def _portable_draw() -> subsets.Draw:
-    """The draw that the SQL can compute too."""
-    return subsets.portable_draw(FLIGHTS.names, 42)
-
-
-def _clean_table(spark, sf_dir) -> DataFrame:
-    """The clean flights as a table on disk: the subsets scan it several times."""
+def _clean_table(spark, sf_dir, *more) -> DataFrame:
+    """The clean flights, and more columns, as a table on disk: subsets scan it repeatedly."""
     path = scratch_path(spark, "flights")
-    writing.write_table(binding.flights(spark, sf_dir), path)
+    writing.write_table(binding.flights(spark, sf_dir).select("*", *more), path)
     return spark.read.parquet(path)
 
 
+def _drawn_table(spark, sf_dir) -> tuple[DataFrame, subsets.Draw]:
+    """The clean flights with a stored draw that the SQL can compute as well."""
+    draw = subsets.portable_draw(FLIGHTS.names, 42)
+    table = _clean_table(spark, sf_dir, draw.column.alias("draw"))
+    return table, subsets.Draw(F.col("draw"), draw.bits)
+
+
+def _exact_subset(spark, sf_dir):
+    table, draw = _drawn_table(spark, sf_dir)
+    return subsets.exact_subset(table, 5_000, draw=draw).drop("draw")
+
+
 def _subset_ladder(spark, sf_dir):
-    rungs = subsets.exact_ladder(_clean_table(spark, sf_dir), _LADDER, draw=_portable_draw())
+    table, draw = _drawn_table(spark, sf_dir)
+    rungs = subsets.exact_ladder(table, _LADDER, draw=draw)
     totals = [
         df.agg(
             F.lit(name).alias("size"),
@@ -567,7 +575,7 @@ def _subset_ladder(spark, sf_dir):
 
 _register(
     "exact_subset",
-    lambda spark, sf_dir: subsets.exact_subset(_clean_table(spark, sf_dir), 5_000, draw=_portable_draw()),
+    _exact_subset,
     _on_clean(f"SELECT * FROM flights ORDER BY {_DRAW} LIMIT 5000"),
 )
 _register(
