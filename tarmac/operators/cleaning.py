@@ -108,7 +108,11 @@ def nullify_code_operated(df: DataFrame) -> DataFrame:
 
 
 def clean(raw: DataFrame) -> DataFrame:
-    """Raw flights to clean flights. No step shuffles: the whole chain runs inside the scan."""
+    """Raw flights to clean flights. No step shuffles: the whole chain runs inside the scan.
+
+    Blank keys go before the keys are normalised, so that the filter does not have to
+    normalise them too.
+    """
     return (
         raw.transform(select_columns)
         .transform(drop_null_mandatory)
@@ -117,8 +121,8 @@ def clean(raw: DataFrame) -> DataFrame:
         .transform(require_delays_if_operated)
         .transform(zero_fill_causes)
         .transform(valid_month)
-        .transform(normalize_strings)
         .transform(drop_empty_keys)
+        .transform(normalize_strings)
         .transform(validate_codes)
         .transform(map_reason)
         .transform(nullify_code_operated)
