@@ -1,6 +1,6 @@
 """Command line: ``spark-submit run.py <command> ...`` or ``python -m tarmac <command> ...``.
 
-prepare RAW.csv OUT          clean table OUT/clean, quality report OUT/quality, subsets OUT/input
+prepare RAW.csv OUT          clean table OUT/clean, subsets OUT/input; prints the quality report
 carrier-report FLIGHTS OUT   one JSON document per carrier
 airport-report FLIGHTS OUT   one JSON document per airport
 
@@ -53,6 +53,9 @@ def prepare(spark: SparkSession, args: argparse.Namespace) -> None:
     funnel = write_clean(scan_csv(spark, args.raw), f"{args.out}/clean")
     for step, rows in funnel.items():
         print(f"{step:20} {rows:>15,}")
+    read, kept = funnel["raw"], list(funnel.values())[-1]
+    share = f" ({(read - kept) / read:.1%})" if read else ""
+    print(f"{'removed':20} {read - kept:>15,}{share}")
     flights = spark.read.parquet(f"{args.out}/clean")
     rows_by(flights, "month").show()
     top_carriers(flights).show()

@@ -29,6 +29,14 @@ def test_prepare_writes_table_and_subsets(spark, sf_dir, out):
     assert sorted(p.name for p in (out / "input").iterdir()) == ["flight_1k.csv", "flight_full.csv"]
 
 
+def test_prepare_prints_the_quality_report(spark, out, tmp_path, capsys):
+    main(["prepare", str(out / "raw.csv"), str(tmp_path), "--size", "1k=1000", "--exact"], spark)
+    lines = [line.split() for line in capsys.readouterr().out.splitlines()]
+    assert ["raw", "6,000"] in lines and ["keys_not_blank", "5,164"] in lines
+    assert ["removed", "836", "(13.9%)"] in lines
+    assert ["flight_1k.csv", "1,000"] in lines and ["flight_full.csv", "5,164"] in lines
+
+
 def test_counts_taken_while_writing_equal_the_funnel(spark, sf_dir, tmp_path):
     raw = binding.flights_raw(spark, sf_dir)
     want = {row.step: row.rows for row in cleaning_funnel(raw).collect()}
