@@ -117,7 +117,8 @@ def _value(field: T.StructField, cell: Column) -> Column:
 
 def _cells() -> Column:
     """The cells of a broken line, without quotes and blanks around them."""
-    cells = F.split(_BROKEN, _COMMA_OUTSIDE_QUOTES, -1)
+    line = F.col(_BROKEN)
+    cells = F.when(line.contains('"'), F.split(line, _COMMA_OUTSIDE_QUOTES, -1)).otherwise(F.split(line, ",", -1))
     return F.transform(cells, lambda cell: F.btrim(cell, F.lit(' "')))
 
 
@@ -132,9 +133,13 @@ def _is_kept(names, schema: T.StructType) -> Column:
     needed = 1 + max(names.index(name) for name in schema.names)
     values = F.array(*(F.col(name) for name in numbers))
     places = F.array(*(F.lit(names.index(name)) for name in numbers))
-    texts = F.transform(places, lambda place: F.get(_cells(), place))
-    junk = F.exists(F.zip_with(values, texts, lambda v, text: v.isNull() & (text != "")), lambda bad: bad)
-    fine = (F.size(_cells()) >= needed) & ~junk
+
+    def is_fine(cells: Column) -> Column:
+        texts = F.transform(places, lambda place: F.get(cells, place))
+        junk = F.zip_with(values, texts, lambda value, text: value.isNull() & (text != ""))
+        return (F.size(cells) >= needed) & ~F.exists(junk, lambda bad: bad)
+
+    fine = F.exists(F.array(_cells()), is_fine)  # names the cells, so a line is split once
     complete = [
         from_number(F.col(name), schema[name]).isNotNull() for name in REQUIRED if name in numbers
     ]
