@@ -101,12 +101,15 @@ def _file_schema(names, schema: T.StructType) -> T.StructType:
 
 
 def _lines(spark: SparkSession, path, names, schema: T.StructType, header: bool) -> DataFrame:
-    """Typed lines with the text of those that have a bad cell or another number of cells."""
+    """Typed lines with the text of those that have a bad cell or another number of cells.
+
+    Without column pruning the reader sees all cells of a line and notices a short one.
+    """
     return (
         spark.read.schema(_file_schema(names, schema).add(_BROKEN, T.StringType()))
         .options(**CSV_FORMAT, header=header, enforceSchema=not header)
         .options(ignoreLeadingWhiteSpace=True, ignoreTrailingWhiteSpace=True)
-        .option("columnNameOfCorruptRecord", _BROKEN)
+        .options(columnNameOfCorruptRecord=_BROKEN, columnPruning=False)
         .csv(path)
     )
 

@@ -194,3 +194,17 @@ def test_blank_keys_are_dropped_before_a_report(spark, tmp_path):
     path = write_lines(tmp_path / "f.csv", ['1,"  ",JFK,2,0', "1,,JFK,2,0", "1,AA,,2,0", "1,AA,JFK,2,0"], header=header)
     df = drop_empty_keys(reading.scan_tolerant(spark, path, FEW))
     assert df.agg(F.count("*")).first()[0] == 1
+
+
+def test_text_columns_alone(spark, tmp_path):
+    path = write_lines(tmp_path / "f.csv", ["1,AA,JFK,2,0", "1"], header=",".join(FEW.names))
+    assert kept(spark, path, subset_of(FLIGHTS_RAW, ("op_unique_carrier", "origin"))) == [("AA", "JFK")]
+
+
+def test_short_lines_go_even_if_the_file_has_more_columns(spark, tmp_path):
+    header = "month,cancelled,op_unique_carrier,origin,arr_delay,more,and_more"
+    lines = ["1,0,AA,JFK,2,x,y", "1,0,AA,JFK,3", "1,0,AA,JFK", "1,0,AA"]
+    path = write_lines(tmp_path / "f.csv", lines, header=header)
+    assert kept(spark, path) == [(1, "AA", "JFK", 2.0, 0), (1, "AA", "JFK", 3.0, 0)]
+    assert rows_of(reading.scan_report(spark, path, FEW)) == [("kept", 2), ("malformed", 2)]
+    assert reading.scan_tolerant(spark, path, FEW).select("month").count() == 2
