@@ -8,7 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarmac.llm import bagminhash, packing, private_data, rules, token_files, toxicity, weak_labels
+from tarmac.llm import (
+    bagminhash,
+    language_model,
+    packing,
+    pieces,
+    private_data,
+    rules,
+    token_files,
+    toxicity,
+    vectors,
+    weak_labels,
+)
 from tarmac.llm.ship import ship
 from tarmac.llm.store import documents, saved
 from tarmac.sources.scratch import scratch_path
@@ -102,3 +113,27 @@ def packed_digests(placed: DataFrame) -> DataFrame:
     return placed.select(
         "doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset"
     )
+
+
+@_query
+def op2_pieces(spark, sf_dir):
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    spelt = pieces.decoded(pieces.encoded(documents(spark, sf_dir), path), path)
+    return spelt.select(
+        "doc_id",
+        (F.length("ids") / 4).cast("long").alias("n_pieces"),
+        F.crc32("ids").alias("ids_crc32"),
+        F.crc32("text").alias("text_crc32"),
+    )
+
+
+@_query
+def op4_vectors(spark, sf_dir):
+    return vectors.near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+@_query
+def op10_pseudo_likelihood(spark, sf_dir):
+    docs = documents(spark, sf_dir)
+    words, network = language_model.fit(docs)
+    return language_model.scored(docs, words, network)
