@@ -25,7 +25,12 @@ def was_cancelled() -> Column:
 
 
 def band_tests(low_below: float = LOW_BELOW, high_above: float = HIGH_ABOVE) -> dict[str, Column]:
-    """For each band, whether an operated flight's departure delay lies in it."""
+    """For each band, whether an operated flight's departure delay lies in it.
+
+    The bands exclude each other, so the limits must not cross.
+    """
+    if low_below > high_above:
+        raise ValueError(f"a delay below {low_below} and above {high_above} would be in two bands")
     delay = F.col("dep_delay")
     limits = (delay < low_below, delay.between(low_below, high_above), delay > high_above)
     flew = operated()

@@ -24,8 +24,11 @@ def stripped(cell: Column) -> Column:
 
 
 def number(cell: Column) -> Column:
-    """The cell as a double, NULL if it is blank or not a number."""
-    return cell.try_cast("double")
+    """The cell as a double, NULL if it is blank or not a number.
+
+    Type letters and hexadecimal digits, which Java reads as part of a number, are junk.
+    """
+    return F.when(~cell.rlike("[dDfFxX]"), cell.try_cast("double"))
 
 
 def truncated(value: Column) -> Column:

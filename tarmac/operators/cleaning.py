@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tarmac.functions.delays import operated, was_cancelled
-from tarmac.functions.text import from_text
+from tarmac.functions.text import from_text, stripped
 from tarmac.model import CANCELLATION_REASONS, DELAY_CAUSES, FLIGHTS, FLIGHTS_RAW, MANDATORY, NO_REASON
 
 KEYS = ("op_unique_carrier", "origin")
@@ -40,7 +40,7 @@ def has_valid_month() -> Column:
 
 
 def has_keys(keys=KEYS) -> Column:
-    return reduce(and_, (F.trim(F.col(key)) != "" for key in keys))
+    return reduce(and_, (stripped(F.col(key)) != "" for key in keys))
 
 
 # --- Steps --------------------------------------------------------------------------
@@ -82,7 +82,7 @@ def valid_month(df: DataFrame) -> DataFrame:
 
 
 def normalize_strings(df: DataFrame, columns=KEYS) -> DataFrame:
-    return df.withColumns({name: F.trim(F.upper(F.col(name))) for name in columns})
+    return df.withColumns({name: stripped(F.upper(F.col(name))) for name in columns})
 
 
 def drop_empty_keys(df: DataFrame, keys=KEYS) -> DataFrame:

@@ -178,7 +178,8 @@ def _some_of(tied: DataFrame, keep: int) -> DataFrame:
     groups = tied.groupBy(*tied.columns).agg(F.count("*").alias("_copies"))
     before = F.sum("_copies").over(Window.orderBy(*tied.columns)) - F.col("_copies")
     taken = groups.withColumn("_take", F.least("_copies", F.lit(keep) - before)).filter("_take > 0")
-    size = F.lit(COPIES_PER_CHUNK)
+    # neither the chunks nor the copies of a chunk are more than about the square root of the copies
+    size = F.greatest(F.lit(COPIES_PER_CHUNK), F.ceil(F.sqrt("_take")))
     chunks = taken.withColumn("_chunk", F.explode(F.sequence(F.lit(0), F.floor((F.col("_take") - 1) / size))))
     rest = F.least(size, F.col("_take") - F.col("_chunk") * size)
     return (

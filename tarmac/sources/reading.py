@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tarmac.functions.text import from_number, stripped
+from tarmac.functions.text import from_number, number, stripped
 from tarmac.model import FLIGHTS, FLIGHTS_RAW
 
 # Quotes inside quoted cells are doubled; the reader and the writer agree on it.
@@ -22,8 +22,12 @@ CSV_FORMAT = {"sep": ",", "quote": '"', "escape": '"'}
 
 REQUIRED = ("month", "cancelled")
 
-_BROKEN = "_broken_line"
-_COMMA_OUTSIDE_QUOTES = r',(?=(?:[^"]*"[^"]*")*[^"]*$)'
+# A whole line as one cell: nothing separates and nothing quotes.
+LINE_FORMAT = {"sep": "\u0001\u0002\u0003", "quote": ""}
+
+_CELLS = "_cells"
+_HIDDEN_COMMA = "\u0001"
+_QUOTED_BLANK = "\u0002"  # is an empty text, while a blank without quotes is none
 
 
 def header_names(spark: SparkSession, path) -> list[str]:
@@ -51,6 +55,9 @@ def scan_tolerant(spark: SparkSession, path, schema: T.StructType = FLIGHTS) ->
     A line is dropped if it repeats the header, if it ends before one of the columns, if
     month or cancelled is blank or junk, or if another number is neither blank nor a number.
     Cells lose the white space around them. ``scan_report`` tells how many lines went.
+
+    Lines are split here and not by the CSV reader, in time that is linear in the line and only
+    up to the last column wanted: no line, however long or badly quoted, fails the job.
     """
     names = _checked_header(spark, path, schema)
     return _kept(_lines(spark, path, names, schema, header=True), names, schema)
@@ -68,23 +75,33 @@ def scan_report(spark: SparkSession, path, schema: T.StructType = FLIGHTS) -> Da
     """How many lines ``scan_tolerant`` keeps and drops, and why, in one pass."""
     names = _checked_header(spark, path, schema)
     lines = _lines(spark, path, names, schema, header=True)
-    is_header = F.coalesce(_cells()[0] == names[0], F.lit(False))
+    is_header = F.coalesce(F.lower(F.trim(_cell(0))) == names[0].lower(), F.lit(False))
     status = F.when(is_header, "header").when(_is_kept(names, schema), "kept").otherwise("malformed")
     return lines.groupBy(status.alias("status")).agg(F.count("*").alias("lines"))
 
 
-def read_flights(spark: SparkSession, path, schema: T.StructType = FLIGHTS) -> DataFrame:
-    """Clean flights from a Parquet table or, by the ending ``.csv``, from delimited text."""
-    if str(path).rstrip("/").endswith(".csv"):
+def read_flights(spark: SparkSession, path, schema: T.StructType = FLIGHTS, form: str | None = None) -> DataFrame:
+    """Clean flights from a Parquet table or delimited text.
+
+    ``form`` is "csv" or "parquet"; without it a path that ends in ``.csv`` or ``.csv.gz`` is text.
+    """
+    if form is None:
+        form = "csv" if str(path).rstrip("/").endswith((".csv", ".csv.gz")) else "parquet"
+    if form == "csv":
         return scan_tolerant(spark, path, schema)
     return spark.read.parquet(path).select(*schema.names)
 
 
 def _checked_header(spark: SparkSession, path, schema: T.StructType) -> list[str]:
-    names = header_names(spark, path)
+    """The header's names, in the letters of ``schema`` where they differ only in case."""
+    known = {name.lower(): name for name in schema.names}
+    names = [known.get(name.strip().lower(), name) for name in header_names(spark, path)]
     missing = [name for name in schema.names if name not in names]
     if missing:
         raise ValueError(f"columns not in the header: {missing}")
+    twice = [name for name in schema.names if names.count(name) > 1]
+    if twice:
+        raise ValueError(f"columns more than once in the header: {twice}")
     return names
 
 
@@ -101,58 +118,67 @@ def _file_schema(names, schema: T.StructType) -> T.StructType:
 
 
 def _lines(spark: SparkSession, path, names, schema: T.StructType, header: bool) -> DataFrame:
-    """Typed lines with the text of those that have a bad cell or another number of cells.
+    """The cells of each line, up to the last one wanted; the rest of the line is one more."""
+    whole = spark.read.options(**LINE_FORMAT, header=header)
+    (text,) = whole.csv(path).columns if header else ("line",)
+    lines = whole.options(enforceSchema=not header).schema(T.StructType([T.StructField(text, T.StringType())])).csv(path)
+    line = F.col(f"`{text.replace('`', '``')}`")
+    # as a generator, so that a line is split once and not again for each column
+    return lines.select(F.explode(F.array(_split(line, _needed(names, schema)))).alias(_CELLS))
 
-    Without column pruning the reader sees all cells of a line and notices a short one.
-    """
-    return (
-        spark.read.schema(_file_schema(names, schema).add(_BROKEN, T.StringType()))
-        .options(**CSV_FORMAT, header=header, enforceSchema=not header)
-        .options(ignoreLeadingWhiteSpace=True, ignoreTrailingWhiteSpace=True)
-        .options(columnNameOfCorruptRecord=_BROKEN, columnPruning=False)
-        .csv(path)
+
+def _needed(names, schema: T.StructType) -> int:
+    return 1 + max(names.index(name) for name in schema.names)
+
+
+def _split(line: Column, needed: int) -> Column:
+    """Cells without quotes and white space around them. Of the pieces between quotes every second one
+    is inside; commas there do not separate."""
+
+    def unquoted(cell: Column) -> Column:
+        bare = stripped(F.translate(cell, _HIDDEN_COMMA, ","))
+        inside = stripped(F.replace(F.substring(bare, F.lit(2), F.length(bare) - 2), F.lit('""'), F.lit('"')))
+        quoted = bare.startswith('"') & bare.endswith('"') & (F.length(bare) > 1)
+        return F.when(quoted & (inside == ""), F.lit(_QUOTED_BLANK)).when(quoted, inside).otherwise(bare)
+
+    between = F.transform(
+        F.split(line, '"', -1),
+        lambda piece, i: F.when(i % 2 == 1, F.translate(piece, ",", _HIDDEN_COMMA)).otherwise(piece),
     )
+    quoted = F.transform(F.split(F.array_join(between, '"'), ",", needed + 1), unquoted)
+    return F.when(line.contains('"'), quoted).otherwise(F.split(line, ",", needed + 1))
 
 
-def _value(field: T.StructField, cell: Column) -> Column:
-    return (cell if _is_text(field) else from_number(cell, field)).alias(field.name)
+def _cell(place: int) -> Column:
+    return F.get(F.col(_CELLS), F.lit(place))
 
 
-def _cells() -> Column:
-    """The cells of a broken line, without quotes and blanks around them."""
-    line = F.col(_BROKEN)
-    cells = F.when(line.contains('"'), F.split(line, _COMMA_OUTSIDE_QUOTES, -1)).otherwise(F.split(line, ",", -1))
-    return F.transform(cells, lambda cell: F.btrim(cell, F.lit(' "')))
+def _text(place: int) -> Column:
+    """A cell's text, NULL if it is blank or missing."""
+    bare = stripped(_cell(place))
+    return F.when(bare == _QUOTED_BLANK, F.lit("")).when(bare != "", bare)
 
 
 def _is_kept(names, schema: T.StructType) -> Column:
     """Whether the line has all wanted cells, no junk among them, and a month and a status.
 
-    A broken line may still be fine: what is wrong can be a column that is not wanted. Its
-    cells are split again to tell junk, a cell with text but no value, from a blank. The test
-    names every wanted number, so a query that needs fewer columns drops the same lines.
+    The test names every wanted number, so a query that needs fewer columns drops the same lines.
     """
-    numbers = [field.name for field in schema if not _is_text(field)]
-    needed = 1 + max(names.index(name) for name in schema.names)
-    values = F.array(*(F.col(name) for name in numbers))
-    places = F.array(*(F.lit(names.index(name)) for name in numbers))
-
-    def is_fine(cells: Column) -> Column:
-        texts = F.transform(places, lambda place: F.get(cells, place))
-        junk = F.zip_with(values, texts, lambda value, text: value.isNull() & (text != ""))
-        return (F.size(cells) >= needed) & ~F.exists(junk, lambda bad: bad)
-
-    fine = F.exists(F.array(_cells()), is_fine)  # names the cells, so a line is split once
-    complete = [
-        from_number(F.col(name), schema[name]).isNotNull() for name in REQUIRED if name in numbers
-    ]
-    return reduce(and_, complete, F.when(F.col(_BROKEN).isNotNull(), fine).otherwise(F.lit(True)))
+    fine = [F.size(_CELLS) >= _needed(names, schema)]
+    for field in schema:
+        if _is_text(field):
+            continue
+        cell = _cell(names.index(field.name))
+        if field.name in REQUIRED:
+            fine.append(from_number(number(cell), field).isNotNull())
+        else:  # what is no number is looked at once more
+            fine.append(number(cell).isNotNull() | F.coalesce(stripped(cell), F.lit("")).isin("", _QUOTED_BLANK))
+    return reduce(and_, fine)
 
 
 def _kept(lines: DataFrame, names, schema: T.StructType) -> DataFrame:
-    return lines.filter(_is_kept(names, schema)).select(
-        *(
-            _value(field, stripped(F.col(field.name)) if _is_text(field) else F.col(field.name))
-            for field in schema
-        )
-    )
+    def value(field: T.StructField) -> Column:
+        place = names.index(field.name)
+        return _text(place) if _is_text(field) else from_number(number(_cell(place)), field)
+
+    return lines.filter(_is_kept(names, schema)).select(*(value(field).alias(field.name) for field in schema))

@@ -55,10 +55,15 @@ def test_reports_from_table_and_text(out, tmp_path, source):
 
 
 def test_band_limits_are_options(out, tmp_path):
-    main(["airport-report", str(out / "clean"), str(tmp_path / "r"), "--low-below", "1000"])
+    main(["airport-report", str(out / "clean"), str(tmp_path / "r"), "--low-below", "1000", "--high-above", "1000"])
     bands = [m["bands"] for d in documents(tmp_path / "r") for m in d["months"]]
     assert sum(b["low"]["count"] for b in bands) == 1389 + 1496 + 2005
-    assert all(b["medium"] == {"count": 0, "avg_dep_delay": None, "avg_arr_delay": None} for b in bands)
+    assert all(b[n] == {"count": 0, "avg_dep_delay": None, "avg_arr_delay": None} for b in bands for n in ("medium", "high"))
+
+
+def test_crossing_band_limits_are_refused(out, tmp_path):
+    with pytest.raises(ValueError, match="two bands"):
+        main(["airport-report", str(out / "clean"), str(tmp_path / "r"), "--low-below", "1000"])
 
 
 def test_existing_report_can_be_kept(out, tmp_path):

@@ -188,7 +188,7 @@ def test_scratch_folder_is_local_only_in_local_mode():
 
 
 def test_blank_keys_are_dropped_before_a_report(spark, tmp_path):
-    from tarmac.operators.cleaning import drop_empty_keys
+    from tarmac.operators.cleaning import drop_empty_keys, normalize_strings
 
     header = ",".join(FEW.names)
     path = write_lines(tmp_path / "f.csv", ['1,"  ",JFK,2,0', "1,,JFK,2,0", "1,AA,,2,0", "1,AA,JFK,2,0"], header=header)
@@ -208,3 +208,50 @@ def test_short_lines_go_even_if_the_file_has_more_columns(spark, tmp_path):
     assert kept(spark, path) == [(1, "AA", "JFK", 2.0, 0), (1, "AA", "JFK", 3.0, 0)]
     assert rows_of(reading.scan_report(spark, path, FEW)) == [("kept", 2), ("malformed", 2)]
     assert reading.scan_tolerant(spark, path, FEW).select("month").count() == 2
+
+
+@pytest.mark.parametrize(
+    ("line", "keeps"),
+    [
+        ("1,AA,JFK,2,0" + "," * 30_000, True),
+        ('1,"AA","JFK",2,0' + ',"x,y"' * 50_000, True),
+        ('1,"AA,JFK,2,0', False),  # never closed
+        ("1,AA,JFK,2,0," + "x" * 1_000_000, True),
+        ("1," + "A" * 1_000_000 + ",JFK,2,0", True),
+        ('"' * 100_001, False),
+        ("1,AA,JFK,5d,0", False),
+        ("1,AA,JFK,6f,0", False),
+        ("1,AA,JFK,0x1p3,0", False),
+    ],
+)
+def test_no_line_fails_the_scan(spark, tmp_path, line, keeps):
+    path = write_lines(tmp_path / "f.csv", ["1,BB,JFK,2,0", line], header=",".join(FEW.names))
+    df = reading.scan_tolerant(spark, path, FEW)
+    assert df.count() == 1 + keeps
+    assert rows_of(reading.scan_report(spark, path, FEW)) == ([("kept", 2)] if keeps else [("kept", 1), ("malformed", 1)])
+
+
+def test_text_columns_alone_can_be_counted(spark, tmp_path):
+    path = write_lines(tmp_path / "f.csv", ["1,AA,JFK,2,0", "1"], header=",".join(FEW.names))
+    assert reading.scan_tolerant(spark, path, subset_of(FLIGHTS_RAW, ("op_unique_carrier", "origin"))).count() == 1
+
+
+def test_headers_without_regard_to_case(spark, tmp_path):
+    path = write_lines(tmp_path / "f.csv", ["1,AA,JFK,2,0"], header=",".join(FEW.names).upper())
+    assert kept(spark, path) == rows_of(reading.scan_csv(spark, path, FEW)) == [(1, "AA", "JFK", 2.0, 0)]
+    path = write_lines(tmp_path / "g.csv", ["1,1,AA,JFK,2,0"], header="MONTH," + ",".join(FEW.names))
+    with pytest.raises(ValueError, match="header"):
+        reading.scan_tolerant(spark, path, FEW)
+
+
+def test_compressed_text_and_other_names(spark, tmp_path):
+    path = str(tmp_path / "flights")
+    writing.write_csv(flights(spark, flight()), path)
+    assert rows_of(reading.read_flights(spark, path, form="csv")) == [flight()]
+
+
+def test_tabs_are_blanks_on_either_path(spark):
+    from tarmac.operators.cleaning import drop_empty_keys, normalize_strings
+
+    rows = flights(spark, flight(op_unique_carrier="AA\t"), flight(op_unique_carrier="\t"), flight())
+    assert [r.op_unique_carrier for r in normalize_strings(drop_empty_keys(rows)).collect()] == ["AA", "AA"]
