@@ -36,7 +36,7 @@ from tarmac.llm.store import id_and_text, saved
 from tarmac.llm.words import mixed, shingles
 
 THRESHOLD = 0.8
-M = 256  # components of a signature
+M = 512  # components of a signature
 BANDS, ROWS = 25, 5  # 0.99995 of the pairs at the threshold share a band
 # Pairs whose signatures agree in fewer components aren't verified: four standard errors below
 # the threshold, of four bits kept of each component.
