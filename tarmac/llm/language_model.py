@@ -28,6 +28,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tarmac.llm.store import saved
+
 REACH = 2
 CLASSES, CLASS_SIZE = 64, 64
 VOCABULARY = CLASSES * CLASS_SIZE
@@ -80,23 +82,40 @@ class Vocabulary(dict):
         return value
 
 
-def ids_of(texts: list[str | None], words: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
+def encoded(docs: DataFrame, words: dict[str, int]) -> DataFrame:
+    """doc_id, ``ids`` (bytes, 16 bits a word) and ``first``, the place where training begins; stored."""
+    held = docs.sparkSession.sparkContext.broadcast(words)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary = Vocabulary(held.value)
+        for batch in batches:
+            texts = [t or "" for t in batch.column("text").to_pylist()]
+            ids = [np.fromiter(map(vocabulary.__getitem__, t.lower().split()), np.int16).tobytes() for t in texts]
+            first = [xxhash.xxh3_64_intdigest(t) % STRIDE for t in texts]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), pa.array(ids, pa.binary()), pa.array(first, pa.int32())], ["doc_id", "ids", "first"]
+            )
+
+    return saved(docs.select("doc_id", "text").mapInArrow(run, "doc_id long, ids binary, first int"), "word-ids")
+
+
+def _joined(ids: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all words, text after text, and how many each text has."""
-    split = [(t or "").lower().split() for t in texts]
-    sizes = np.fromiter((len(w) for w in split), np.int64, len(split))
-    return np.fromiter((i for w in split for i in map(words.__getitem__, w)), np.int32, int(sizes.sum())), sizes
-
-
-def windows(ids: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """The neighbours of each word, [word][place]; outside the text there is the mark VOCABULARY."""
-    begins = np.repeat(np.cumsum(sizes) - sizes, sizes)
-    ends = begins + np.repeat(sizes, sizes)
-    here = np.arange(len(ids))
-    out = np.empty((len(ids), 2 * REACH), np.int32)
-    for k, shift in enumerate([*range(-REACH, 0), *range(1, REACH + 1)]):
-        there = here + shift
-        inside = (there >= begins) & (there < ends)
-        out[:, k] = np.where(inside, ids[np.where(inside, there, 0)], VOCABULARY)
+    return np.frombuffer(b"".join(ids), np.int16), np.array([len(i) // 2 for i in ids], np.int64)
+
+
+def windows(ids: np.ndarray, sizes: np.ndarray, chosen: np.ndarray | None = None) -> np.ndarray:
+    """The neighbours of each word, or of those at the places ``chosen``: [word][place]; outside the
+    text there is the mark VOCABULARY."""
+    shift = np.repeat(np.arange(1, len(sizes) + 1) * REACH, sizes)
+    places = np.arange(len(ids)) + shift
+    marked = np.full(len(ids) + REACH * (len(sizes) + 1), VOCABULARY, np.int16)
+    marked[places] = ids
+    if chosen is not None:
+        places = places[chosen]
+    out = np.empty((len(places), 2 * REACH), np.int16)
+    for k, step in enumerate([*range(-REACH, 0), *range(1, REACH + 1)]):
+        out[:, k] = marked[places + step]
     return out
 
 
@@ -152,10 +171,9 @@ class Network:
     def log_probabilities(self, near: np.ndarray, target: np.ndarray) -> np.ndarray:
         h = self.hidden(near)
         group, member = np.divmod(target, CLASS_SIZE)
-        rows = np.arange(len(target))
-        out = _log_softmax(h @ self.classes.T)[rows, group]
+        out = _log_chosen(h @ self.classes.T, group)
         for k, at in _by_class(group):
-            out[at] += _log_softmax(h[at] @ self.words[k].T)[np.arange(len(at)), member[at]]
+            out[at] += _log_chosen(h[at] @ self.words[k].T, member[at])
         return out
 
 
@@ -167,9 +185,19 @@ def _by_class(group: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
             yield k, order[edges[k] : edges[k + 1]]
 
 
-def _log_softmax(x: np.ndarray) -> np.ndarray:
+def _log_chosen(x: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+    """Log of the softmax of each row at one place; overwrites ``x``."""
+    x -= x.max(axis=1, keepdims=True)
+    out = x[np.arange(len(x)), chosen]
+    return out - np.log(np.exp(x, out=x).sum(axis=1))
+
+
+def _error(x: np.ndarray, chosen: np.ndarray, n: int) -> np.ndarray:
+    """Gradient of the mean loss over ``n`` rows: softmax of each row, less 1 at one place; overwrites ``x``."""
     x -= x.max(axis=1, keepdims=True)
-    x -= np.log(np.exp(x).sum(axis=1, keepdims=True))
+    np.exp(x, out=x)
+    x /= x.sum(axis=1, keepdims=True) * np.float32(n)
+    x[np.arange(len(x)), chosen] -= np.float32(1 / n)
     return x
 
 
@@ -188,16 +216,13 @@ class Trainer:
         net, n = self.network, len(target)
         h = net.hidden(near)
         group, member = np.divmod(target, CLASS_SIZE)
-        off = np.exp(_log_softmax(h @ net.classes.T))
-        off[np.arange(n), group] -= 1
-        off /= n
+        off = _error(h @ net.classes.T, group, n)
         back = off @ net.classes
         for k, at in _by_class(group):
-            mine = np.exp(_log_softmax(h[at] @ net.words[k].T))
-            mine[np.arange(len(at)), member[at]] -= 1
-            mine /= n
+            own = h[at]
+            mine = _error(own @ net.words[k].T, member[at], n)
             back[at] += mine @ net.words[k]
-            self._step(net.words, self.grown[3], k, mine.T @ h[at])
+            self._step(net.words, self.grown[3], k, mine.T @ own)
         self._step(net.classes, self.grown[2], slice(None), off.T @ h)
         inner = back[:, :WIDTH] * (1 - h[:, :WIDTH] ** 2)
         self._step(net.bias, self.grown[1], slice(None), inner.sum(axis=0))
@@ -210,45 +235,39 @@ class Trainer:
 # --- Training and scoring in Spark -------------------------------------------------------
 
 
-def _chosen(texts: list[str | None], sizes: np.ndarray) -> np.ndarray:
-    """Places that a text is trained on: every STRIDE-th, from one that its hash gives."""
-    parts, begin = [np.zeros(0, np.int64)], 0
-    for text, size in zip(texts, sizes):
-        parts.append(np.arange(begin + xxhash.xxh3_64_intdigest(text or "") % STRIDE, begin + size, STRIDE))
-        begin += size
-    return np.concatenate(parts)
+def _chosen(first: list[int], sizes: np.ndarray) -> np.ndarray:
+    """Places that the texts are trained on: every STRIDE-th of each, from its first."""
+    begins = np.cumsum(sizes) - sizes
+    return np.concatenate([np.zeros(0, np.int64), *(np.arange(b + f, b + n, STRIDE) for b, f, n in zip(begins, first, sizes))])
 
 
-def train_round(docs: DataFrame, words, flat: np.ndarray) -> np.ndarray:
-    """One round: a copy of the network for each task, and their mean."""
-    spark = docs.sparkSession
-    model = spark.sparkContext.broadcast(flat)
+def train_round(rows: DataFrame, flat: np.ndarray) -> np.ndarray:
+    """One round over encoded documents: a copy of the network for each task, and their mean."""
+    model = rows.sparkSession.sparkContext.broadcast(flat)
 
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trainer, vocabulary, places = Trainer(Network.of(model.value)), Vocabulary(words.value), 0
+        trainer, places = Trainer(Network.of(model.value)), 0
         for batch in batches:
-            all_texts = batch.column("text").to_pylist()
-            for k in range(0, len(all_texts), 500):
-                texts = all_texts[k : k + 500]
-                ids, sizes = ids_of(texts, vocabulary)
-                chosen = _chosen(texts, sizes)
-                near = windows(ids, sizes)
+            held, first = batch.column("ids").to_pylist(), batch.column("first").to_pylist()
+            for k in range(0, len(held), 1000):
+                ids, sizes = _joined(held[k : k + 1000])
+                chosen = _chosen(first[k : k + 1000], sizes)
+                near, target = windows(ids, sizes, chosen), ids[chosen]
                 for b in range(0, len(chosen), BATCH):
-                    at = chosen[b : b + BATCH]
-                    trainer.learn(near[at], ids[at])
+                    trainer.learn(near[b : b + BATCH], target[b : b + BATCH])
                 places += len(chosen)
         if places:
             task = TaskContext.get().partitionId()
             yield from _rows(task, places, trainer.network.flat().astype(np.float64) * places)
 
     kinds = "piece int, task int, places double, sums binary"
-    copies = docs.select("text").mapInArrow(train, kinds)
+    copies = rows.select("ids", "first").mapInArrow(train, kinds)
     # two steps, so that no task adds up more than a small share of the copies of a piece
     some = copies.withColumn("task", F.floor(F.col("task") / 64).cast("int")).repartition("piece", "task").mapInArrow(_added, kinds)
-    rows = some.withColumn("task", F.lit(0)).repartition("piece").mapInArrow(_added, kinds).collect()
-    if not rows:
+    sums = some.withColumn("task", F.lit(0)).repartition("piece").mapInArrow(_added, kinds).collect()
+    if not sums:
         return flat
-    new = np.concatenate([np.frombuffer(r["sums"], np.float32) / r["places"] for r in sorted(rows, key=lambda r: r["piece"])])
+    new = np.concatenate([np.frombuffer(r["sums"], np.float32) / r["places"] for r in sorted(sums, key=lambda r: r["piece"])])
     return new.astype(np.float32)
 
 
@@ -276,41 +295,39 @@ def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _row(piece, task, places, sums)
 
 
-def fit(docs: DataFrame, rounds: int = ROUNDS) -> tuple[dict[str, int], np.ndarray]:
-    """Word ids and the network's weights."""
+def fit(docs: DataFrame, rounds: int = ROUNDS) -> tuple[DataFrame, np.ndarray]:
+    """The encoded documents and the network's weights."""
     top = word_counts(docs).orderBy(F.desc("times"), "word").limit(VOCABULARY - OTHERS).collect()
-    words = {row["word"]: i for i, row in enumerate(top)}
     counts = np.zeros(VOCABULARY)
     counts[: len(top)] = [row["times"] for row in top]
     counts[VOCABULARY - OTHERS :] = counts[: len(top)].min(initial=1)
+    rows = encoded(docs, {row["word"]: i for i, row in enumerate(top)})
     flat = Network.new(counts).flat().astype(np.float32)
-    held = docs.sparkSession.sparkContext.broadcast(words)
     for _ in range(rounds):
-        flat = train_round(docs, held, flat)
-    return words, flat
+        flat = train_round(rows, flat)
+    return rows, flat
 
 
-def scored(docs: DataFrame, words: dict[str, int], flat: np.ndarray) -> DataFrame:
-    """doc_id, n_tokens, log_likelihood and pseudo_perplexity of each row."""
-    context = docs.sparkSession.sparkContext
-    held, model = context.broadcast(words), context.broadcast(flat)
+def scored(rows: DataFrame, flat: np.ndarray) -> DataFrame:
+    """doc_id, n_tokens, log_likelihood and pseudo_perplexity of each encoded document."""
+    model = rows.sparkSession.sparkContext.broadcast(flat)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        network, vocabulary = Network.of(model.value), Vocabulary(held.value)
+        network = Network.of(model.value)
         for batch in batches:
-            all_texts = batch.column("text").to_pylist()
-            for k in range(0, len(all_texts), 200):
-                ids, sizes = ids_of(all_texts[k : k + 200], vocabulary)
+            held = batch.column("ids").to_pylist()
+            for k in range(0, len(held), 200):
+                ids, sizes = _joined(held[k : k + 200])
                 near = windows(ids, sizes)
                 logs = np.empty(len(ids))
                 for b in range(0, len(ids), 1 << 15):
                     logs[b : b + (1 << 15)] = network.log_probabilities(near[b : b + (1 << 15)], ids[b : b + (1 << 15)])
                 owner = np.repeat(np.arange(len(sizes)), sizes)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(k, len(sizes)), pa.array(sizes), pa.array(np.bincount(owner, logs, len(sizes)))],
+                    [batch.column("doc_id").slice(k, len(sizes)), pa.array(sizes), pa.array(np.bincount(owner, logs, len(sizes)).astype(float))],
                     ["doc_id", "n_tokens", "log_likelihood"],
                 )
 
-    rows = docs.select("doc_id", "text").mapInArrow(score, "doc_id long, n_tokens long, log_likelihood double")
+    found = rows.select("doc_id", "ids").mapInArrow(score, "doc_id long, n_tokens long, log_likelihood double")
     mean = F.when(F.col("n_tokens") > 0, F.exp(-F.col("log_likelihood") / F.col("n_tokens")))
-    return rows.withColumn("pseudo_perplexity", mean)
+    return found.withColumn("pseudo_perplexity", mean)
