@@ -7,8 +7,8 @@ holds is unknown and becomes its bytes.
 
 In a unigram model the score of a piece is its log probability and every piece may follow every other. In a
 byte-pair model scores are merge ranks, and merging leaves only some pieces next to each
-other: the pass then relaxes only from a piece to one that merging the two leaves as they are. Either
-way the ids are those of the library.
+other: the pass then relaxes only from a piece to one that merging the two leaves as they are, and
+the ids are those of the library.
 
 If no piece has a blank mark after a letter, a text is the sum of its words and each distinct word is
 searched once. Null texts are empty and have no ids. Other columns are left out.
@@ -65,7 +65,7 @@ def fields(raw: bytes) -> Iterator[tuple[int, int | bytes]]:
 class Model:
     """Encodes and decodes with one model file; remembers words."""
 
-    LIMIT = 400_000
+    LIMIT = 900_000
 
     def __init__(self, model_file: str | None = None, proto: bytes | None = None):
         self.library = sentencepiece.SentencePieceProcessor(model_file=model_file, model_proto=proto)
@@ -84,6 +84,7 @@ class Model:
             if not (sp.is_byte(i) or sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i))
         ]
         self.ids = {self.names[i]: i for i in plain}
+        self.singles = {name for name in self.ids if len(name) == 1}
         self.automaton = ahocorasick.Automaton()
         for i in plain:
             self.automaton.add_word(self.names[i], (i, len(self.names[i])))
@@ -102,56 +103,59 @@ class Model:
     def search(self, word: str) -> list[int]:
         """Ids of the best way to spell a normalised word with pieces: one pass of the automaton."""
         n = len(word)
-        best = [-math.inf] * (n + 1)
-        last: list[tuple[int, int]] = [(-1, 0)] * (n + 1)  # piece that ends here (-1: none or unknown), its start
+        best: list[float | None] = [None] * (n + 1)
+        last = [-1] * (n + 1)  # piece that ends here; -1: none, or an unknown character
         best[0] = 0.0
-        scores, fits, merged = self.scores, self.fits, self.kind == BPE
-        done = 0
-
-        def leave(upto: int) -> None:
-            """No piece of one character ended at the positions passed: they may be unknown."""
-            nonlocal done
-            while done < upto:
-                done += 1
-                if not single[done]:
-                    score = best[done - 1] + self.unknown_score
-                    if score > best[done] and not (merged and best[done] > -math.inf):
-                        best[done], last[done] = score, (-1, done - 1)
-
-        single = [False] * (n + 1)
-        for at, (piece, length) in self.automaton.iter(word):
-            end = at + 1
-            if end - 1 > done:
-                leave(end - 1)
-            start = end - length
-            if length == 1:
-                single[end] = True
-            if best[start] == -math.inf:
-                continue
-            if merged and start and last[start][0] >= 0:
-                pair = (last[start][0], piece)
-                fit = fits.get(pair)
-                if fit is None:
-                    fit = self._fit(*pair)
-                if not fit:
+        scores, fits = self.scores, self.fits
+        unknown = [] if self.singles.issuperset(word) else [k for k, c in enumerate(word) if c not in self.singles]
+        if self.kind == BPE:
+            for at, (piece, length) in self.automaton.iter(word):
+                end = at + 1
+                if best[end] is not None:  # one spelling at most survives merging
+                    continue
+                while unknown and unknown[0] <= at:
+                    self._relax_unknown(unknown.pop(0), best)
+                start = end - length
+                before = best[start]
+                if before is None:
                     continue
-            score = best[start] + scores[piece]
-            if score > best[end]:
-                best[end], last[end] = score, (piece, start)
-        leave(n)
+                left = last[start]
+                if left >= 0:
+                    fit = fits.get((left, piece))
+                    if not (self._fit(left, piece) if fit is None else fit):
+                        continue
+                best[end], last[end] = before + scores[piece], piece
+        else:
+            for at, (piece, length) in self.automaton.iter(word):
+                while unknown and unknown[0] <= at:
+                    self._relax_unknown(unknown.pop(0), best)
+                before = best[at + 1 - length]
+                if before is not None:
+                    score = before + scores[piece]
+                    if best[at + 1] is None or score > best[at + 1]:
+                        best[at + 1], last[at + 1] = score, piece
+        for k in unknown:
+            self._relax_unknown(k, best)
         out: list[int] = []
         end = n
         while end:
-            piece, start = last[end]
+            piece = last[end]
             if piece >= 0:
                 out.append(piece)
-            elif self.bytes:
-                out.extend(self.bytes[b] for b in reversed(word[start:end].encode()))
+                end -= len(self.names[piece])
+                continue
+            end -= 1
+            if self.bytes:
+                out.extend(self.bytes[b] for b in reversed(word[end].encode()))
             else:
                 out.append(self.library.unk_id())
-            end = start
         return out[::-1]
 
+    def _relax_unknown(self, at: int, best: list) -> None:
+        """A character that is no piece of its own may be unknown."""
+        if best[at] is not None and best[at + 1] is None:
+            best[at + 1] = best[at] + self.unknown_score
+
     def _fit(self, left: int, right: int) -> bool:
         """Whether merging leaves two pieces next to each other as they are."""
         if len(self.fits) >= 1_000_000:
@@ -178,15 +182,14 @@ class Model:
         known = self.known
         if len(known) > self.LIMIT:
             known.clear()
-        out = []
-        for word in words:
-            ids = known.get(word)
-            if ids is None:
+        long = {}
+        for word in set(words):
+            if word not in known:
                 ids = np.array(self.search(word), ID).tobytes()
-                if len(word) <= 64:
-                    known[word] = ids
-            out.append(ids)
-        return b"".join(out)
+                (known if len(word) <= 64 else long)[word] = ids
+        if long:
+            return b"".join([known[w] if w in known else long[w] for w in words])
+        return b"".join(map(known.__getitem__, words))
 
     def decode(self, ids: bytes) -> str:
         """The text that ids spell; bytes that are no characters become replacement marks."""
