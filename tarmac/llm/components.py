@@ -15,7 +15,8 @@ from tarmac.llm.store import saved
 
 
 def components(links: DataFrame) -> DataFrame:
-    """node and component (the smallest node that links lead to), for each node with a link.
+    """node and component (the smallest node that links lead to), for each node with a link but the
+    smallest of its component.
 
     ``links`` has columns ``a`` and ``b`` of one orderable type; direction and repeats don't
     matter, links of a node with itself or with null are nothing.

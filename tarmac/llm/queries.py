@@ -134,6 +134,4 @@ def op4_vectors(spark, sf_dir):
 
 @_query
 def op10_pseudo_likelihood(spark, sf_dir):
-    docs = documents(spark, sf_dir)
-    words, network = language_model.fit(docs)
-    return language_model.scored(docs, words, network)
+    return language_model.scored(*language_model.fit(documents(spark, sf_dir)))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import chain
+
 import numpy as np
 import xxhash
 
@@ -43,7 +45,7 @@ def shingles(texts: list[str], size: int = SHINGLE) -> tuple[np.ndarray, np.ndar
     """
     words = [text.split() for text in texts]
     counts = np.fromiter((len(w) for w in words), np.int64, len(words))
-    hashes = np.fromiter((h for w in words for h in map(HASHES.__getitem__, w)), np.uint64, int(counts.sum()))
+    hashes = np.fromiter(map(HASHES.__getitem__, chain.from_iterable(words)), np.uint64, int(counts.sum()))
     begins = np.concatenate([[0], np.cumsum(counts)])
     runs = np.where(counts >= size, counts - size + 1, np.minimum(counts, 1))
     starts = np.concatenate([[0], np.cumsum(runs)])
