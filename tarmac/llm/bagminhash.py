@@ -23,7 +23,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import reduce
-from operator import add
+from operator import add, or_
 
 import numpy as np
 import pyarrow as pa
@@ -256,13 +256,20 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         .where("least != most")
         .select("band", "bucket")
     )
-    open_ = saved(placed.join(split, ["band", "bucket"]), "open").join(distinct.select("key", "lanes"), "key")
-    x = open_.select("band", "bucket", F.col("key").alias("a"), F.col("part").alias("part_a"), *_lanes("x"))
-    y = open_.select("band", "bucket", F.col("key").alias("b"), F.col("part").alias("part_b"), *_lanes("y"))
+    open_ = saved(placed.join(split, ["band", "bucket"]), "open").join(distinct, "key")
+    x = open_.select("band", "bucket", F.col("key").alias("a"), F.col("part").alias("part_a"), F.col("bands").alias("bands_a"), *_lanes("x"))
+    y = open_.select("band", "bucket", F.col("key").alias("b"), F.col("part").alias("part_b"), F.col("bands").alias("bands_b"), *_lanes("y"))
+    # a pair comes from the first band it shares only: all its buckets are open ones
+    shared_before = reduce(
+        or_, ((F.col("band") > i) & (F.col("bands_a")[i] == F.col("bands_b")[i]) for i in range(BANDS - 1))
+    )
     rest = x.join(y, ["band", "bucket"]).where(
-        (F.col("a") < F.col("b")) & (F.col("part_a") != F.col("part_b")) & (_agreeing("x", "y") >= AGREE)
+        (F.col("a") < F.col("b"))
+        & (F.col("part_a") != F.col("part_b"))
+        & (_agreeing("x", "y") >= AGREE)
+        & ~shared_before
     )
-    second = saved(rest.select("a", "b").distinct().join(first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"), "pairs")
+    second = saved(rest.select("a", "b").join(first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"), "pairs")
     more = saved(verified(second, _texts(rows, second), threshold), "verified")
     groups = components(links.unionAll(more))
 
