@@ -11,15 +11,16 @@ from __future__ import annotations
 
 import argparse
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Observation, SparkSession
 
 from tarmac import model
 from tarmac.operators.cleaning import drop_empty_keys
+from tarmac.operators.subsets import random_draw, record_draw, stored
 from tarmac.plans.airport import nested_airport_report
 from tarmac.plans.carrier import nested_carrier_report
 from tarmac.plans.prepare import write_clean, write_subsets
 from tarmac.plans.quality import rows_by, top_carriers, top_origins
-from tarmac.sources.reading import read_flights, scan_csv
+from tarmac.sources.reading import read_flights, scan_tolerant
 from tarmac.sources.writing import write_report
 
 
@@ -50,7 +51,10 @@ def prepare(spark: SparkSession, args: argparse.Namespace) -> None:
     sizes = model.SUBSET_SIZES
     if args.size:
         sizes = {name: int(rows) for name, rows in (size.split("=") for size in args.size)}
-    funnel = write_clean(scan_csv(spark, args.raw), f"{args.out}/clean")
+    lines = Observation("lines")
+    raw = scan_tolerant(spark, args.raw, model.FLIGHTS_RAW, lines)
+    draw = record_draw(model.FLIGHTS.names, args.seed) if args.exact else random_draw(args.seed)
+    funnel = write_clean(raw, f"{args.out}/clean", draw, lines)
     for step, rows in funnel.items():
         print(f"{step:20} {rows:>15,}")
     read, kept = funnel["raw"], list(funnel.values())[-1]
@@ -60,7 +64,10 @@ def prepare(spark: SparkSession, args: argparse.Namespace) -> None:
     rows_by(flights, "month").show()
     top_carriers(flights).show()
     top_origins(flights).show()
-    for name, rows in write_subsets(spark, f"{args.out}/clean", f"{args.out}/input", sizes, args.seed, args.exact).items():
+    subsets = write_subsets(
+        spark, f"{args.out}/clean", f"{args.out}/input", sizes, args.seed, args.exact, stored(draw)
+    )
+    for name, rows in subsets.items():
         print(f"flight_{name}.csv {rows:>15,}")
 
 

@@ -5,8 +5,9 @@ is the n rows with the smallest draws. A few counting jobs find where the n-th d
 taking the subset is then a filter inside the scan. Nothing is sorted, and there is no
 ``limit``, which would send all the rows it keeps through one task.
 
-The input is scanned more than once, so it has to give the same rows in the same order each
-time: pass a table read from files, not the result of another random step.
+The input is scanned more than once. A draw that is stored as a column of the table is computed
+once and the filter on it reaches the scan; a random draw that is not stored needs the same
+rows in the same places each time, which two jobs may not give if they split the files differently.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ from tarmac.model import SUBSET_SEED, SUBSET_SIZES
 DRAW = "_draw"
 STEP = 16  # bits looked at per counting job: at most 65,536 counts for each size
 COPIES_PER_CHUNK = 10_000
+TIE_SEED = 1_000_003  # of the hash that orders records of equal draws
 
 
 class Draw(NamedTuple):
@@ -41,7 +43,10 @@ class Cut(NamedTuple):
 
 
 def random_draw(seed: int) -> Draw:
-    """An independent draw for each row, fixed by the seed and the row's place in the input."""
+    """An independent draw for each row, fixed by the seed and the row's place in the input.
+
+    Store it (``with_draw``) if the subsets must not depend on how later jobs split the files.
+    """
     return Draw((F.rand(seed) * 2.0**52).cast("long"), 52)
 
 
@@ -61,6 +66,16 @@ def portable_draw(columns, seed: int) -> Draw:
     return Draw(F.conv(F.substring(digest, 1, 15), 16, 10).cast("long"), 60)
 
 
+def with_draw(df: DataFrame, draw: Draw) -> DataFrame:
+    """The table with its draw as a column, to be written and then named by ``stored``."""
+    return df.withColumn(DRAW, draw.column)
+
+
+def stored(draw: Draw) -> Draw:
+    """The draw that ``with_draw`` has put into a table."""
+    return Draw(F.col(DRAW), draw.bits)
+
+
 def shuffled(df: DataFrame, seed: int = SUBSET_SEED) -> DataFrame:
     """All rows in seeded random order. The draws differ, so equal rows do not pile up."""
     return df.orderBy(F.rand(seed))
@@ -72,22 +87,27 @@ def row_count(df: DataFrame) -> DataFrame:
 
 def exact_subset(df: DataFrame, n: int, seed: int = SUBSET_SEED, draw: Draw | None = None) -> DataFrame:
     """Exactly n rows (all, if there are fewer), the same ones however the table is stored."""
-    return exact_ladder(df, {"subset": n}, seed, draw).get("subset", df)
+    ladder = exact_ladder(df, {"subset": n}, seed, draw)
+    return ladder.get("subset", ladder["full"])
 
 
-def bernoulli_subset(df: DataFrame, n: int, seed: int = SUBSET_SEED) -> DataFrame:
+def bernoulli_subset(df: DataFrame, n: int, seed: int = SUBSET_SEED, draw: Draw | None = None) -> DataFrame:
     """Each row with probability n / row count, and at most n rows."""
-    return size_ladder(df, {"subset": n}, seed).get("subset", df)
+    ladder = size_ladder(df, {"subset": n}, seed, draw)
+    return ladder.get("subset", ladder["full"])
 
 
 def size_ladder(
-    df: DataFrame, sizes: dict[str, int] = SUBSET_SIZES, seed: int = SUBSET_SEED
+    df: DataFrame,
+    sizes: dict[str, int] = SUBSET_SIZES,
+    seed: int = SUBSET_SEED,
+    draw: Draw | None = None,
 ) -> dict[str, DataFrame]:
     """Random samples of at most the given sizes and, as "full", the table.
 
-    Sizes above its row count are left out.
+    Sizes above its row count are left out. A draw that is stored in the table can be named here.
     """
-    draw = random_draw(seed)
+    draw = draw or random_draw(seed)
     drawn = df.withColumn(DRAW, draw.column)
     cuts = find_cuts(drawn.select(DRAW), set(sizes.values()), draw.bits)
     total = df.count()
@@ -96,7 +116,7 @@ def size_ladder(
         if n in cuts:
             chance = F.col(DRAW) < int(n / total * 2**draw.bits)
             ladder[name] = _up_to(drawn if n == total else drawn.filter(chance), cuts[n])
-    return {**ladder, "full": df}
+    return {**ladder, "full": df.drop(DRAW)}
 
 
 def exact_ladder(
@@ -113,7 +133,7 @@ def exact_ladder(
     drawn = df.withColumn(DRAW, draw.column)
     cuts = find_cuts(drawn.select(DRAW), set(sizes.values()), draw.bits)
     ladder = {name: _up_to(drawn, cuts[n]) for name, n in sizes.items() if n in cuts}
-    return {**ladder, "full": df}
+    return {**ladder, "full": df.drop(DRAW)}
 
 
 def find_cuts(draws: DataFrame, sizes, bits: int) -> dict[int, Cut]:
@@ -169,14 +189,28 @@ def _up_to(drawn: DataFrame, cut: Cut) -> DataFrame:
 
 
 def _some_of(tied: DataFrame, keep: int) -> DataFrame:
-    """``keep`` of the rows of ``tied``, which all share one draw and so are copies of one
-    record (or, by a rare chance, of a few).
+    """``keep`` of the rows of ``tied``, which all share one draw.
+
+    A hash of the whole record orders them, and is cut as the draw was; what then still ties
+    are the copies of one record.
+    """
+    order = record_draw(tied.columns, TIE_SEED)
+    hashed = tied.withColumn(DRAW, order.column)
+    cut = find_cuts(hashed.select(DRAW), {keep}, order.bits)[keep]
+    if cut.keep == cut.rows:
+        return hashed.filter(F.col(DRAW) <= cut.high).drop(DRAW)
+    below = hashed.filter(F.col(DRAW) < cut.low).drop(DRAW)
+    return below.unionByName(_some_copies(hashed.filter(F.col(DRAW) == cut.low), tied.columns, cut.keep))
+
+
+def _some_copies(copies: DataFrame, columns: list[str], keep: int) -> DataFrame:
+    """``keep`` of the copies of one record (or of a few, should their hashes collide).
 
     The copies are counted on the map side, so no task ever holds more than one of each,
     and they are written out again in chunks that spread over the tasks.
     """
-    groups = tied.groupBy(*tied.columns).agg(F.count("*").alias("_copies"))
-    before = F.sum("_copies").over(Window.orderBy(*tied.columns)) - F.col("_copies")
+    groups = copies.groupBy(DRAW, *columns).agg(F.count("*").alias("_copies"))
+    before = F.sum("_copies").over(Window.partitionBy(DRAW).orderBy(*columns)) - F.col("_copies")
     taken = groups.withColumn("_take", F.least("_copies", F.lit(keep) - before)).filter("_take > 0")
     # neither the chunks nor the copies of a chunk are more than about the square root of the copies
     size = F.greatest(F.lit(COPIES_PER_CHUNK), F.ceil(F.sqrt("_take")))
@@ -185,5 +219,5 @@ def _some_of(tied: DataFrame, keep: int) -> DataFrame:
     return (
         chunks.repartition("_chunk")
         .withColumn("_copy", F.explode(F.sequence(F.lit(1), rest)))
-        .select(*tied.columns)
+        .select(*columns)
     )

@@ -7,20 +7,28 @@ from pyspark.sql import functions as F
 
 from tarmac.model import SUBSET_SEED, SUBSET_SIZES
 from tarmac.operators.cleaning import clean
-from tarmac.operators.subsets import exact_ladder, size_ladder
+from tarmac.operators.subsets import Draw, exact_ladder, size_ladder, with_draw
 from tarmac.plans.quality import funnel_counts
 from tarmac.sources.writing import write_csv, write_table
 
 
-def write_clean(raw: DataFrame, path: str) -> dict[str, int]:
+def write_clean(
+    raw: DataFrame, path: str, draw: Draw | None = None, lines: Observation | None = None
+) -> dict[str, int]:
     """Write the clean table and return the rows left after each cleaning step.
 
-    The counts are taken while the rows pass by, so the raw data is read once.
+    The counts are taken while the rows pass by, so the raw data is read once. ``draw`` is stored
+    with each row, for subsets. ``lines`` is what the scan of ``raw`` observes; the funnel
+    then begins with the lines and those that parsed.
     """
     counts = Observation("cleaning_funnel")
     observed = raw.observe(counts, *(count.alias(step) for step, count in funnel_counts().items()))
-    write_table(clean(observed), path)
-    return counts.get
+    flights = clean(observed)
+    write_table(with_draw(flights, draw) if draw else flights, path)
+    if lines is None:
+        return counts.get
+    funnel = counts.get
+    return {"raw": lines.get["lines"], "parsed": funnel.pop("raw"), **funnel}
 
 
 def write_subsets(
@@ -30,11 +38,15 @@ def write_subsets(
     sizes: dict[str, int] = SUBSET_SIZES,
     seed: int = SUBSET_SEED,
     exact: bool = False,
+    draw: Draw | None = None,
 ) -> dict[str, int]:
-    """Write ``flight_<size>.csv`` for each rung of the ladder; returns the rows in each."""
+    """Write ``flight_<size>.csv`` for each rung of the ladder; returns the rows in each.
+
+    ``draw`` names the draw that is stored in the table, if one is.
+    """
     written = {}
     ladder = exact_ladder if exact else size_ladder
-    for name, df in ladder(spark.read.parquet(clean_path), sizes, seed).items():
+    for name, df in ladder(spark.read.parquet(clean_path), sizes, seed, draw).items():
         rows = Observation(f"rows_{name}")
         write_csv(df.observe(rows, F.count("*").alias("rows")), f"{out_dir}/flight_{name}.csv")
         written[name] = rows.get["rows"]

@@ -546,18 +546,30 @@ def _clean_table(spark, sf_dir, *more) -> DataFrame:
 def _drawn_table(spark, sf_dir) -> tuple[DataFrame, subsets.Draw]:
     """The clean flights with a stored draw that the SQL can compute as well."""
     draw = subsets.portable_draw(FLIGHTS.names, 42)
-    table = _clean_table(spark, sf_dir, draw.column.alias("draw"))
-    return table, subsets.Draw(F.col("draw"), draw.bits)
+    return _clean_table(spark, sf_dir, draw.column.alias(subsets.DRAW)), subsets.stored(draw)
 
 
 def _exact_subset(spark, sf_dir):
     table, draw = _drawn_table(spark, sf_dir)
-    return subsets.exact_subset(table, 5_000, draw=draw).drop("draw")
+    return subsets.exact_subset(table, 5_000, draw=draw)
+
+
+def _bernoulli_subset(spark, sf_dir):
+    table, draw = _drawn_table(spark, sf_dir)
+    return subsets.bernoulli_subset(table, 5_000, draw=draw)
 
 
 def _subset_ladder(spark, sf_dir):
     table, draw = _drawn_table(spark, sf_dir)
-    rungs = subsets.exact_ladder(table, _LADDER, draw=draw)
+    return _rung_totals(subsets.exact_ladder(table, _LADDER, draw=draw))
+
+
+def _sampled_ladder(spark, sf_dir):
+    table, draw = _drawn_table(spark, sf_dir)
+    return _rung_totals(subsets.size_ladder(table, _LADDER, draw=draw))
+
+
+def _rung_totals(rungs: dict[str, DataFrame]) -> DataFrame:
     totals = [
         df.agg(
             F.lit(name).alias("size"),
@@ -578,20 +590,33 @@ _register(
     _exact_subset,
     _on_clean(f"SELECT * FROM flights ORDER BY {_DRAW} LIMIT 5000"),
 )
+_PLACED = f""", placed AS (SELECT *, CAST('0x' || substr({_DRAW}, 1, 15) AS BIGINT) AS draw,
+          row_number() OVER (ORDER BY {_DRAW}) AS place FROM flights),
+        rungs AS (SELECT size, n, total FROM (VALUES {_RUNGS}, ('full', 9000000000000000)) AS v(size, n),
+          (SELECT count(*) AS total FROM flights))"""
+_RUNG_SQL = """SELECT size, count(*) AS rows, sum(arr_delay) AS arr_delay_sum,
+        CAST(sum(cancelled) AS BIGINT) AS cancelled_sum
+        FROM rungs JOIN placed ON place <= n WHERE {} GROUP BY size"""
+# of a draw of 60 bits, so that a share of n / total passes
+_BY_CHANCE = "draw < CAST(floor(CAST({n} AS DOUBLE) / {total} * 1152921504606846976::DOUBLE) AS BIGINT)"
 _register(
     "bernoulli_subset",
-    lambda spark, sf_dir: subsets.bernoulli_subset(_clean_table(spark, sf_dir), 5_000),
+    _bernoulli_subset,
+    _on_clean(
+        f"""SELECT {', '.join(FLIGHTS.names)} FROM placed, (SELECT count(*) AS total FROM flights)
+        WHERE place <= 5000 AND CASE WHEN total > 5000 THEN {_BY_CHANCE.format(n=5000, total='total')} ELSE true END""",
+        _PLACED,
+    ),
 )
+_register("subset_ladder", _subset_ladder, _on_clean(_RUNG_SQL.format("n <= total OR size = 'full'"), _PLACED))
 _register(
-    "subset_ladder",
-    _subset_ladder,
+    "sampled_ladder",
+    _sampled_ladder,
     _on_clean(
-        """SELECT size, count(*) AS rows, sum(arr_delay) AS arr_delay_sum,
-        CAST(sum(cancelled) AS BIGINT) AS cancelled_sum
-        FROM rungs JOIN placed ON place <= n WHERE n <= total OR size = 'full' GROUP BY size""",
-        f""", placed AS (SELECT *, row_number() OVER (ORDER BY {_DRAW}) AS place FROM flights),
-        rungs AS (SELECT size, n, total FROM (VALUES {_RUNGS}, ('full', 9000000000000000)) AS v(size, n),
-          (SELECT count(*) AS total FROM flights))""",
+        _RUNG_SQL.format(
+            f"size = 'full' OR n = total OR CASE WHEN n < total THEN {_BY_CHANCE.format(n='n', total='total')} END"
+        ),
+        _PLACED,
     ),
 )
 _register("seeded_shuffle", _clean(subsets.shuffled), _on_clean("SELECT * FROM flights"))

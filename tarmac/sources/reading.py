@@ -10,7 +10,7 @@ from __future__ import annotations
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -49,18 +49,24 @@ def scan_csv(spark: SparkSession, path, schema: T.StructType = FLIGHTS_RAW) -> D
     return lines.select(*(_value(field, F.col(field.name)) for field in schema))
 
 
-def scan_tolerant(spark: SparkSession, path, schema: T.StructType = FLIGHTS) -> DataFrame:
+def scan_tolerant(
+    spark: SparkSession, path, schema: T.StructType = FLIGHTS, lines: Observation | None = None
+) -> DataFrame:
     """Like ``scan_csv``, but a line that does not parse is dropped as a whole.
 
     A line is dropped if it repeats the header, if it ends before one of the columns, if
     month or cancelled is blank or junk, or if another number is neither blank nor a number.
-    Cells lose the white space around them. ``scan_report`` tells how many lines went.
+    Cells lose the white space around them. ``scan_report`` tells how many lines went; ``lines``
+    counts all lines in the job that uses the rows, as "lines".
 
     Lines are split here and not by the CSV reader, in time that is linear in the line and only
     up to the last column wanted: no line, however long or badly quoted, fails the job.
     """
     names = _checked_header(spark, path, schema)
-    return _kept(_lines(spark, path, names, schema, header=True), names, schema)
+    cells = _lines(spark, path, names, schema, header=True)
+    if lines is not None:
+        cells = cells.observe(lines, F.count("*").alias("lines"))
+    return _kept(cells, names, schema)
 
 
 def scan_positional(

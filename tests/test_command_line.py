@@ -6,10 +6,12 @@ import pytest
 
 from tarmac import binding
 from tarmac.__main__ import main
+from tarmac.model import FLIGHTS
+from tarmac.operators.subsets import DRAW
 from tarmac.plans.prepare import write_clean
 from tarmac.plans.quality import cleaning_funnel
 from tarmac.sources.writing import write_csv
-from helpers import rows_of
+from helpers import HEADER, rows_of, write_lines
 
 
 @pytest.fixture(scope="module")
@@ -25,7 +27,10 @@ def documents(path):
 
 
 def test_prepare_writes_table_and_subsets(spark, sf_dir, out):
-    assert rows_of(spark.read.parquet(str(out / "clean"))) == rows_of(binding.flights(spark, sf_dir))
+    table = spark.read.parquet(str(out / "clean"))
+    assert table.columns == [*FLIGHTS.names, DRAW]  # the draw stays with the table, for repeatable subsets
+    assert rows_of(table.drop(DRAW)) == rows_of(binding.flights(spark, sf_dir))
+    assert spark.read.csv(str(out / "input" / "flight_1k.csv"), header=True).columns == FLIGHTS.names
     assert sorted(p.name for p in (out / "input").iterdir()) == ["flight_1k.csv", "flight_full.csv"]
 
 
@@ -37,6 +42,17 @@ def test_prepare_prints_the_quality_report(spark, out, tmp_path, capsys):
     assert ["flight_1k.csv", "1,000"] in lines and ["flight_full.csv", "5,164"] in lines
 
 
+def test_prepare_drops_lines_with_junk(spark, tmp_path, capsys):
+    fields = dict.fromkeys(HEADER.split(","), "0") | {"month": "1", "op_unique_carrier": "AA", "origin": "JFK"}
+    good = ",".join(fields.values())
+    junk = ",".join((fields | {"carrier_delay": "abc"}).values())
+    raw = write_lines(tmp_path / "raw.csv", [good, junk, good, "1,AA"])
+    main(["prepare", raw, str(tmp_path / "out"), "--size", "1=1"], spark)
+    lines = [line.split() for line in capsys.readouterr().out.splitlines()]
+    assert ["raw", "4"] in lines and ["parsed", "2"] in lines and ["keys_not_blank", "2"] in lines
+    assert ["flight_full.csv", "2"] in lines
+
+
 def test_counts_taken_while_writing_equal_the_funnel(spark, sf_dir, tmp_path):
     raw = binding.flights_raw(spark, sf_dir)
     want = {row.step: row.rows for row in cleaning_funnel(raw).collect()}

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tarmac import binding
 from tarmac.operators import subsets
 from tarmac.sources.writing import write_table
+from helpers import plan_of
 
 
 @pytest.fixture(scope="module")
@@ -129,6 +130,36 @@ def test_records_that_differ_in_where_a_value_is_missing_draw_differently(spark)
     assert df.select(draw).distinct().count() == 2
 
 
+def test_a_stored_draw_is_pushed_and_does_not_depend_on_the_splits(spark, table, tmp_path):
+    path = str(tmp_path / "drawn")
+    draw = subsets.random_draw(2)
+    write_table(subsets.with_draw(table, draw), path)
+    drawn = spark.read.parquet(path)
+    rung = subsets.size_ladder(drawn, {"a": 1000}, draw=subsets.stored(draw))["a"]
+    assert rung.columns == table.columns
+    assert f"LessThan({subsets.DRAW}," in plan_of(rung) or f"LessThanOrEqual({subsets.DRAW}," in plan_of(rung)
+    first = bag(rung)
+    settings = {"spark.sql.files.minPartitionNum": "64", "spark.sql.files.openCostInBytes": "1"}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        again = spark.read.parquet(path)
+        assert bag(subsets.size_ladder(again, {"a": 1000}, draw=subsets.stored(draw))["a"]) == first
+        assert bag(rung) == first and sum(first.values()) <= 1000
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+
+
+def test_ties_are_cut_without_a_window_over_all_rows(spark, tmp_path):
+    path = str(tmp_path / "shared")
+    write_table(spark.range(1000).select((F.col("id") % 40).alias("id")), path)
+    coarse = subsets.Draw(F.lit(0).cast("long"), 1)
+    got = subsets.exact_subset(spark.read.parquet(path), 333, draw=coarse)
+    assert "SinglePartition" not in plan_of(got)
+    assert sum(bag(got).values()) == 333
+
+
 def test_records_that_share_a_draw_are_still_cut_exactly(spark, tmp_path):
     path = str(tmp_path / "shared")
     write_table(spark.range(1000).select((F.col("id") % 40).alias("id")), path)
