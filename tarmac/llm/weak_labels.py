@@ -62,7 +62,7 @@ class LabelModel:
     bad differs, and labellers that look for other faults then have nothing to say."""
 
     shares: np.ndarray  # of the kinds, the good one first
-    table: np.ndarray  # [kind][labeller][vote], log probabilities
+    table: np.ndarray  # [kind][labeller][vote], log probabilities of the votes given; 0 for no vote
 
     def kinds(self, votes: np.ndarray) -> np.ndarray:
         """Probability of each kind for rows of votes."""
@@ -75,8 +75,8 @@ class LabelModel:
         return 1 - self.kinds(votes)[:, 0]
 
     def accuracy(self) -> np.ndarray:
-        """[labeller][class: good, bad][vote]: how often each labeller votes what."""
-        p = np.exp(self.table)
+        """[labeller][class: good, bad][vote - 1]: how often each labeller, if it votes, votes what."""
+        p = np.exp(self.table[:, :, 1:])
         bad = np.tensordot(self.shares[1:], p[1:], 1) / self.shares[1:].sum()
         return np.stack([p[0], bad], axis=1)
 
@@ -85,12 +85,14 @@ def label_model(votes: np.ndarray, counts: np.ndarray, rounds: int = 50) -> Labe
     """Expectation-maximisation over distinct rows of votes and how often each occurs.
 
     It starts from: a document is of the kind of the first labeller that calls it bad, else good.
-    Labellers are taken for cautious: a prior of one in a hundred documents says that they
-    don't call good ones bad. Without any votes everything is good.
+    Labellers are taken for cautious: a prior of one in two hundred documents says that they don't
+    call good ones bad. No vote says nothing, and no document is of the kind of a labeller that
+    calls it good; otherwise the kinds of bad documents could share the good ones among themselves.
+    Without any votes everything is good.
     """
     n = len(LABELLERS)
     if not len(votes):
-        return LabelModel(np.array([1.0] + [1e-9] * n), np.full((n + 1, n, 3), np.log(1 / 3)))
+        return LabelModel(np.array([1.0] + [1e-9] * n), np.full((n + 1, n, 3), [0.0, *np.log([0.5, 0.5])]))
     called = votes == 1
     first = np.where(called.any(axis=1), called.argmax(axis=1) + 1, 0)
     p = np.full((len(votes), n + 1), 0.05 / n)
@@ -100,10 +102,12 @@ def label_model(votes: np.ndarray, counts: np.ndarray, rounds: int = 50) -> Labe
         weights = p * counts[:, None]
         for kind in range(n + 1):
             for j in range(n):
-                seen = np.bincount(votes[:, j], weights[:, kind], 3) + 0.1
+                seen = np.bincount(votes[:, j], weights[:, kind], 3)[1:] + 0.1
                 if kind == 0:
-                    seen[[0, 2]] += counts.sum() / 200
-                model.table[kind, j] = np.log(seen / seen.sum())
+                    seen[1] += counts.sum() / 200
+                elif kind == j + 1:
+                    seen[1] = 1e-6 * seen[0]
+                model.table[kind, j, 1:] = np.log(seen / seen.sum())
         model.shares = (weights.sum(axis=0) + 0.1) / (weights.sum() + 0.1 * (n + 1))
         p = model.kinds(votes)
     return model
