@@ -4,14 +4,17 @@ prepare RAW.csv OUT          clean table OUT/clean, subsets OUT/input; prints th
 carrier-report FLIGHTS OUT   one JSON document per carrier
 airport-report FLIGHTS OUT   one JSON document per airport
 
-FLIGHTS is a clean table: a Parquet directory, or delimited text whose path ends in .csv.
+FLIGHTS is a clean table: a Parquet directory, or delimited text whose path ends in .csv or .csv.gz;
+--format says which it is under any other name. Of text, both reports print how many lines they dropped.
 """
 
 from __future__ import annotations
 
 import argparse
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Observation, SparkSession
+from pyspark.sql import functions as F
 
 from tarmac import model
 from tarmac.operators.cleaning import drop_empty_keys
@@ -20,7 +23,7 @@ from tarmac.plans.airport import nested_airport_report
 from tarmac.plans.carrier import nested_carrier_report
 from tarmac.plans.prepare import write_clean, write_subsets
 from tarmac.plans.quality import rows_by, top_carriers, top_origins
-from tarmac.sources.reading import read_flights, scan_tolerant
+from tarmac.sources.reading import is_text, read_flights, scan_report, scan_tolerant
 from tarmac.sources.writing import write_report
 
 
@@ -41,9 +44,12 @@ def parse_arguments(argv=None) -> argparse.Namespace:
         report.add_argument("flights")
         report.add_argument("out")
         report.add_argument("--keep-existing", action="store_true", help="fail if OUT is there already")
+        report.add_argument("--format", choices=["csv", "parquet"], help="what FLIGHTS is, whatever its name")
     bands = commands.choices["airport-report"]
     bands.add_argument("--low-below", type=float, default=model.LOW_BELOW)
     bands.add_argument("--high-above", type=float, default=model.HIGH_ABOVE)
+    bands.add_argument("--top", type=int, default=3, metavar="K", help="causes per month (default: 3)")
+    bands.add_argument("--ungated", action="store_true", help="count cancellation reasons of operated flights too")
     return parser.parse_args(argv)
 
 
@@ -71,6 +77,19 @@ def prepare(spark: SparkSession, args: argparse.Namespace) -> None:
         print(f"flight_{name}.csv {rows:>15,}")
 
 
+def line_counts(spark: SparkSession, path: str, schema, lines: Observation, parsed: Observation) -> tuple[int, int]:
+    """Lines read and lines kept, as observed while the report was written.
+
+    Spark loses what it observed if no row is left for the report, because it then drops the
+    plan; only such files are read a second time.
+    """
+    try:
+        return lines.get["lines"], parsed.get["lines"]
+    except Py4JJavaError:
+        counts = {row.status: row.lines for row in scan_report(spark, path, schema).collect()}
+        return sum(counts.values()), counts.get("kept", 0)
+
+
 def main(argv=None, spark: SparkSession | None = None) -> None:
     args = parse_arguments(argv)
     spark = spark or SparkSession.builder.appName(f"tarmac {args.command}").getOrCreate()
@@ -87,10 +106,18 @@ def main(argv=None, spark: SparkSession | None = None) -> None:
         keys = ("origin",)
 
         def report(flights):
-            return nested_airport_report(flights, args.low_below, args.high_above)
-
-    flights = read_flights(spark, args.flights, model.subset_of(model.FLIGHTS, columns))
+            return nested_airport_report(flights, args.low_below, args.high_above, args.top, not args.ungated)
+
+    lines, parsed = Observation("lines"), Observation("parsed")
+    schema = model.subset_of(model.FLIGHTS, columns)
+    flights = read_flights(spark, args.flights, schema, args.format, lines)
+    text = is_text(args.flights, args.format)
+    if text:
+        flights = flights.observe(parsed, F.count("*").alias("lines"))
     write_report(report(drop_empty_keys(flights, keys)), args.out, mode)
+    if text:
+        read, kept = line_counts(spark, args.flights, schema, lines, parsed)
+        print(f"{'lines':20} {read:>15,}\n{'dropped':20} {read - kept:>15,}")
 
 
 if __name__ == "__main__":

@@ -40,11 +40,13 @@ def explode_causes(flights: DataFrame, *keep: str) -> DataFrame:
 def top_causes_by_window(flights: DataFrame, keys=("origin", "month"), k: int = 3) -> DataFrame:
     """The same ranking for any number of labels: count per label, then a window per group.
 
-    The window sorts at most one row per label and group.
+    The window sorts at most one row per label and group. Reasons outside the known ones, which
+    only uncleaned tables hold, have a label here like any other and come last among equal
+    counts; ``ranked_causes`` knows the labels in advance and leaves such reasons out.
     """
     counts = explode_causes(flights, *keys).groupBy(*keys, "cause").agg(F.count("*").alias("count"))
     place = F.array_position(F.array(*(F.lit(label) for label in CAUSE_LABELS)), F.col("cause"))
-    order = Window.partitionBy(*keys).orderBy(F.desc("count"), place, F.col("cause"))
+    order = Window.partitionBy(*keys).orderBy(F.desc("count"), place == 0, place, F.col("cause"))
     return (
         counts.withColumn("rank", F.row_number().over(order))
         .filter(F.col("rank") <= k)

@@ -86,15 +86,25 @@ def scan_report(spark: SparkSession, path, schema: T.StructType = FLIGHTS) -> Da
     return lines.groupBy(status.alias("status")).agg(F.count("*").alias("lines"))
 
 
-def read_flights(spark: SparkSession, path, schema: T.StructType = FLIGHTS, form: str | None = None) -> DataFrame:
+def is_text(path, form: str | None = None) -> bool:
+    """Whether ``read_flights`` takes the path for delimited text."""
+    return form == "csv" if form else str(path).rstrip("/").endswith((".csv", ".csv.gz"))
+
+
+def read_flights(
+    spark: SparkSession,
+    path,
+    schema: T.StructType = FLIGHTS,
+    form: str | None = None,
+    lines: Observation | None = None,
+) -> DataFrame:
     """Clean flights from a Parquet table or delimited text.
 
-    ``form`` is "csv" or "parquet"; without it a path that ends in ``.csv`` or ``.csv.gz`` is text.
+    ``form`` is "csv" or "parquet"; without it a path that ends in ``.csv`` or ``.csv.gz`` is text, of
+    which ``lines`` counts the lines.
     """
-    if form is None:
-        form = "csv" if str(path).rstrip("/").endswith((".csv", ".csv.gz")) else "parquet"
-    if form == "csv":
-        return scan_tolerant(spark, path, schema)
+    if is_text(path, form):
+        return scan_tolerant(spark, path, schema, lines)
     return spark.read.parquet(path).select(*schema.names)
 
 

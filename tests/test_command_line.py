@@ -86,3 +86,31 @@ def test_existing_report_can_be_kept(out, tmp_path):
     main(["carrier-report", str(out / "clean"), str(tmp_path / "r")])
     with pytest.raises(Exception, match="(?i)exists"):
         main(["carrier-report", str(out / "clean"), str(tmp_path / "r"), "--keep-existing"])
+
+
+def test_reports_say_how_many_lines_they_drop(spark, tmp_path, capsys):
+    fields = dict.fromkeys(FLIGHTS.names, "0") | {"month": "1", "op_unique_carrier": "AA", "origin": "JFK"}
+    good = ",".join(fields.values())
+    junk = ",".join((fields | {"arr_delay": "abc"}).values())
+    raw = write_lines(tmp_path / "raw.csv", [good, junk, good, "1,AA"], ",".join(FLIGHTS.names))
+    for command in ("carrier-report", "airport-report"):
+        main([command, raw, str(tmp_path / command)], spark)
+        assert [line.split() for line in capsys.readouterr().out.splitlines()] == [["lines", "4"], ["dropped", "2"]]
+    for name, rows in {"empty": [], "broken": ["1,AA", junk]}.items():
+        raw = write_lines(tmp_path / f"{name}.csv", rows, ",".join(FLIGHTS.names))
+        main(["carrier-report", raw, str(tmp_path / name)], spark)
+        assert capsys.readouterr().out.split() == ["lines", str(len(rows)), "dropped", str(len(rows))]
+
+
+def test_format_top_and_ungated_are_options(spark, tmp_path):
+    fields = dict.fromkeys(FLIGHTS.names, "0") | {
+        "month": "1", "op_unique_carrier": "AA", "origin": "JFK", "carrier_delay": "5", "weather_delay": "5"
+    }
+    flown = ",".join((fields | {"cancellation_reason": "Security"}).values())
+    raw = write_lines(tmp_path / "flights.txt", [flown], ",".join(FLIGHTS.names))
+    found = {}
+    for name, options in {"default": [], "one": ["--top", "1"], "ungated": ["--ungated"]}.items():
+        main(["airport-report", raw, str(tmp_path / name), "--format", "csv", *options], spark)
+        ((month,),) = ([d["months"] for d in documents(tmp_path / name)])
+        found[name] = len(month["top_3_causes"])
+    assert found == {"default": 2, "one": 1, "ungated": 3}

@@ -9,6 +9,7 @@ from tarmac.operators import cleaning, ranking, subsets
 from tarmac.plans import airport, carrier, quality
 from tarmac.registry import QUERIES
 from tarmac.sources import reading, writing
+from tarmac.sources.writing import in_order
 from helpers import exchanges, plan_of, times
 
 JIT_LIMIT = 8000  # bytes of a generated method above which Java only interprets it
@@ -57,6 +58,11 @@ def test_shuffles(clean, report, most):
     assert exchanges(report(clean)) <= most
 
 
+@pytest.mark.parametrize("report", [carrier.nested_carrier_report, airport.nested_airport_report])
+def test_a_report_in_order_takes_no_further_shuffle(clean, report):
+    assert exchanges(in_order(report(clean))) == 2
+
+
 def test_cleaning_and_funnel_shuffle_nothing_but_counts(raw):
     assert exchanges(cleaning.clean(raw)) == 0
     assert exchanges(quality.cleaning_funnel(raw)) == 1  # one row per task

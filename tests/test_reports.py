@@ -188,3 +188,12 @@ def test_one_hot_group_gives_the_same_statistics(spark, bound):
         factor = 50 if key[1] == "AP7" else 1
         assert row.num_flights == factor * before[key].num_flights
         assert row[3:] == before[key][3:]
+
+
+def test_unknown_reasons_rank_only_where_labels_are_open(spark):
+    rows = [flight(cancelled=1, cancellation_reason="Strike"), flight(cancelled=1, cancellation_reason="Weather")]
+    table = flights(spark, *rows)
+    known = [(r.cause, r["count"]) for r in airport.top_causes(table).orderBy("rank").collect()]
+    open_ = [(r.cause, r["count"]) for r in ranking.top_causes_by_window(table).orderBy("rank").collect()]
+    assert known == [("Canc_Weather", 1)]
+    assert open_ == [("Canc_Weather", 1), ("Canc_Strike", 1)]
