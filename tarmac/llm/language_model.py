@@ -4,7 +4,10 @@ A small network sees two words to either side of a place and gives every word a
 The score of a document is the sum, over all its words, of the log probability of the word
 given its neighbours; ``pseudo_perplexity`` is the usual form of the mean.
 
-Vocabulary: the most frequent words of all documents; any other word is one of ``OTHERS`` marks by its hash.
+Vocabulary: the most frequent words of all documents; any other word is one of ``OTHERS`` marks by its hash,
+and its probability that of the mark times the word's share of all that the mark stands for. The counts of
+these words stay in Spark tables: documents are encoded in blocks, each with a list of its distinct
+words, and only these are joined with the counts.
 Network: an embedding for each of the four places, added up, tanh, then a class of words and a word
 of that class, so a word costs two small softmaxes. Training: every document gives the places at every
 ``STRIDE``-th word, beginning at one that its text decides. Each task trains a copy on
@@ -17,6 +20,7 @@ that repeat are scored as often. Other columns are left out.
 
 from __future__ import annotations
 
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -25,8 +29,10 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import DataType
 
 from tarmac.llm.store import saved
 
@@ -40,6 +46,8 @@ ROUNDS = 2
 BATCH = 2048
 RATE = 0.1
 PIECE = 1 << 14  # numbers of the model that travel in one row
+BLOCK_WORDS, BLOCK_PLACES = 100_000, 2_000_000  # distinct other words of a block, and places of such words, that end it
+SMOOTHING = 0.1  # added to the count of a word, and of one more that stands for those never seen
 
 
 # --- Words -------------------------------------------------------------------------------
@@ -70,33 +78,114 @@ def _counts(seen: Counter) -> pa.RecordBatch:
     )
 
 
-class Vocabulary(dict):
-    """Word to id; words outside share OTHERS ids by their hash."""
+@dataclass
+class Encoded:
+    """``docs``: block, at (number in the block), doc_id, ``ids`` (bytes, 16 bits a word) and ``first``, the place
+    where training begins. ``rest``: block, at and the log shares of the document's other words, added up."""
+
+    docs: DataFrame
+    rest: DataFrame
+
 
-    LIMIT = 300_000
+class Block(dict):
+    """Word to id; words outside the vocabulary get numbers from VOCABULARY on, in the order they come."""
+
+    def __init__(self, words: dict[str, int], number: int):
+        super().__init__(words)
+        self.number = number
+        self.hashes, self.marks = array("q"), array("h")
+        self.places, self.sizes = array("i"), array("i")
 
     def __missing__(self, word: str) -> int:
-        value = VOCABULARY - OTHERS + xxhash.xxh3_64_intdigest(word) % OTHERS
-        if len(self) < self.LIMIT:
-            self[word] = value
-        return value
+        value = xxhash.xxh64_intdigest(word, 42)  # as the function xxhash64 of Spark
+        self.hashes.append(value - (1 << 64) if value >> 63 else value)
+        self.marks.append(VOCABULARY - OTHERS + value % OTHERS)
+        self[word] = VOCABULARY + len(self.marks) - 1
+        return self[word]
+
+    def encode(self, text: str) -> bytes:
+        codes = np.fromiter(map(self.__getitem__, text.lower().split()), np.int32)
+        other = np.flatnonzero(codes >= VOCABULARY)
+        numbers = codes[other] - VOCABULARY
+        self.places.frombytes(numbers.tobytes())
+        self.sizes.append(len(numbers))
+        if len(numbers):
+            codes[other] = np.frombuffer(self.marks, np.int16)[numbers]
+        return codes.astype(np.int16).tobytes()
+
+    def full(self, words: int) -> bool:
+        return len(self.hashes) >= words or len(self.places) >= BLOCK_PLACES
 
 
-def encoded(docs: DataFrame, words: dict[str, int]) -> DataFrame:
-    """doc_id, ``ids`` (bytes, 16 bits a word) and ``first``, the place where training begins; stored."""
+ENCODED = "block long, at int, doc_id long, ids binary, first int, hashes array<long>, places binary, sizes binary"
+
+
+def encoded(docs: DataFrame, words: dict[str, int], block_words: int = BLOCK_WORDS) -> tuple[DataFrame, DataFrame]:
+    """The documents as in ``Encoded``, and the blocks: the hashes of their distinct other words, at which of
+    these each place of such a word points, and how many places each document has. Both stored."""
     held = docs.sparkSession.sparkContext.broadcast(words)
+    schema = to_arrow_schema(DataType.fromDDL(ENCODED))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = Vocabulary(held.value)
+        block, rows = Block(held.value, TaskContext.get().partitionId() << 32), []
+
+        def closed() -> dict:
+            return {"block": block.number, "hashes": block.hashes.tolist(), "places": block.places.tobytes(), "sizes": block.sizes.tobytes()}
+
         for batch in batches:
-            texts = [t or "" for t in batch.column("text").to_pylist()]
-            ids = [np.fromiter(map(vocabulary.__getitem__, t.lower().split()), np.int16).tobytes() for t in texts]
-            first = [xxhash.xxh3_64_intdigest(t) % STRIDE for t in texts]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(ids, pa.binary()), pa.array(first, pa.int32())], ["doc_id", "ids", "first"]
-            )
+            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
+                text = text or ""
+                rows.append(
+                    {"block": block.number, "at": len(block.sizes), "doc_id": doc_id, "ids": block.encode(text), "first": xxhash.xxh3_64_intdigest(text) % STRIDE}
+                )
+                if block.full(block_words):
+                    yield pa.RecordBatch.from_pylist([*rows, closed()], schema)
+                    block, rows = Block(held.value, block.number + 1), []
+            if rows:
+                yield pa.RecordBatch.from_pylist(rows, schema)
+                rows = []
+        yield pa.RecordBatch.from_pylist([closed()], schema)
 
-    return saved(docs.select("doc_id", "text").mapInArrow(run, "doc_id long, ids binary, first int"), "word-ids")
+    table = saved(docs.select("doc_id", "text").mapInArrow(run, ENCODED), "word-ids")
+    blocks = table.where("sizes is not null").select("block", "hashes", "places", "sizes")
+    return table.where("sizes is null").select("block", "at", "doc_id", "ids", "first"), blocks
+
+
+def _mark(hash_: str = "hash") -> Column:
+    return F.pmod(F.col(hash_), F.lit(OTHERS)).cast("int").alias("mark")
+
+
+def mark_sums(others: DataFrame) -> DataFrame:
+    """mark, ``total`` and ``words`` of it: how often its words occur and how many there are; OTHERS rows at most."""
+    return others.groupBy(_mark()).agg(F.sum("times").alias("total"), F.count("*").alias("words"))
+
+
+def rest_sums(blocks: DataFrame, others: DataFrame, sums: DataFrame) -> DataFrame:
+    """block, at and ``rest``: the log shares that a document's other words have of their marks, added up."""
+    words = blocks.select("block", F.posexplode("hashes").alias("number", "hash"))
+    counted = words.join(others.select("hash", "times"), "hash", "left").select("block", "number", _mark(), "times")
+    times, total, n = (F.coalesce(c, F.lit(0)) for c in ("times", "total", "words"))
+    share = F.log((times + SMOOTHING) / (total + SMOOTHING * (n + 1)))
+    shares = counted.join(F.broadcast(sums), "mark", "left").select("block", "number", share.alias("share"))
+    listed = shares.groupBy("block").agg(F.collect_list("number").alias("numbers"), F.collect_list("share").alias("shares"))
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                sizes = np.frombuffer(batch.column("sizes")[k].as_py(), np.int32)
+                places = np.frombuffer(batch.column("places")[k].as_py(), np.int32)
+                logs = np.zeros(len(places))
+                if len(places):
+                    numbers = batch.column("numbers")[k].values.to_numpy(zero_copy_only=False)
+                    by_number = np.empty(numbers.max() + 1)
+                    by_number[numbers] = batch.column("shares")[k].values.to_numpy(zero_copy_only=False)
+                    logs = by_number[places]
+                rest = np.bincount(np.repeat(np.arange(len(sizes)), sizes), logs, len(sizes)).astype(float)
+                block = np.full(len(sizes), batch.column("block")[k].as_py(), np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(block), pa.array(np.arange(len(sizes), dtype=np.int32)), pa.array(rest)], ["block", "at", "rest"])
+
+    both = blocks.select("block", "places", "sizes").join(listed, "block", "left")
+    return saved(both.mapInArrow(add, "block long, at int, rest double"), "rest-sums")
 
 
 def _joined(ids: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -295,22 +384,30 @@ def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _row(piece, task, places, sums)
 
 
-def fit(docs: DataFrame, rounds: int = ROUNDS) -> tuple[DataFrame, np.ndarray]:
+def fit(docs: DataFrame, rounds: int = ROUNDS, block_words: int = BLOCK_WORDS) -> tuple[Encoded, np.ndarray]:
     """The encoded documents and the network's weights."""
-    top = word_counts(docs).orderBy(F.desc("times"), "word").limit(VOCABULARY - OTHERS).collect()
+    all_words = saved(word_counts(docs).withColumn("hash", F.xxhash64("word")), "word-counts")
+    top = all_words.orderBy(F.desc("times"), "word").limit(VOCABULARY - OTHERS).collect()
+    least = top[-1] if top else {"times": 0, "word": ""}
+    others = all_words.where(
+        (F.col("times") < least["times"]) | ((F.col("times") == least["times"]) & (F.col("word") > F.lit(least["word"])))
+    )
+    sums = saved(mark_sums(others), "mark-sums")
     counts = np.zeros(VOCABULARY)
     counts[: len(top)] = [row["times"] for row in top]
-    counts[VOCABULARY - OTHERS :] = counts[: len(top)].min(initial=1)
-    rows = encoded(docs, {row["word"]: i for i, row in enumerate(top)})
+    for row in sums.collect():
+        counts[VOCABULARY - OTHERS + row["mark"]] = row["total"]
+    rows, blocks = encoded(docs, {row["word"]: i for i, row in enumerate(top)}, block_words)
+    rest = rest_sums(blocks, others, sums)
     flat = Network.new(counts).flat().astype(np.float32)
     for _ in range(rounds):
         flat = train_round(rows, flat)
-    return rows, flat
+    return Encoded(rows, rest), flat
 
 
-def scored(rows: DataFrame, flat: np.ndarray) -> DataFrame:
+def scored(rows: Encoded, flat: np.ndarray) -> DataFrame:
     """doc_id, n_tokens, log_likelihood and pseudo_perplexity of each encoded document."""
-    model = rows.sparkSession.sparkContext.broadcast(flat)
+    model = rows.docs.sparkSession.sparkContext.broadcast(flat)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         network = Network.of(model.value)
@@ -323,11 +420,13 @@ def scored(rows: DataFrame, flat: np.ndarray) -> DataFrame:
                 for b in range(0, len(ids), 1 << 15):
                     logs[b : b + (1 << 15)] = network.log_probabilities(near[b : b + (1 << 15)], ids[b : b + (1 << 15)])
                 owner = np.repeat(np.arange(len(sizes)), sizes)
+                given = [batch.column(c).slice(k, len(sizes)) for c in ("block", "at", "doc_id")]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(k, len(sizes)), pa.array(sizes), pa.array(np.bincount(owner, logs, len(sizes)).astype(float))],
-                    ["doc_id", "n_tokens", "log_likelihood"],
+                    [*given, pa.array(sizes), pa.array(np.bincount(owner, logs, len(sizes)).astype(float))],
+                    ["block", "at", "doc_id", "n_tokens", "marks"],
                 )
 
-    found = rows.select("doc_id", "ids").mapInArrow(score, "doc_id long, n_tokens long, log_likelihood double")
+    marked = rows.docs.select("block", "at", "doc_id", "ids").mapInArrow(score, "block long, at int, doc_id long, n_tokens long, marks double")
+    found = marked.join(rows.rest, ["block", "at"]).select("doc_id", "n_tokens", (F.col("marks") + F.col("rest")).alias("log_likelihood"))
     mean = F.when(F.col("n_tokens") > 0, F.exp(-F.col("log_likelihood") / F.col("n_tokens")))
     return found.withColumn("pseudo_perplexity", mean)

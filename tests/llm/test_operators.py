@@ -354,6 +354,37 @@ def test_training_beats_word_frequencies(spark):
     assert total[0] > total[1]
 
 
+def test_every_word_has_its_own_probability(spark):
+    ship(spark)
+    random = np.random.default_rng(12)
+    # 3,840 words fill the vocabulary; a rarer one occurs 30 times, junk once
+    texts = [" ".join(f"top{i}" for i in random.permutation(3840)) for _ in range(40)]
+    texts += [f"top1 top2 rare{i % 20} top3 top4" for i in range(600)] + ["É漢😀 top1 É漢😀x"] * 2
+    junk = [f"top1 top2 junk{i} top3 top4" for i in range(2000)]
+    docs = spark.createDataFrame(list(enumerate(texts + junk)), "doc_id long, text string").repartition(3)
+    rows, flat = language_model.fit(docs, block_words=100)
+    assert rows.docs.select("block").distinct().count() > 10
+    got = {r.doc_id: r for r in language_model.scored(rows, flat).collect()}
+    times = Counter(w for t in texts + junk for w in t.lower().split())
+    top = {w: i for i, w in enumerate(sorted(times, key=lambda w: (-times[w], w))[: language_model.VOCABULARY - language_model.OTHERS])}
+    network, marks = language_model.Network.of(flat), {}
+    for w in times.keys() - top.keys():
+        marks.setdefault(language_model.xxhash.xxh64_intdigest(w, 42) % language_model.OTHERS, []).append(w)
+    share, mark_of = {}, {}
+    for mark, members in marks.items():
+        whole = sum(times[w] + language_model.SMOOTHING for w in members) + language_model.SMOOTHING
+        share |= {w: np.log((times[w] + language_model.SMOOTHING) / whole) for w in members}
+        mark_of |= {w: language_model.VOCABULARY - language_model.OTHERS + mark for w in members}
+    for k in [0, *range(40, 60), 640, *range(642, 2642, 97)]:
+        words = (texts + junk)[k].lower().split()
+        ids = np.array([top.get(w, mark_of.get(w)) for w in words], np.int16)
+        near = language_model.windows(ids, np.array([len(ids)]))
+        want = network.log_probabilities(near, ids).sum() + sum(share.get(w, 0) for w in words)
+        assert (got[k].n_tokens, got[k].log_likelihood) == (len(words), pytest.approx(want, rel=1e-3)), words[:8]
+    mean = lambda ids: np.mean([got[k].log_likelihood / got[k].n_tokens for k in ids])
+    assert mean(range(642, 2642)) < mean(range(40, 640)) - 0.3
+
+
 def test_pipeline(spark):
     sf_dir = "/root/testdata/sf0.01"
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
