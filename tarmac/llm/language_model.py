@@ -9,8 +9,9 @@ and its probability that of the mark times the word's share of all that the mark
 these words stay in Spark tables: documents are encoded in blocks, each with a list of its distinct
 words, and only these are joined with the counts.
 Network: an embedding for each of the four places, added up, tanh, then a class of words and a word
-of that class, so a word costs two small softmaxes. Training: every document gives the places at every
-``STRIDE``-th word, beginning at one that its text decides. Each task trains a copy on
+of that class, so a word costs two small softmaxes. Training: every place of every document is predicted
+once; of ``rounds`` rounds each takes every ``rounds``-th place, one further on than the round before, from a beginning
+that the document's number decides. Each task trains a copy on
 the documents it reads; the copies' mean, weighted by their places, begins the next round. What is
 gathered, word counts and copies, grows with the input; the model does not.
 
@@ -35,13 +36,13 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import DataType
 
 from tarmac.llm.store import saved
+from tarmac.llm.words import mixed
 
 REACH = 2
 CLASSES, CLASS_SIZE = 64, 64
 VOCABULARY = CLASSES * CLASS_SIZE
 OTHERS = 256
 WIDTH = 32
-STRIDE = 8
 ROUNDS = 2
 BATCH = 2048
 RATE = 0.1
@@ -80,8 +81,7 @@ def _counts(seen: Counter) -> pa.RecordBatch:
 
 @dataclass
 class Encoded:
-    """``docs``: block, at (number in the block), doc_id, ``ids`` (bytes, 16 bits a word) and ``first``, the place
-    where training begins. ``rest``: block, at and the log shares of the document's other words, added up."""
+    """``docs``: block, at (number in the block), doc_id and ``ids`` (bytes, 16 bits a word). ``rest``: block, at and the log shares of the document's other words, added up."""
 
     docs: DataFrame
     rest: DataFrame
@@ -117,7 +117,7 @@ class Block(dict):
         return len(self.hashes) >= words or len(self.places) >= BLOCK_PLACES
 
 
-ENCODED = "block long, at int, doc_id long, ids binary, first int, hashes array<long>, places binary, sizes binary"
+ENCODED = "block long, at int, doc_id long, ids binary, hashes array<long>, places binary, sizes binary"
 
 
 def encoded(docs: DataFrame, words: dict[str, int], block_words: int = BLOCK_WORDS) -> tuple[DataFrame, DataFrame]:
@@ -134,10 +134,7 @@ def encoded(docs: DataFrame, words: dict[str, int], block_words: int = BLOCK_WOR
 
         for batch in batches:
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-                text = text or ""
-                rows.append(
-                    {"block": block.number, "at": len(block.sizes), "doc_id": doc_id, "ids": block.encode(text), "first": xxhash.xxh3_64_intdigest(text) % STRIDE}
-                )
+                rows.append({"block": block.number, "at": len(block.sizes), "doc_id": doc_id, "ids": block.encode(text or "")})
                 if block.full(block_words):
                     yield pa.RecordBatch.from_pylist([*rows, closed()], schema)
                     block, rows = Block(held.value, block.number + 1), []
@@ -148,7 +145,7 @@ def encoded(docs: DataFrame, words: dict[str, int], block_words: int = BLOCK_WOR
 
     table = saved(docs.select("doc_id", "text").mapInArrow(run, ENCODED), "word-ids")
     blocks = table.where("sizes is not null").select("block", "hashes", "places", "sizes")
-    return table.where("sizes is null").select("block", "at", "doc_id", "ids", "first"), blocks
+    return table.where("sizes is null").select("block", "at", "doc_id", "ids"), blocks
 
 
 def _mark(hash_: str = "hash") -> Column:
@@ -324,23 +321,25 @@ class Trainer:
 # --- Training and scoring in Spark -------------------------------------------------------
 
 
-def _chosen(first: list[int], sizes: np.ndarray) -> np.ndarray:
-    """Places that the texts are trained on: every STRIDE-th of each, from its first."""
-    begins = np.cumsum(sizes) - sizes
-    return np.concatenate([np.zeros(0, np.int64), *(np.arange(b + f, b + n, STRIDE) for b, f, n in zip(begins, first, sizes))])
+def _chosen(numbers: np.ndarray, sizes: np.ndarray, turn: int, rounds: int) -> np.ndarray:
+    """Places that round ``turn`` of ``rounds`` trains on: every ``rounds``-th of each text, so that all rounds
+    together take each place once. The texts' numbers spread where they begin, also for copies."""
+    first = (mixed(numbers.astype(np.uint64)) % np.uint64(rounds)).astype(np.int64)
+    within = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes - first, sizes)
+    return np.flatnonzero(within % rounds == turn)
 
 
-def train_round(rows: DataFrame, flat: np.ndarray) -> np.ndarray:
-    """One round over encoded documents: a copy of the network for each task, and their mean."""
+def train_round(rows: DataFrame, flat: np.ndarray, turn: int, rounds: int) -> np.ndarray:
+    """One round over its places of encoded documents: a copy of the network for each task, and their mean."""
     model = rows.sparkSession.sparkContext.broadcast(flat)
 
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trainer, places = Trainer(Network.of(model.value)), 0
         for batch in batches:
-            held, first = batch.column("ids").to_pylist(), batch.column("first").to_pylist()
+            held, at = batch.column("ids").to_pylist(), batch.column("at").to_numpy()
             for k in range(0, len(held), 1000):
                 ids, sizes = _joined(held[k : k + 1000])
-                chosen = _chosen(first[k : k + 1000], sizes)
+                chosen = _chosen(at[k : k + 1000], sizes, turn, rounds)
                 near, target = windows(ids, sizes, chosen), ids[chosen]
                 for b in range(0, len(chosen), BATCH):
                     trainer.learn(near[b : b + BATCH], target[b : b + BATCH])
@@ -350,7 +349,7 @@ def train_round(rows: DataFrame, flat: np.ndarray) -> np.ndarray:
             yield from _rows(task, places, trainer.network.flat().astype(np.float64) * places)
 
     kinds = "piece int, task int, places double, sums binary"
-    copies = rows.select("ids", "first").mapInArrow(train, kinds)
+    copies = rows.select("at", "ids").mapInArrow(train, kinds)
     # two steps, so that no task adds up more than a small share of the copies of a piece
     some = copies.withColumn("task", F.floor(F.col("task") / 64).cast("int")).repartition("piece", "task").mapInArrow(_added, kinds)
     sums = some.withColumn("task", F.lit(0)).repartition("piece").mapInArrow(_added, kinds).collect()
@@ -400,8 +399,8 @@ def fit(docs: DataFrame, rounds: int = ROUNDS, block_words: int = BLOCK_WORDS) -
     rows, blocks = encoded(docs, {row["word"]: i for i, row in enumerate(top)}, block_words)
     rest = rest_sums(blocks, others, sums)
     flat = Network.new(counts).flat().astype(np.float32)
-    for _ in range(rounds):
-        flat = train_round(rows, flat)
+    for turn in range(rounds):
+        flat = train_round(rows, flat, turn, rounds)
     return Encoded(rows, rest), flat
 
 

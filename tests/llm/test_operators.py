@@ -354,6 +354,19 @@ def test_training_beats_word_frequencies(spark):
     assert total[0] > total[1]
 
 
+def test_training_takes_every_place_once(spark):
+    sizes = np.array([0, 1, 3, 0, 20, 1, 7])
+    for rounds in (1, 2, 3, 8):
+        taken = np.concatenate([language_model._chosen(np.arange(7), sizes, turn, rounds) for turn in range(rounds)])
+        assert sorted(taken) == list(range(sizes.sum()))
+    # so do copies of a text of two words, in every round
+    ship(spark)
+    docs = spark.createDataFrame([(i, "a b" if i % 2 else "c d") for i in range(20000)], "doc_id long, text string").coalesce(1)
+    trained, weights = language_model.fit(docs)
+    got = [r.pseudo_perplexity for r in language_model.scored(trained, weights).collect()]
+    assert max(got) < 2
+
+
 def test_every_word_has_its_own_probability(spark):
     ship(spark)
     random = np.random.default_rng(12)
