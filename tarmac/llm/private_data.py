@@ -1,9 +1,9 @@
 """Personal data in texts: fixed patterns, and identifiers learnt from the words around them.
 
 ``spans`` finds e-mail addresses, network addresses, card and phone numbers by their form. These are
-the seeds. What stands before and after a seed is a pattern: its last two words, or the word
+the seeds. What stands before and after a whole seed is a pattern: its last two words, or the word
 before and the word after. Other tokens with a digit or @ in the place of a seed are
-candidates. Patterns and the distinct values they hold form a graph for each kind, on which scores are
+candidates; groups of digits that stand side by side are one token. Patterns and the distinct values they hold form a graph for each kind, on which scores are
 passed back and forth: a pattern is worth the mean score of its values, a value as much as its
 patterns together. Values of another kind count against a pattern. Candidates that patterns of
 high confidence lead to are further spans of that kind; those of the fixed patterns always stay.
@@ -29,7 +29,10 @@ EMAIL = r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Z
 IP = r"(?:\G|(?<![0-9]))[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 CARD = r"(?<![0-9])(?<![0-9][ -])[0-9](?:[ -]?[0-9]){11,18}+(?![ -]?[0-9])"
 PHONE = r"\+[0-9][ ().0-9-]+[0-9]"
-TOKEN = r"(?:\G|(?<!\S))[^\s0-9@]*+[0-9@]\S*+"
+# A token with a digit or @; groups of digits with a blank between them are one, unless a mark ends the first.
+DIGITS = r"[0-9][^\s\p{L}@]*+(?!\S)"
+TOKEN = rf"(?:\G|(?<!\S))(?:[^\s\p{{L}}0-9@]*+{DIGITS}(?:(?<=[0-9)]) \(?{DIGITS})*+|[^\s0-9@]*+[0-9@]\S*+)"
+LEAD = r"^(?:(?!\([0-9]++\))[^\p{L}0-9@+])++"
 
 MIN_SUPPORT = 3  # distinct seeds of a kind that a pattern must hold
 MIN_CONFIDENCE = 0.6
@@ -94,30 +97,57 @@ def written(found: Column) -> Column:
     )
 
 
+def _blanked(text: Column, found: Column) -> Column:
+    """The text with the spans overwritten by as many letters."""
+    start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<string>").alias("out"))
+
+    def step(state: Column, x: Column) -> Column:
+        kept = F.substring(text, (state["at"] + 1).cast("int"), F.greatest(x["start"] - state["at"], F.lit(0)).cast("int"))
+        filled = F.greatest(x["end"] - F.greatest(x["start"], state["at"]), F.lit(0)).cast("int")
+        out = F.concat(state["out"], F.array(kept, F.repeat(F.lit("x"), filled)))
+        return F.struct(F.greatest(state["at"], x["end"]).alias("at"), out.alias("out"))
+
+    def finish(state: Column) -> Column:
+        return F.concat(F.array_join(state["out"], ""), F.substring(text, (state["at"] + 1).cast("int"), F.length(text)))
+
+    return F.when(F.size(found) > 0, F.aggregate(found, start, step, finish)).otherwise(text)
+
+
+def _mention(text: Column, start: Column, end: Column, value: Column, kind: Column) -> Column:
+    """What stands at start..end, and the words around it without the marks that touch it."""
+    before = F.substring(text, F.greatest(start - 79, F.lit(1)).cast("int"), F.least(start, F.lit(80)).cast("int"))
+    after = F.substring(text, (end + 1).cast("int"), F.lit(40))
+    left_words = F.split(F.regexp_replace(F.lower(before), r"[^\s\p{L}0-9]++$", ""), r"\s+")
+    right_words = F.split(F.regexp_replace(F.lower(after), r"^[^\s\p{L}0-9]++", ""), r"\s+")
+    left = F.concat(F.array(F.lit("^"), F.lit("^")), F.filter(left_words, lambda w: w != ""))
+    right = F.filter(right_words, lambda w: w != "")
+    return F.struct(
+        start.alias("start"),
+        end.alias("end"),
+        F.lower(value).alias("value"),
+        F.concat_ws(" ", F.element_at(left, -2), F.element_at(left, -1), F.lit("_")).alias("before"),
+        F.concat_ws(" ", F.element_at(left, -1), F.lit("_"), F.coalesce(F.get(right, F.lit(0)), F.lit("$"))).alias("around"),
+        kind.alias("kind"),
+    )
+
+
 def _mentions(text: Column, found: Column) -> Column:
-    """Tokens with a digit or @, where they stand, the words around them, and their kind if a span
-    begins in them (-1: none does). Tokens that only continue a span are left out."""
-    tokens = _matches(text, TOKEN, -1, text.rlike("[0-9@]"))
-
-    def around(x: Column) -> Column:
-        before = F.substring(text, F.greatest(x["start"] - 79, F.lit(1)).cast("int"), F.least(x["start"], F.lit(80)).cast("int"))
-        after = F.substring(text, (x["end"] + 1).cast("int"), F.lit(40))
-        left = F.concat(F.array(F.lit("^"), F.lit("^")), F.filter(F.split(F.lower(before), r"\s+"), lambda w: w != ""))
-        right = F.filter(F.split(F.lower(after), r"\s+"), lambda w: w != "")
-        kinds = F.filter(found, lambda s: (s["start"] >= x["start"]) & (s["start"] < x["end"]))
-        inside = F.exists(found, lambda s: (s["start"] < x["end"]) & (s["end"] > x["start"]))
-        lead = F.length(x["value"]) - F.length(F.regexp_replace(x["value"], r"^[^\p{L}0-9@+]+", ""))
-        bare = F.regexp_replace(F.regexp_replace(x["value"], r"^[^\p{L}0-9@+]+", ""), r"[^\p{L}0-9]+$", "")
-        return F.struct(
-            (x["start"] + lead).alias("start"),
-            (x["start"] + lead + F.length(bare)).alias("end"),
-            F.lower(bare).alias("value"),
-            F.concat_ws(" ", F.element_at(left, -2), F.element_at(left, -1), F.lit("_")).alias("before"),
-            F.concat_ws(" ", F.element_at(left, -1), F.lit("_"), F.coalesce(F.get(right, F.lit(0)), F.lit("$"))).alias("around"),
-            F.coalesce(F.get(kinds, F.lit(0))["kind"], F.when(inside, F.lit(-2)).otherwise(F.lit(-1))).alias("kind"),
-        )
+    """The spans found, with their kinds, and the candidates (kind -1): tokens with a digit or @ outside of
+    spans, adjacent groups of digits as one, of more than 3 characters."""
+    seeds = F.transform(found, lambda s: _mention(text, s["start"], s["end"], s["value"], s["kind"]))
+    rest = _blanked(text, found)
+    tokens = F.filter(
+        _matches(rest, TOKEN, -1, rest.rlike("[0-9@]")),
+        lambda x: ~F.exists(found, lambda s: (s["start"] < x["end"]) & (s["end"] > x["start"])),
+    )
+
+    def candidate(x: Column) -> Column:
+        led = F.regexp_replace(x["value"], LEAD, "")
+        bare = F.regexp_replace(led, r"[^\p{L}0-9]+$", "")
+        start = x["start"] + F.length(x["value"]) - F.length(led)
+        return _mention(text, start, start + F.length(bare), bare, F.lit(-1))
 
-    return F.filter(F.transform(tokens, around), lambda m: (m["kind"] > -2) & (F.length(m["value"]) > 3))
+    return F.concat(seeds, F.filter(F.transform(tokens, candidate), lambda m: F.length(m["value"]) > 3))
 
 
 def _key(text: str = "text") -> Column:

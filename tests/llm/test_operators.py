@@ -188,6 +188,27 @@ def test_identifiers_are_learnt_from_their_context(spark):
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
 
 
+def test_identifiers_of_several_groups_are_learnt(spark):
+    def card(i):
+        body = f"4111{i:04d}1234{i * 7 % 1000:03d}"
+        doubled = sum(sum(divmod(2 * int(c), 10)) if k % 2 == 0 else int(c) for k, c in enumerate(reversed(body)))
+        digits = f"{body}{-doubled % 10}"
+        return " ".join(digits[k : k + 4] for k in range(0, 16, 4))
+
+    rows = [(i, f"note {i}z you can phone me on: +1 ({200 + i}) 555-{1000 + i * 13}, or not") for i in range(50)]
+    rows += [(100 + i, f"please pay with card {card(i)} by noon") for i in range(50)]
+    rows += [(200 + i, f"it cost me {i * 37} coins") for i in range(50)]
+    rows += [(500, "and phone me on: (020) 7946 0018, or not"), (501, "I pay with card 4111 1111 1111 1112 by noon"), (502, "phone me on: 020 7946 0018. 12 do")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r for r in private_data.find(docs).collect()}
+    texts = dict(rows)
+    added = {i: [(texts[i][s.start : s.end], private_data.KINDS[s.kind]) for s in r.spans if s not in r.base] for i, r in got.items()}
+    want = {500: [("(020) 7946 0018", "phone")], 501: [("4111 1111 1111 1112", "card")], 502: [("020 7946 0018", "phone")]}
+    assert {i: a for i, a in added.items() if a} == want
+    edges = private_data.scanned(docs).selectExpr("inline(mentions)").where("kind >= 0")
+    assert {r.kind: r.n for r in edges.groupBy("kind").agg(F.countDistinct("value").alias("n")).collect()} == {2: 50, 3: 50}
+
+
 def test_vectors_against_all_pairs(spark):
     ship(spark)
     random = np.random.default_rng(3)
