@@ -4,7 +4,8 @@ What was written is taken for a noisy copy of what was meant: letters replaced b
 marks that look alike, letters repeated, words spaced out or cut by marks. A word that shows
 any of this becomes a lattice of what each character may stand for, and a Viterbi search under
 a language model of characters (trigrams, counted over all documents) finds the likeliest
-original. A word of plain letters has one path only and is not searched.
+original. A word of plain letters has one path only and is not searched. There is no length that
+is not searched; words glued by marks are also searched each by itself.
 
 Restored words are scored with terms learnt from labels: whole words and their first four or
 five letters, each with the share of toxic documents among those that hold it. To learn a
@@ -47,7 +48,9 @@ COST_FOLD = 0.5  # a run of the same letter written for one or two
 COST_JOIN = 0.1  # a blank within a spaced word
 COST_BLANK = 4.0  # a blank that is meant, among letters that stand alone
 
-DISGUISED = re.compile(r"[^\W\d_].*[\d@$!+|(€£¡×µ.,;:\-_*'/~^&%#]|[\d@$!+|(€£¡×µ].*[^\W\d_]|([^\W\d_])\1", re.DOTALL)
+LETTER, DOUBLED, BLANK = re.compile(r"[^\W\d_]"), re.compile(r"([^\W\d_])\1"), re.compile(r"[ \t]")
+MARK_BEFORE, MARK_AFTER = re.compile(r"[\d@$!+|(€£¡×µ]"), re.compile(r"[\d@$!+|(€£¡×µ.,;:\-_*'/~^&%#]")
+GLUE = re.compile(r"[.,;:\-_*'\"/\\~^`#&%=<>\[\]{}]+")  # marks that look like no letter and may stand between words
 PLAIN_EDGES = CUTS + " "
 SPACED = re.compile(r"(?<!\S)\S(?:[ \t]\S){2,}(?!\S)")
 
@@ -55,6 +58,7 @@ LABELLED = 24_000  # labelled rows that terms are learnt from, at most
 MIN_PRECISION = 0.9
 MIN_PROOF = 0.5  # lower bound of the precision, at Z standard errors
 Z = 2.5
+SURE = 5  # letters of a term that is looked for anywhere among spaced letters
 LEAK = 0.01
 CUT_OFF = 0.3
 
@@ -137,16 +141,27 @@ def lattice(word: str) -> list[list[tuple[str, float]]]:
     return out
 
 
+def disguised(word: str) -> bool:
+    """Letters with blanks between them, with marks or digits after or before them, or a letter twice; in time
+    linear in the word."""
+    letter, mark = LETTER.search(word), MARK_BEFORE.search(word)
+    if not letter:
+        return False
+    after = MARK_AFTER.search(word, letter.end()) or (mark and LETTER.search(word, mark.end()))
+    return bool(after or DOUBLED.search(word) or BLANK.search(word))
+
+
 def restored(word: str, costs: np.ndarray, keep: int = 64) -> str:
     """The likeliest original of a disguised word: Viterbi over the last two symbols.
 
     ``keep`` bounds the states of a position; there are at most as many as pairs of symbols that
-    two neighbouring characters can stand for.
+    two neighbouring characters can stand for. Each state points back to the one before, so the time is
+    linear in the word.
     """
-    states: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
+    states: dict[tuple[int, int], tuple[float, tuple]] = {(0, 0): (0.0, ())}
     for options in lattice(word):
-        following: dict[tuple[int, int], tuple[float, str]] = {}
-        for (a, b), (cost, text) in states.items():
+        following: dict[tuple[int, int], tuple[float, tuple]] = {}
+        for (a, b), (cost, path) in states.items():
             for letters, extra in options:
                 total, x, y = cost + extra, a, b
                 for letter in letters:
@@ -155,18 +170,23 @@ def restored(word: str, costs: np.ndarray, keep: int = 64) -> str:
                     x, y = y, z
                 known = following.get((x, y))
                 if known is None or total < known[0]:
-                    following[(x, y)] = (total, text + letters)
+                    following[(x, y)] = (total, (path, letters))
         if len(following) > keep:
             following = dict(sorted(following.items(), key=lambda s: s[1][0])[:keep])
         states = following
-    return min((cost + float(costs[a, b, 0]), text) for (a, b), (cost, text) in states.items())[1]
+    path = min(((cost + float(costs[a, b, 0]), path) for (a, b), (cost, path) in states.items()), key=lambda s: s[0])[1]
+    said = []
+    while path:
+        path, letters = path
+        said.append(letters)
+    return "".join(reversed(said))
 
 
 class Restorer:
     """Words of a text as they were meant; remembers words it has seen."""
 
     LIMIT = 200_000
-    LONGEST = 40  # longer words are no disguise of a word
+    REMEMBERED = 100  # characters; longer words are restored each time, so that memory stays small
 
     def __init__(self, costs: np.ndarray):
         self.costs = costs
@@ -176,22 +196,28 @@ class Restorer:
         found = self.seen.get(written)
         if found is None:
             bare = written.strip(PLAIN_EDGES)
-            if bare.isalpha() and not DISGUISED.search(bare):
+            if bare.isalpha() and not disguised(bare):
                 found = (bare,)
-            elif len(written) > self.LONGEST or not DISGUISED.search(written):
+            elif not disguised(written):
                 found = tuple(re.findall(r"[^\W\d_]+", written))
             else:
-                found = tuple(dict.fromkeys([*re.findall(r"[^\W\d_]+", written), *restored(written, self.costs).split()]))
-            if len(self.seen) >= self.LIMIT:
-                self.seen.clear()
-            self.seen[written] = found
+                said = [*re.findall(r"[^\W\d_]+", written), *restored(written, self.costs).split()]
+                # words glued by marks, each by itself
+                for part in GLUE.split(written):
+                    if 2 < len(part) < len(bare) and " " not in part and disguised(part):
+                        said += self.word(part)
+                found = tuple(dict.fromkeys(said))
+            if len(written) <= self.REMEMBERED:
+                if len(self.seen) >= self.LIMIT:
+                    self.seen.clear()
+                self.seen[written] = found
         return found
 
     def words(self, text: str | None) -> list[tuple[str, ...]]:
         """For each written word what it says; a spaced word adds what its letters spell."""
         lowered = (text or "").lower()
         out = [self.word(w) for w in lowered.split()]
-        out += [self.word(m.group()) for m in SPACED.finditer(lowered) if len(m.group()) <= 2 * self.LONGEST]
+        out += [self.word(m.group()) for m in SPACED.finditer(lowered)]
         return out
 
 
@@ -210,7 +236,9 @@ class Model:
 
     def __post_init__(self):
         self._restorer = None
-        self._known: dict[str, tuple[str, float]] = {}
+        sure = sorted(self.terms, key=lambda t: (-len(t), t))
+        self._sure = [(t, t.lstrip("^")) for t in sure if len(t.lstrip("^")) >= SURE]
+        self._known: dict[str, dict[str, float]] = {}
 
     def __getstate__(self):
         return {"costs": self.costs, "terms": self.terms}
@@ -218,31 +246,43 @@ class Model:
     def __setstate__(self, state):
         self.__init__(**state)
 
-    def _term(self, written: str) -> tuple[str, float]:
-        """The strongest term in what a written word says."""
-        best = ("", 0.0)
-        for word in self._restorer.word(written):
-            for term in terms_of(word):
-                if self.terms.get(term, 0.0) > best[1]:
-                    best = (term, self.terms[term])
-        return best
+    def _terms(self, written: str) -> dict[str, float]:
+        """The strongest term in what a written word says; if it is several words, spaced or glued, that of each.
+        Where a word ends is a guess among spaced letters, so terms of SURE letters count anywhere in them."""
+        found: dict[str, float] = {}
+        spaced = BLANK.search(written)
+        words = restored(written, self.costs).split() if spaced else self._restorer.word(written)
+        for word in words:
+            best = max(terms_of(word), key=lambda t: self.terms.get(t, 0.0), default="")
+            if self.terms.get(best, 0.0) > 0:
+                found[best] = self.terms[best]
+        if spaced:
+            letters = "".join(words)
+            for term, bare in self._sure:
+                # a word and its beginnings are one cause
+                if bare in letters and not any(o.startswith(bare) or bare.startswith(o) for o in (f.lstrip("^") for f in found)):
+                    found[term] = self.terms[term]
+        elif len(found) > 1 and not GLUE.search(written):
+            found = dict([max(found.items(), key=lambda f: f[1])])
+        return found
 
     def score(self, text: str | None) -> float:
         if self._restorer is None:
             self._restorer = Restorer(self.costs)
         lowered = (text or "").lower()
         written = set(lowered.split())
-        written.update(m.group() for m in SPACED.finditer(lowered) if len(m.group()) <= 2 * Restorer.LONGEST)
+        written.update(m.group() for m in SPACED.finditer(lowered))
         found: dict[str, float] = {}
         known = self._known
         for w in written:
             hit = known.get(w)
             if hit is None:
-                if len(known) >= 300_000:
-                    known.clear()
-                hit = known[w] = self._term(w)
-            if hit[0]:
-                found[hit[0]] = hit[1]
+                hit = self._terms(w)
+                if len(w) <= Restorer.REMEMBERED:
+                    if len(known) >= 300_000:
+                        known.clear()
+                    known[w] = hit
+            found |= hit
         return 1 - (1 - LEAK) * math.prod(1 - p for p in sorted(found.values()))
 
 

@@ -1,6 +1,7 @@
 """The numbered operators against brute force, the libraries, and awkward tables."""
 
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -355,6 +356,23 @@ def test_disguised_words(spark, sf_dir):
     assert model.score("the of and") < toxicity.CUT_OFF
 
 
+def test_no_length_hides_a_term(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    ship(spark)
+    model = toxicity.fit(docs, spark.read.parquet("/root/testdata/sf0.01/labels.parquet"))
+    for text in (
+        "idi" + "o" * 90 + "t", "the-and-nation-1d10t-thing-over-under-and-so-on-and-on", "the-1d10t-thing",
+        " ".join("youareanidiotandthatisallthereistosayaboutthisnow"), "a " * 60 + "i d i o t", "i d i o t" + " a" * 60,
+    ):
+        assert model.score(text) >= toxicity.CUT_OFF, text
+    for text in ("9c8b45435718dcc700c184a7e303cdc64c6a8f7f" * 3, "a " * 200, "of-the-and-" * 20, "o" * 500):
+        assert model.score(text) < toxicity.CUT_OFF, text
+    started = time.process_time()
+    for text in ("a1b2-c3." * 4000, "ab" * 16000, "a b " * 8000, "." * 16000 + "ab"):
+        model.score(text)
+    assert time.process_time() - started < 60
+
+
 def test_classifiers_on_labels(spark):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
     ship(spark)
