@@ -21,13 +21,13 @@ pairs and no link is given up. All pairs are verified on the bags before they co
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from functools import reduce
 from operator import add, or_
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -112,7 +112,12 @@ def bags(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def digest(text: str) -> bytes:
-    return xxhash.xxh3_128_digest(text)
+    return hashlib.md5(text.encode(), usedforsecurity=False).digest()
+
+
+def _digest(text: str = "text") -> Column:
+    """``digest`` of a column, null as empty."""
+    return F.unhex(F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary")))
 
 
 def _bits(values: np.ndarray) -> np.ndarray:
@@ -229,6 +234,13 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     Rows without a doc_id take part; a class that has no doc_id at all has class_id null. An empty
     table gives an empty one. Extra columns aren't looked at.
     """
+    placed = _placed(docs, threshold)
+    classes = placed.groupBy("part").agg(F.min("doc_id").alias("class_id"))
+    return placed.join(classes, "part").select("doc_id", "class_id")
+
+
+def _placed(docs: DataFrame, threshold: float) -> DataFrame:
+    """doc_id, key of the text and ``part``, the class, for each row of ``docs``."""
     rows = id_and_text(docs)
     signed = saved(rows.mapInArrow(_signed, "doc_id long, key binary, bands array<long>, lanes array<long>"), "signatures")
     texts_of = signed.groupBy("key").agg(F.first("bands").alias("bands"), F.first("lanes").alias("lanes"))
@@ -273,11 +285,9 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     more = saved(verified(second, _texts(rows, second), threshold), "verified")
     groups = components(links.unionAll(more))
 
-    placed = signed.select("doc_id", "key").join(groups, F.col("key") == F.col("node"), "left").select(
-        "doc_id", F.coalesce("component", "key").alias("part")
+    return signed.select("doc_id", "key").join(groups, F.col("key") == F.col("node"), "left").select(
+        "doc_id", "key", F.coalesce("component", "key").alias("part")
     )
-    classes = placed.groupBy("part").agg(F.min("doc_id").alias("class_id"))
-    return placed.join(classes, "part").select("doc_id", "class_id")
 
 
 def _texts(rows: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -294,8 +304,10 @@ def _texts(rows: DataFrame, pairs: DataFrame) -> DataFrame:
 
 
 def deduplicated(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """One row of each class of near-duplicates, with the columns of ``docs``: the one whose doc_id is
-    the smallest. Of rows with that doc_id one stays; a class without any doc_id loses none."""
-    classes = near_duplicates(docs, threshold).where(F.col("doc_id") == F.col("class_id")).select(F.col("doc_id").alias("_kept")).distinct()
-    kept = docs.join(classes, F.col("doc_id") == F.col("_kept"), "left_semi").dropDuplicates(["doc_id"])
-    return kept.unionAll(docs.where(F.col("doc_id").isNull()))
+    """One row of each class of near-duplicates, with the columns of ``docs``: the one with the smallest doc_id,
+    of those the one whose text has the smallest digest. Rows without a doc_id come last."""
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key")).alias("first")
+    kept = _placed(docs, threshold).groupBy("part").agg(first).select(F.col("first.doc_id").alias("__id"), F.col("first.key").alias("__kept"))
+    keyed = docs.withColumn("__key", _digest())
+    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__key") == F.col("__kept"))
+    return keyed.join(kept, same, "left_semi").dropDuplicates(["doc_id", "__key"]).drop("__key")

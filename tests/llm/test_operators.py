@@ -356,6 +356,21 @@ def test_disguised_words(spark, sf_dir):
     assert model.score("the of and") < toxicity.CUT_OFF
 
 
+def test_one_row_of_each_class_stays(spark):
+    ship(spark)
+    long = "one two three four five six seven eight nine ten eleven twelve".split()
+    near = " ".join(long * 9), " ".join(long * 9 + ["more"])
+    rows = [
+        (1, near[0], "x"), (1, "quite another text of no class at all", "x"), (2, near[1], "x"),  # one id, two classes
+        (3, "alone", "x"), (None, "alone", "x"), (None, "no id", "x"), (None, "no id", "x"), (None, near[1], "x"),
+        (4, None, "x"), (5, "", "x"), (4, None, "x"), (6, "é漢😀", "x"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, key string")
+    kept = bagminhash.deduplicated(docs)
+    want = [(1, near[0], "x"), (1, rows[1][1], "x"), (3, "alone", "x"), (None, "no id", "x"), (4, None, "x"), (6, "é漢😀", "x")]
+    assert sorted(map(tuple, kept.collect()), key=repr) == sorted(want, key=repr) and kept.columns == docs.columns
+
+
 def test_no_length_hides_a_term(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     ship(spark)
