@@ -5,8 +5,8 @@ with the same votes are counted together, so there are at most 3 to the number o
 rows of counts, over all documents. On these expectation-maximisation estimates how often each
 labeller votes what on good and on bad documents, and the share of bad ones. The resulting
 probability of a document's votes is then the label from which a linear scorer on hashed
-features of the words is trained, on a sample of about ``sample`` documents; the scorer
-judges the text itself and not the votes.
+features of the words is trained, on a sample of at most ``sample`` distinct documents, where one that
+repeats is likelier to be drawn and weighs as often; the scorer judges the text itself and not the votes.
 
 Null and empty texts have no features: they get the scorer's bias, and no labeller votes.
 """
@@ -159,8 +159,9 @@ class Scorer:
         return 1 / (1 + np.exp(-np.clip(out, -500, 500)))
 
 
-def train(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, epochs: int = 60) -> Scorer:
-    """Logistic regression on sparse rows by adaptive gradient steps over batches."""
+def train(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, times: np.ndarray | None = None, epochs: int = 60) -> Scorer:
+    """Logistic regression on sparse rows, each of which stands for ``times`` documents (on average 1 after
+    scaling), by adaptive gradient steps over batches."""
     weights, grown, bias, bias_grown = np.zeros(BUCKETS), np.full(BUCKETS, 1e-8), 0.0, 1e-8
     if not len(labels):
         return Scorer(weights, -5.0)
@@ -170,8 +171,9 @@ def train(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, epochs:
     begins = np.concatenate([[0], np.cumsum(sizes)])
     order = np.random.default_rng(7)
     # both classes weigh the same, but a rare class at most twenty times itself
-    share = np.clip(labels.mean(), 0.05, 0.95)
-    weight = np.where(labels > 0.5, 0.5 / share, 0.5 / (1 - share))
+    times = np.ones(len(labels)) if times is None else times / times.mean()
+    share = np.clip((labels * times).mean(), 0.05, 0.95)
+    weight = np.where(labels > 0.5, 0.5 / share, 0.5 / (1 - share)) * times
     for epoch in range(epochs):
         for part in np.array_split(order.permutation(len(rows)), max(1, len(rows) // 256)):
             at = np.concatenate([np.arange(begins[k], begins[k + 1]) for k in part])
@@ -186,21 +188,34 @@ def train(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, epochs:
     return Scorer(weights, float(bias))
 
 
+def draw(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
+    """text and ``weight`` of at most ``sample`` distinct rows (doc_id, text).
+
+    Drawn are those with the smallest quotient of a hash and how often the row occurs; with the next
+    quotient as the limit, a row weighs its times over those that the limit lets through, and at least 1.
+    """
+    cells = 1 << 40
+    content = F.xxhash64("doc_id", "text").alias("content")
+    counted = docs.select(content).groupBy("content").agg(F.count("*").alias("times"))
+    hashed = (F.pmod(F.xxhash64("content", F.lit(1)), F.lit(cells)) + 1) / F.lit(float(cells))
+    first = counted.select("content", "times", (hashed / F.col("times")).alias("rank")).orderBy("rank", "content").limit(sample + 1).collect()
+    limit = first[sample]["rank"] if len(first) > sample else 1.0
+    chosen = [(r["content"], max(1.0, r["times"] * limit) if len(first) > sample else float(r["times"])) for r in first[:sample]]
+    weights = docs.sparkSession.createDataFrame(chosen, "content long, weight double")
+    rows = docs.select(content, "text").join(F.broadcast(weights), "content")
+    return rows.groupBy("content").agg(F.first("text").alias("text"), F.first("weight").alias("weight")).select("text", "weight")
+
+
 def fit(docs: DataFrame, sample: int = SAMPLE) -> tuple[LabelModel, Scorer]:
-    """The label model from all documents; the scorer from about ``sample`` of them, drawn by a
+    """The label model from all documents; the scorer from at most ``sample`` distinct ones, drawn by a
     hash of their content."""
     names = list(LABELLERS)
     patterns = voted(docs).groupBy(*names).count().collect()  # at most 3 ** len(LABELLERS) rows
     votes = np.array([[row[n] for n in names] for row in patterns], np.int64).reshape(-1, len(names))
     counts = np.array([row["count"] for row in patterns], float)
     labels = label_model(votes, counts)
-    total = max(1.0, counts.sum())
     bad_by_votes = {tuple(v): float(p) for v, p in zip(votes.tolist(), labels.bad(votes))}
-    cells = 1 << 40
-    limit = int(min(1.0, sample / total) * cells)
-    drawn = docs.select("doc_id", "text").where(
-        F.pmod(F.xxhash64("doc_id", "text"), F.lit(cells)) < F.lit(limit)
-    )
+    drawn = draw(docs, sample)
 
     conditions = [vote(*rule).alias(name) for name, rule in LABELLERS.items()]
 
@@ -215,15 +230,17 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> tuple[LabelModel, Scorer]:
                     *(pa.array(c, pa.int64()) for c in columns),
                     pa.array([b.tolist() for b, _ in found], pa.list_(pa.int64())),
                     pa.array([s.tolist() for _, s in found], pa.list_(pa.float64())),
+                    batch.column("weight"),
                 ],
-                [*measure.COUNTS, "buckets", "shares"],
+                [*measure.COUNTS, "buckets", "shares", "weight"],
             )
 
-    kinds = ", ".join(f"{n} long" for n in measure.COUNTS) + ", buckets array<long>, shares array<double>"
-    rows = drawn.mapInArrow(with_counts, kinds).select(*conditions, "buckets", "shares").collect()
+    kinds = ", ".join(f"{n} long" for n in measure.COUNTS) + ", buckets array<long>, shares array<double>, weight double"
+    rows = drawn.mapInArrow(with_counts, kinds).select(*conditions, "buckets", "shares", "weight").collect()
     scorer = train(
         [(np.array(r["buckets"], np.int64), np.array(r["shares"], float)) for r in rows],
         np.array([bad_by_votes[tuple(r[n] for n in names)] for r in rows], float),
+        np.array([r["weight"] for r in rows], float),
     )
     return labels, scorer
 

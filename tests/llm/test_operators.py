@@ -356,6 +356,17 @@ def test_disguised_words(spark, sf_dir):
     assert model.score("the of and") < toxicity.CUT_OFF
 
 
+def test_repeated_rows_are_drawn_once(spark):
+    rows = [(None, None)] * 3000 + [(7, "again and again")] * 3000 + [(i, f"text {i}") for i in range(100, 3100)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = [tuple(r) for r in weak_labels.draw(docs, 200).collect()]
+    assert len(got) == 200 and len({t for t, _ in got}) == 200
+    weights = dict(got)
+    total = sum(weights.values())  # each of the two rows is a third of the table and of the sample
+    assert all(0.25 < weights[t] / total < 0.42 for t in (None, "again and again"))
+    assert sorted(w for _, w in weak_labels.draw(docs, 5000).collect())[-3:] == [1, 3000, 3000]
+
+
 def test_one_row_of_each_class_stays(spark):
     ship(spark)
     long = "one two three four five six seven eight nine ten eleven twelve".split()
