@@ -10,7 +10,11 @@ from pyspark.sql import functions as F
 
 from tarmac.llm import (
     bagminhash,
+    centroids,
+    divergence,
     language_model,
+    merges,
+    oracle,
     packing,
     pieces,
     private_data,
@@ -135,3 +139,36 @@ def op4_vectors(spark, sf_dir):
 @_query
 def op10_pseudo_likelihood(spark, sf_dir):
     return language_model.scored(*language_model.fit(documents(spark, sf_dir)))
+
+
+@_query
+def op11_merges(spark, sf_dir):
+    spelt = merges.spelt(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
+    return spelt.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+@_query
+def op12_centroids(spark, sf_dir):
+    found = centroids.with_inertia(*centroids.clustered(spark.read.parquet(f"{sf_dir}/embeddings.parquet")))
+    return found.select(
+        "vec_id",
+        "cluster",
+        "distance",
+        "cluster_inertia",
+        "inertia",
+        F.sha2(F.array_join(F.col("centroid").cast("array<string>"), ","), 256).alias("centroid_sha256"),
+    )
+
+
+@_query
+def op13_divergence(spark, sf_dir):
+    return divergence.audited(documents(spark, sf_dir))
+
+
+ORACLE["op12_centroids"] = oracle.centroids_sql()
+ORACLE["op13_divergence"] = oracle.divergence_sql()
