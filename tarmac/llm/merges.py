@@ -1,9 +1,9 @@
 """Byte-pair encoding of long unsplit text by a tree of halves, and decoding.
 
 The library's normaliser and pre-tokenizer say how a text is split. What they leave unsplit is cut into
-leaves of ``LEAF`` symbols, all leaves are encoded, and neighbours are joined level by level until one
-sequence is left; the leaves, and the joins of a level, do not depend on each other, so those of
-all long pieces of a batch are done side by side, and batches run in parallel.
+leaves of ``LEAF`` symbols. The leaves of all pieces of a batch are merged side by side, as the rows of one matrix:
+a step merges in every row its pair of least rank. Neighbours are then joined level by level until one
+sequence is left, all joins of a level side by side again. Batches run in parallel as Spark's tasks.
 
 Joining looks at the tokens around the border only. The last token before it and the first after it are spelt out
 and merged anew; if the result begins with the token that the window began with and ends with the one that it
@@ -23,14 +23,19 @@ import json
 import os
 import re
 from collections.abc import Iterator
+from itertools import chain, compress
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
+from tarmac.llm.remembered import begin, by_size, kept_for
+
 ID = np.dtype("<i4")
 LEAF = 16  # symbols
-SCANNED = 48  # up to so many symbols, looking through all pairs is faster than a heap
+WIDEST = 64  # symbols of a window in a matrix; longer ones are merged one by one
+AT_ONCE = 4_000_000  # bytes of text
 FLUSH = 1_000_000  # ids in one batch of results
 
 # White space as tokenizers count it; Python's \s has four characters more.
@@ -39,8 +44,9 @@ _BETWEEN_BLANKS = re.compile(r"[\S\x1c-\x1f]+")
 # The splitting that drops white space, so that a text is the sum of what lies between.
 _SPACES = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]
 _WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-# The same over printable ASCII in small letters, where bytes keep their names as well.
-_PLAIN_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
+# The same over ASCII and Latin letters, which are normal as they are and have small letters among themselves.
+_PLAIN = re.compile("[!-~À-ÖØ-öø-įı-ſ]+")
+_PLAIN_WORDS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zÀ-ÖØ-öø-ſ]+|[0-9]| |[^a-z0-9À-ÖØ-öø-ſ ]+")
 
 
 class Merger:
@@ -51,7 +57,11 @@ class Merger:
         self.ranks: dict[int, int] = {}  # both ids in one number -> rank of their merge
         for rank, (a, b) in enumerate(pairs):
             self.ranks.setdefault(vocabulary[a] << 32 | vocabulary[b], rank)
-        self.made = [vocabulary[a + b] for a, b in pairs]  # by rank
+        self.made = np.array([vocabulary[a + b] for a, b in pairs], ID)  # by rank
+        self.never = len(pairs)
+        known = sorted(self.ranks)
+        self._pairs = np.array([*known, 1 << 62])
+        self._rank = np.array([*(self.ranks[k] for k in known), self.never], ID)
         self.symbols: dict[int, list[int]] = {}  # token -> the symbols it is made of
         for token, i in vocabulary.items():
             bare, end = (token[: -len(suffix)], suffix) if suffix and token.endswith(suffix) else (token, "")
@@ -59,28 +69,44 @@ class Merger:
             if all(letter in vocabulary for letter in letters):
                 self.symbols[i] = [vocabulary[letter] for letter in letters]
 
-    def merged(self, ids: list[int]) -> list[int]:
-        """What merging makes of the symbols: the pair of least rank first, the leftmost of equal ones."""
-        if len(ids) > SCANNED:
-            return self._by_heap(ids)
-        rank_of, never = self.ranks.get, len(self.made)
-        ids = list(ids)
-        ranks = [rank_of(a << 32 | b, never) for a, b in zip(ids, ids[1:])]
-        while ranks:
-            least = min(ranks)
-            if least == never:
-                break
-            at = ranks.index(least)
-            ids[at : at + 2] = [self.made[least]]
-            del ranks[at]
-            if at:
-                ranks[at - 1] = rank_of(ids[at - 1] << 32 | ids[at], never)
-            if at < len(ranks):
-                ranks[at] = rank_of(ids[at] << 32 | ids[at + 1], never)
-        return ids
-
-    def _by_heap(self, ids: list[int]) -> list[int]:
-        """The same in n log n steps."""
+    def _ranks_of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Ranks of pairs, ``never`` where they don't merge; -1 is no token."""
+        pairs = (left.astype(np.int64) << 32) | right
+        at = np.searchsorted(self._pairs, pairs)
+        at[(right < 0) | (self._pairs[at] != pairs)] = len(self._pairs) - 1
+        return self._rank[at]
+
+    def side_by_side(self, rows: np.ndarray) -> np.ndarray:
+        """What merging makes of each row: the pair of least rank first, the leftmost of equal ones. -1 fills up."""
+        out = np.full_like(rows, -1)
+        place = np.arange(len(rows))
+        column = np.arange(rows.shape[1])
+        ranks = self._ranks_of(rows[:, :-1], rows[:, 1:]) if rows.shape[1] > 1 else np.empty((len(rows), 0), ID)
+        while len(rows) and ranks.shape[1]:
+            at = ranks.argmin(axis=1)
+            least = ranks[np.arange(len(rows)), at]
+            done = least == self.never
+            if done.any():
+                out[place[done], : rows.shape[1]] = rows[done]
+                rows, ranks, place, at, least = (x[~done] for x in (rows, ranks, place, at, least))
+                if not len(rows):
+                    return out
+            each = np.arange(len(rows))
+            # what stands right of the merged pair moves up
+            rows[each, at] = self.made[least]
+            width = rows.shape[1]
+            source = column[: width - 1] + (column[: width - 1] > at[:, None])
+            rows = np.take_along_axis(rows, source, axis=1)
+            ranks = np.take_along_axis(ranks, source[:, : width - 2] + (column[: width - 2] == at[:, None]), axis=1)
+            if width > 2:
+                before, behind = np.maximum(at - 1, 0), np.minimum(at, width - 3)
+                ranks[each, before] = self._ranks_of(rows[each, before], rows[each, before + 1])
+                ranks[each, behind] = self._ranks_of(rows[each, behind], rows[each, behind + 1])
+        out[place, : rows.shape[1]] = rows
+        return out
+
+    def by_heap(self, ids: list[int]) -> list[int]:
+        """The same for one long sequence, in n log n steps."""
         n = len(ids)
         ids = list(ids)
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
@@ -98,7 +124,7 @@ class Merger:
             right = after[k]
             if ids[k] != a or right >= n or ids[right] != b:
                 continue  # merged in the meantime
-            ids[k], ids[right] = self.made[rank], -1
+            ids[k], ids[right] = int(self.made[rank]), -1
             after[k] = after[right]
             if after[k] < n:
                 before[after[k]] = k
@@ -107,36 +133,81 @@ class Merger:
                 offer(before[k])
         return [i for i in ids if i >= 0]
 
-    def join(self, left: list[int], right: list[int]) -> list[int]:
-        """The encoding of two neighbouring pieces from those of each."""
-        i = j = 1
+    def merged(self, sequences: list[list[int]]) -> list[list[int]]:
+        out: list[list[int]] = [[]] * len(sequences)
+        short = [k for k, s in enumerate(sequences) if len(s) <= WIDEST]
+        if short:
+            rows = np.full((len(short), max(len(sequences[k]) for k in short)), -1, ID)
+            for row, k in zip(rows, short):
+                row[: len(sequences[k])] = sequences[k]
+            for k, row in zip(short, self.side_by_side(rows).tolist()):
+                out[k] = [i for i in row if i >= 0]
+        for k, s in enumerate(sequences):
+            if len(s) > WIDEST:
+                out[k] = self.by_heap(s)
+        return out
+
+    def joined(self, sides: list[tuple[list[int], list[int]]]) -> list[list[int]]:
+        """The encodings of pieces from those of their two halves."""
+        out: list[list[int]] = [[]] * len(sides)
+        sizes = [(1, 1)] * len(sides)  # tokens of each side in the window
+        open_ = list(range(len(sides)))
+        while open_:
+            windows = []
+            for k in open_:
+                left, right = sides[k]
+                i, j = sizes[k] = min(sizes[k][0], len(left)), min(sizes[k][1], len(right))
+                windows.append([s for token in left[len(left) - i :] + right[:j] for s in self.symbols[token]])
+            apart = []
+            for k, window in zip(open_, self.merged(windows)):
+                (left, right), (i, j) = sides[k], sizes[k]
+                left_agrees = i == len(left) or window[0] == left[-i]
+                right_agrees = j == len(right) or window[-1] == right[j - 1]
+                if left_agrees and right_agrees:
+                    out[k] = left[: len(left) - i] + window + right[j:]
+                else:
+                    sizes[k] = (i if left_agrees else 2 * i), (j if right_agrees else 2 * j)
+                    apart.append(k)
+            open_ = apart
+        return out
+
+    def encode(self, symbols: np.ndarray, lengths: np.ndarray) -> list[bytes]:
+        """Token ids of pieces, whose symbols follow each other: all leaves first, then all joins of each level."""
+        ends = np.cumsum(lengths)
+        leaves = -(-lengths // LEAF)
+        owner = np.repeat(np.arange(len(lengths)), leaves)
+        nth = np.arange(len(owner)) - np.repeat(np.cumsum(leaves) - leaves, leaves)
+        begin = (ends - lengths)[owner] + nth * LEAF
+        size = np.minimum(ends[owner] - begin, LEAF)
+        places = begin[:, None] + np.arange(LEAF)
+        rows = np.where(np.arange(LEAF) < size[:, None], symbols[np.minimum(places, len(symbols) - 1)], -1).astype(ID)
+        rows = self.side_by_side(rows) if len(rows) else rows
+        raw = rows[rows >= 0].tobytes()
+        edges = np.concatenate([[0], np.cumsum((rows >= 0).sum(axis=1))]) * ID.itemsize
+        starts = np.concatenate([[0], np.cumsum(leaves)])
+        edges_of = edges[starts].tolist()
+        out = [raw[a:b] for a, b in zip(edges_of, edges_of[1:])]
+        parts = {
+            k: [np.frombuffer(raw[edges[i] : edges[i + 1]], ID).tolist() for i in range(starts[k], starts[k + 1])]
+            for k in np.flatnonzero(leaves > 1).tolist()
+        }
         while True:
-            i, j = min(i, len(left)), min(j, len(right))
-            window = self.merged([s for token in left[len(left) - i :] + right[:j] for s in self.symbols[token]])
-            left_agrees = i == len(left) or window[0] == left[-i]
-            right_agrees = j == len(right) or window[-1] == right[j - 1]
-            if left_agrees and right_agrees:
-                return left[: len(left) - i] + window + right[j:]
-            i, j = (i if left_agrees else 2 * i), (j if right_agrees else 2 * j)
-
-    def encode(self, pieces: list[list[int]]) -> list[list[int]]:
-        """Token ids of pieces of symbols: all leaves first, then all joins of each level."""
-        levels = [[piece[k : k + LEAF] for k in range(0, len(piece), LEAF)] for piece in pieces]
-        levels = [[self.merged(leaf) for leaf in leaves] for leaves in levels]
-        long = [k for k, parts in enumerate(levels) if len(parts) > 1]
-        while long:
-            for k in long:
-                parts = levels[k]
-                joined = [self.join(a, b) for a, b in zip(parts[::2], parts[1::2])]
-                levels[k] = joined + parts[len(joined) * 2 :]
-            long = [k for k in long if len(levels[k]) > 1]
-        return [parts[0] if parts else [] for parts in levels]
+            sides = [(k, i) for k, ids in parts.items() for i in range(0, len(ids) - 1, 2)]
+            if not sides:
+                break
+            new: dict[int, list[list[int]]] = {}
+            for (k, _), ids in zip(sides, self.joined([(parts[k][i], parts[k][i + 1]) for k, i in sides])):
+                new.setdefault(k, []).append(ids)
+            parts |= {k: ids + (parts[k][-1:] if len(parts[k]) % 2 else []) for k, ids in new.items()}
+        for k, ids in parts.items():
+            out[k] = np.array(ids[0], ID).tobytes()
+        return out
 
 
 class Codec:
     """Encodes and decodes with one tokenizers file; remembers what lies between blanks."""
 
-    LIMIT = 200_000  # of these, and of unsplit pieces
+    LIMIT = 300_000  # of these, and of unsplit pieces
     LONGEST = 64  # characters; of longer ones none is remembered
 
     def __init__(self, path: str):
@@ -154,10 +225,13 @@ class Codec:
         self.normalizer, self.splitter = library.normalizer, library.pre_tokenizer
         suffix = model.get("end_of_word_suffix") or ""
         self.merger = Merger(model["vocab"], model["merges"], suffix)
-        self.inner = {c: i for c, i in model["vocab"].items() if len(c) == 1}
-        self.final = {c: model["vocab"][c + suffix] for c in self.inner if c + suffix in model["vocab"]}
-        if not all(c in self.final for c in self.inner) or len(self.inner) < 256:
+        # the characters that stand for bytes, in the order of the bytes
+        names = [_byte_name(byte) for byte in range(256)]
+        if any(n not in model["vocab"] or n + suffix not in model["vocab"] for n in names):
             raise ValueError("not every byte is a token")
+        self.byte_of = {name: byte for byte, name in enumerate(names)}
+        self.inner = np.array([model["vocab"][name] for name in names], ID)
+        self.final = np.array([model["vocab"][name + suffix] for name in names], ID)
         added = {t["content"]: t for t in parts.get("added_tokens", [])}
         if any(t["normalized"] or t["single_word"] or t["lstrip"] or t["rstrip"] for t in added.values()):
             raise ValueError("added tokens that take their surroundings into account")
@@ -171,41 +245,60 @@ class Codec:
         self.by_blanks = bool(steps == _SPACES and dropped)
         self.names = {i: token for token, i in model["vocab"].items()} | {t["id"]: c for c, t in added.items()}
         self.known: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
-
-    def _split(self, unit: str) -> list[str]:
-        """The unsplit pieces of a text, bytes as the characters that stand for them."""
-        if self.by_blanks and unit.isascii() and unit.isprintable():
-            return [unit.lower()] if unit.isalpha() else _PLAIN_WORDS.findall(unit.lower())
+        self.pieces: dict[str | bytes, bytes] = {}
+
+    def _split(self, units: list[str]) -> list[list[str | bytes]]:
+        """The unsplit pieces of each text: bytes, or text where that is plain."""
+        if not self.by_blanks:
+            return [self._split_by_library(unit) for unit in units]
+        plain = [bool(_PLAIN.fullmatch(unit)) for unit in units]
+        pieces: list[list[str | bytes]] = [[]]
+        for word in _PLAIN_WORDS.findall(" ".join(compress(units, plain)).lower()):
+            if word == " ":
+                pieces.append([])
+            else:
+                pieces[-1].append(word)
+        of_plain = iter(pieces)
+        return [next(of_plain) if p else self._split_by_library(unit) for unit, p in zip(units, plain)]
+
+    def _split_by_library(self, unit: str) -> list[str | bytes]:
         normal = self.normalizer.normalize_str(unit) if self.normalizer else unit
         pieces = self.splitter.pre_tokenize_str(normal) if self.splitter else [(normal, None)]
-        return [piece for piece, _ in pieces if piece]
+        return [bytes(map(self.byte_of.__getitem__, piece)) for piece, _ in pieces if piece]
 
     def _encode_units(self, units: list[str]) -> Iterator[bytes]:
-        split = [self._split(unit) for unit in units]
-        known, inner, final = self.pieces, self.inner, self.final
-        if len(known) > self.LIMIT:
-            known.clear()
-        new = list({piece for pieces in split for piece in pieces if piece not in known})
-        symbols = [[*map(inner.__getitem__, piece[:-1]), final[piece[-1]]] for piece in new]
+        split = self._split(units)
+        known = self.pieces
+        distinct = set(chain.from_iterable(split))
+        if len(known) + len(distinct) > self.LIMIT:
+            known = self.pieces = {piece: known[piece] for piece in distinct if piece in known}
+        new = [piece for piece in distinct if piece not in known]
+        raws = [piece.encode() if isinstance(piece, str) else piece for piece in new]
+        lengths = np.fromiter(map(len, raws), np.int64, len(raws))
+        raw = np.frombuffer(b"".join(raws), np.uint8)
+        symbols = self.inner[raw]
+        ends = np.cumsum(lengths) - 1
+        symbols[ends] = self.final[raw[ends]]
         some = {}
-        for piece, ids in zip(new, self.merger.encode(symbols)):
-            (known if len(piece) <= self.LONGEST else some)[piece] = np.array(ids, ID).tobytes()
-        for pieces in split:
-            yield b"".join([known[p] if p in known else some[p] for p in pieces])
+        for piece, ids in zip(new, self.merger.encode(symbols, lengths)):
+            (known if len(piece) <= self.LONGEST else some)[piece] = ids
+        of = (lambda p: known[p] if p in known else some[p]) if some else known.__getitem__
+        return (of(pieces[0]) if len(pieces) == 1 else b"".join(map(of, pieces)) for pieces in split)
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         """Ids of each text, those of added tokens where a text has their string."""
         units = [self._cut(text or "") for text in texts]
-        known = self.known
-        if len(known) > self.LIMIT:
-            known.clear()
-        some = dict(self.added)
-        new = [u for u in {u for found in units for u in found} if u not in known and u not in some]
-        for k in range(0, len(new), 10_000):
-            for unit, ids in zip(new[k : k + 10_000], self._encode_units(new[k : k + 10_000])):
+        distinct = {u for found in units for u in found}
+        if len(self.known) + len(distinct) > self.LIMIT:  # what occurs again stays
+            self.known = {u: self.known[u] for u in distinct if u in self.known}
+        known, some = self.known, dict(self.added)
+        new = [u for u in distinct if u not in known and u not in some]
+        for k in range(0, len(new), 50_000):
+            for unit, ids in zip(new[k : k + 50_000], self._encode_units(new[k : k + 50_000])):
                 (known if len(unit) <= self.LONGEST else some)[unit] = ids
-        return [np.frombuffer(b"".join([known[u] if u in known else some[u] for u in found]), ID) for found in units]
+        if len(some) > len(self.added) or any(t in distinct for t in self.added):
+            return [np.frombuffer(b"".join([known[u] if u in known else some[u] for u in found]), ID) for found in units]
+        return [np.frombuffer(b"".join(map(known.__getitem__, found)), ID) for found in units]
 
     def _cut(self, text: str) -> list[str]:
         if self.added_at is None or not self.added_at.search(text):
@@ -225,40 +318,41 @@ class Codec:
         return " ".join(map(self.names.__getitem__, ids.tolist()))
 
 
+def _byte_name(byte: int) -> str:
+    """The character that stands for a byte. Those that print are themselves, the others, in order,
+    the characters from 256 on."""
+    prints = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    return chr(byte) if byte in prints else chr(256 + byte - sum(p < byte for p in prints))
+
+
 _CODECS: dict[str, Codec] = {}
 
 
 def codec(path: str) -> Codec:
     """One per process."""
+    begin("merges")
     if path not in _CODECS:
         _CODECS[path] = Codec(path)
     return _CODECS[path]
 
 
+kept_for("merges", _CODECS.clear)
+
+
 def spelt(docs: DataFrame, path: str) -> DataFrame:
     """doc_id, ``ids`` of the text and ``decoded``, the text that they spell, for each row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(path)
         for batch in batches:
-            for doc_ids, texts in bounded(batch):
-                ids = own.encode(texts.to_pylist())
-                yield from results(doc_ids, ids, own)
+            texts = batch.column("text")
+            for begin_, end in by_size(pc.fill_null(pc.binary_length(texts), 0).to_pylist(), AT_ONCE):
+                ids = own.encode(texts.slice(begin_, end - begin_).to_pylist())
+                yield from results(batch.column("doc_id").slice(begin_, end - begin_), ids, own)
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, ids array<int>, decoded string")
 
 
-def bounded(batch: pa.RecordBatch, characters: int = 4_000_000) -> Iterator[tuple[pa.Array, pa.Array]]:
-    """The batch's ids and texts in slices of about so many bytes, one text at least."""
-    ids, texts = batch.column("doc_id"), batch.column("text")
-    sizes = np.cumsum([len(t) for t in texts.cast(pa.large_binary()).fill_null(b"").to_numpy(zero_copy_only=False)])
-    at = 0
-    while at < len(texts):
-        end = max(at + 1, int(np.searchsorted(sizes, (sizes[at - 1] if at else 0) + characters, "right")))
-        yield ids.slice(at, end - at), texts.slice(at, end - at)
-        at = end
-
-
 def results(doc_ids: pa.Array, ids: list[np.ndarray], own: Codec) -> Iterator[pa.RecordBatch]:
     at, held = 0, 0
     for k in range(len(ids)):
