@@ -23,10 +23,14 @@ from collections.abc import Iterator
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 from pyspark.sql import DataFrame
 
 from tarmac.llm.encode import ID
+from tarmac.llm.remembered import begin, by_size, kept_for
+
+AT_ONCE = 4_000_000  # bytes of text
 
 BLANK = "▁"
 _WORD = re.compile(f"{BLANK}*[^{BLANK}]+|{BLANK}+")
@@ -63,9 +67,10 @@ def fields(raw: bytes) -> Iterator[tuple[int, int | bytes]]:
 
 
 class Model:
-    """Encodes and decodes with one model file; remembers words."""
+    """Encodes and decodes with one model file; remembers words, and which pieces fit each other."""
 
-    LIMIT = 900_000
+    LIMIT = 200_000
+    PAIRS = 200_000
 
     def __init__(self, model_file: str | None = None, proto: bytes | None = None):
         self.library = sentencepiece.SentencePieceProcessor(model_file=model_file, model_proto=proto)
@@ -91,7 +96,7 @@ class Model:
         self.automaton.make_automaton()
         self.unknown_score = min((self.scores[i] for i in plain), default=0.0) - UNKNOWN_PENALTY
         self.by_word = not any(BLANK in name.lstrip(BLANK) for name in self.ids)
-        self.fits: dict[tuple[int, int], bool] = {}
+        self.fits: dict[int, bool] = {}  # both pieces in one number
         self.known: dict[str, bytes] = {}
         byte_of = {i: b for b, i in self.bytes.items()}
         silent = {i for i in range(len(self.names)) if sp.is_control(i)}
@@ -121,7 +126,7 @@ class Model:
                     continue
                 left = last[start]
                 if left >= 0:
-                    fit = fits.get((left, piece))
+                    fit = fits.get(left << 32 | piece)
                     if not (self._fit(left, piece) if fit is None else fit):
                         continue
                 best[end], last[end] = before + scores[piece], piece
@@ -158,7 +163,7 @@ class Model:
 
     def _fit(self, left: int, right: int) -> bool:
         """Whether merging leaves two pieces next to each other as they are."""
-        if len(self.fits) >= 1_000_000:
+        if len(self.fits) >= self.PAIRS:
             self.fits.clear()
         a, b = self.names[left], self.names[right]
         parts = list(a + b)
@@ -172,16 +177,16 @@ class Model:
             if at < 0:
                 break
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
-        fit = self.fits[left, right] = parts == [a, b]
+        fit = self.fits[left << 32 | right] = parts == [a, b]
         return fit
 
     def encode(self, text: str | None) -> bytes:
         """Ids as bytes, little-endian unsigned 32-bit."""
         normal = self.library.normalize(text or "")
         words = _WORD.findall(normal) if self.by_word else [normal]
+        if len(self.known) > self.LIMIT:  # what this text needs stays
+            self.known = {word: self.known[word] for word in set(words) if word in self.known}
         known = self.known
-        if len(known) > self.LIMIT:
-            known.clear()
         long = {}
         for word in set(words):
             if word not in known:
@@ -203,11 +208,34 @@ _MODELS: dict[str, Model] = {}
 
 def model(path: str) -> Model:
     """One per process."""
+    begin("pieces")
     if path not in _MODELS:
         _MODELS[path] = Model(path)
     return _MODELS[path]
 
 
+kept_for("pieces", _MODELS.clear)
+
+
+def spelt(docs: DataFrame, path: str) -> DataFrame:
+    """doc_id, ``ids`` (bytes) of each row and ``text``, what they spell, in one pass of one process.
+
+    Results leave in batches of a bounded size, however many rows a batch of texts has.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = model(path)
+        for batch in batches:
+            texts = batch.column("text")
+            for at, end in by_size(pc.fill_null(pc.binary_length(texts), 0).to_pylist(), AT_ONCE):
+                ids = [own.encode(t) for t in texts.slice(at, end - at).to_pylist()]
+                spelled = pa.array([own.decode(i) for i in ids], pa.string())
+                doc_ids = batch.column("doc_id").slice(at, end - at)
+                yield pa.RecordBatch.from_arrays([doc_ids, pa.array(ids, pa.binary()), spelled], ["doc_id", "ids", "text"])
+
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, ids binary, text string")
+
+
 def encoded(docs: DataFrame, path: str) -> DataFrame:
     """doc_id and ``ids`` (bytes) of each row."""
 

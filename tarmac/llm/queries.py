@@ -122,7 +122,7 @@ def packed_digests(placed: DataFrame) -> DataFrame:
 @_query
 def op2_pieces(spark, sf_dir):
     path = public_tokenizers.path("piece_bpe_32k.model")
-    spelt = pieces.decoded(pieces.encoded(documents(spark, sf_dir), path), path)
+    spelt = pieces.spelt(documents(spark, sf_dir), path)
     return spelt.select(
         "doc_id",
         (F.length("ids") / 4).cast("long").alias("n_pieces"),
