@@ -15,6 +15,8 @@ from collections.abc import Iterator
 
 import numpy as np
 
+from tarmac.llm.remembered import begin, kept_for
+
 ID = np.dtype("<u4")
 
 # White space as tokenizers count it; Python's \s has four characters more.
@@ -24,10 +26,11 @@ _UNIT = re.compile(r"[^\S\x1c-\x1f]*[\S\x1c-\x1f]+|[^\S\x1c-\x1f]+")
 class Encoder:
     """Texts to ids as bytes, little-endian unsigned 32-bit, with an id at the end of each.
 
-    Special tokens' strings in a text are ordinary text. A null text is an empty one.
+    A text that holds the string of an added token goes to the library whole, which puts the token's id in
+    its place. A null text is an empty one.
     """
 
-    LIMIT = 900_000  # units remembered
+    LIMIT = 300_000  # units remembered
     LONGEST = 64  # of longer ones none is
     AT_ONCE = 4_000_000  # characters
     JOINED = 200  # units in one text
@@ -37,10 +40,11 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.end = np.array([end_id], ID).tobytes()
         with open(path, encoding="utf-8") as f:
             parts = json.load(f)
+        added = sorted((t["content"] for t in parts.get("added_tokens", [])), key=len, reverse=True)
+        self.added = re.compile("|".join(map(re.escape, added))) if added else None
         before = parts.get("pre_tokenizer") or {}
         self.in_units = (
             parts.get("normalizer") is None
@@ -90,18 +94,23 @@ class Encoder:
             for ids in self._library(texts):
                 yield ids + self.end
             return
-        units = [_UNIT.findall(text) for text in texts]
+        marked = {k for k, text in enumerate(texts) if self.added and self.added.search(text)}
+        whole = dict(zip(sorted(marked), self._library([texts[k] for k in sorted(marked)])))
+        units = [[] if k in marked else _UNIT.findall(text) for k, text in enumerate(texts)]
+        distinct = {u for found in units for u in found}
+        if len(self.known) + len(distinct) > self.LIMIT:  # what occurs again stays
+            self.known = {u: self.known[u] for u in distinct if u in self.known}
         known = self.known
-        if len(known) > self.LIMIT:
-            known.clear()
-        new = [u for u in {u for found in units for u in found} if u not in known]
+        new = [u for u in distinct if u not in known]
         long = {}
         for k in range(0, len(new), 10_000):
             some = new[k : k + 10_000]
             for unit, ids in self._units(some):
                 (known if len(unit) <= self.LONGEST else long)[unit] = ids
-        for found in units:
-            if long:
+        for k, found in enumerate(units):
+            if k in marked:
+                yield whole[k] + self.end
+            elif long:
                 yield b"".join([known[u] if u in known else long[u] for u in found]) + self.end
             else:
                 yield b"".join(map(known.__getitem__, found)) + self.end
@@ -112,6 +121,10 @@ _ENCODERS: dict[tuple[str, int], Encoder] = {}
 
 def encoder(path: str, end_id: int) -> Encoder:
     """One per process."""
+    begin("encode")
     if (path, end_id) not in _ENCODERS:
         _ENCODERS[path, end_id] = Encoder(path, end_id)
     return _ENCODERS[path, end_id]
+
+
+kept_for("encode", _ENCODERS.clear)

@@ -90,10 +90,10 @@ def test_awkward_tables(spark, awkward, tmp_path):
 
 def test_units_give_the_ids_of_whole_texts():
     library = Tokenizer.from_file(BPE)
-    library.encode_special_tokens = True
     random = np.random.default_rng(1)
     letters = list("ab  \n\t\r.,!'s1é漢\x1c\x85\xa0​<|endoftext|>")
     texts = ["".join(random.choice(letters, random.integers(0, 40))) for _ in range(2000)] + ["<|endoftext|> x", "don't  we'll\n\n x "]
+    texts += ["<|endoftext|>", "<|endoftext|><|endoftext|>", "in<|endoftext|>side", " <|endoftext|>  \n", "a <|endoftext|> b", "<|endof text|>"]
     for text, ids in zip(texts, encode.Encoder(BPE, 0).encode(texts)):
         assert np.frombuffer(ids, encode.ID).tolist() == [*library.encode(text, add_special_tokens=False).ids, 0], text
 
