@@ -30,6 +30,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tarmac.llm.remembered import begin
+
 # Symbols of the character model: 0 space, 1 anything else, then letters.
 LETTERS = "abcdefghijklmnopqrstuvwxyz" + "".join(chr(c) for c in range(0xDF, 0x100) if c != 0xF7)
 CODES = {c: i + 2 for i, c in enumerate(LETTERS)} | {c: 0 for c in " \t\n\r"}
@@ -326,6 +328,7 @@ def fit(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED) -> Model:
     taught = docs.select("doc_id", "text").where(~held_out()).join(F.broadcast(drawn), "doc_id").select("text", "_toxic")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("toxicity")
         restorer, found = Restorer(held.value), {}
         for batch in batches:
             for text, toxic in zip(batch.column("text").to_pylist(), batch.column("_toxic").to_pylist()):
@@ -378,6 +381,7 @@ def toxic_score(spark, model: Model):
 
     @F.pandas_udf("double")
     def score(texts: pd.Series) -> pd.Series:
+        begin("toxicity")
         return pd.Series([held.value.score(t) for t in texts], dtype=float)
 
     return score

@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tarmac.llm import measure
+from tarmac.llm.remembered import begin, kept_for
 
 # Name to (bad, good); what is neither gets no vote. Texts of fewer than ten words get none.
 LABELLERS: dict[str, tuple[str, str]] = {
@@ -116,7 +117,7 @@ def label_model(votes: np.ndarray, counts: np.ndarray, rounds: int = 50) -> Labe
 _RUNS = re.compile(r"[^\W\d_]+|\d+")
 
 
-@lru_cache(maxsize=200_000)
+@lru_cache(maxsize=100_000)
 def word_bucket(word: str) -> int:
     """The feature of one word: its shape, that is letters and digits folded, marks as they are."""
 
@@ -127,6 +128,9 @@ def word_bucket(word: str) -> int:
     return xxhash.xxh3_64_intdigest(_RUNS.sub(fold, word)[:12]) % BUCKETS
 
 
+kept_for("weak labels", word_bucket.cache_clear)
+
+
 def features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     """Hashed features of a text: buckets, and shares of the words that fall there."""
     words = (text or "").split()
@@ -220,6 +224,7 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> tuple[LabelModel, Scorer]:
     conditions = [vote(*rule).alias(name) for name, rule in LABELLERS.items()]
 
     def with_counts(batches):
+        begin("weak labels")
         for batch in batches:
             texts = batch.column("text").to_pylist()
             rows = [measure.measure(t) for t in texts]
@@ -251,6 +256,7 @@ def bad_score(spark, scorer: Scorer):
 
     @F.pandas_udf("double")
     def score(texts: pd.Series) -> pd.Series:
+        begin("weak labels")
         return pd.Series(held.value.bad(texts))
 
     return score

@@ -7,6 +7,8 @@ from itertools import chain
 import numpy as np
 import xxhash
 
+from tarmac.llm.remembered import kept_for
+
 SHINGLE = 5
 
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
@@ -25,7 +27,7 @@ def mixed(x: np.ndarray) -> np.ndarray:
 class WordHashes(dict):
     """Word to 64-bit hash; remembers so many words at most."""
 
-    LIMIT = 300_000
+    LIMIT = 150_000
 
     def __missing__(self, word: str) -> int:
         value = xxhash.xxh3_64_intdigest(word)
@@ -35,6 +37,7 @@ class WordHashes(dict):
 
 
 HASHES = WordHashes()
+kept_for("words", HASHES.clear)
 
 
 def shingles(texts: list[str], size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
