@@ -13,10 +13,12 @@ below the weight of its run, over all runs; two texts agree in a component with
 probability of their weighted overlap. Only points up to a time that all components will have
 passed are drawn, so a text costs about m log m points however long it is.
 
-Search. Equal texts are collapsed first. Of the texts that share a band, each is compared with the most
-central one (``stars``); what these links leave apart is compared pairwise within the
-bands, by signature in the join itself, so that a group of copies is never spelt out in
-pairs and no link is given up. All pairs are verified on the bags before they count.
+Search. Equal texts are collapsed first; each distinct text is a number from then on. Of the texts that
+share a band, each is compared with the most central one (``stars``); what these links leave apart is
+compared pairwise within the bands, by signature in the join itself and in blocks, so that a group of
+copies is never spelt out in pairs, no bucket is one task's work, and no link is given up. All pairs
+are verified on the bags before they count. Rows of texts or classes that are very
+frequent get their class from a broadcast table, which is small because they are few.
 """
 
 from __future__ import annotations
@@ -24,15 +26,17 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from functools import reduce
-from operator import add, or_
+from operator import add
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tarmac.llm.components import components
-from tarmac.llm.store import id_and_text, saved
+from tarmac.llm.remembered import begin, by_size
+from tarmac.llm.store import free_names, id_and_text, saved
 from tarmac.llm.words import mixed, shingles
 
 THRESHOLD = 0.8
@@ -42,6 +46,12 @@ BANDS, ROWS = 25, 5  # 0.99995 of the pairs at the threshold share a band
 # the threshold, of four bits kept of each component.
 AGREE = int(M * (0.8125 - 4 * np.sqrt(0.8125 * 0.1875 / M)))
 LANES = M * 4 // 64
+AT_ONCE = 2_000_000  # bytes of text signed or compared together
+HELD = 10_000_000  # characters of texts whose bags a task remembers
+BROADCAST_ROWS = 2_000_000  # of a few numbers each
+BROADCAST_BYTES = 64_000_000
+HOT = 1000  # rows of a text, or texts of a class, that are not left to a shuffle
+BLOCK = 500  # texts of a bucket that are compared pairwise in one task
 
 _ODD = np.uint64(0xD6E8FEB86659FD93)
 
@@ -126,10 +136,11 @@ def _bits(values: np.ndarray) -> np.ndarray:
 
 
 def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    begin("words")
     for batch in batches:
-        ids, all_texts = batch.column("doc_id"), batch.column("text").to_pylist()
-        for k in range(0, len(all_texts), 1000):
-            texts = all_texts[k : k + 1000]
+        ids, all_texts = batch.column("doc_id"), batch.column("text")
+        for k, end in by_size([n + 1000 for n in pc.binary_length(all_texts).to_pylist()], AT_ONCE):
+            texts = all_texts.slice(k, end - k).to_pylist()
             runs, counts, owner = bags(texts)
             first = signatures(runs, counts, owner, len(texts))
             values = mixed(_bits(first))
@@ -179,53 +190,63 @@ def overlap(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray])
     return float(least) / max(1.0, float(a[1].sum() + b[1].sum() - least))
 
 
-def verified(pairs: DataFrame, texts: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The pairs (a, b) of text keys whose bags overlap enough. ``texts`` has key and text."""
+def verified(pairs: DataFrame, rows: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """The pairs (a, b) of texts whose bags overlap enough. ``pairs`` are stored; ``rows`` has node and text, one
+    row for each distinct text.
+
+    A text travels once for each text it is compared with as ``b``, and once as ``a``; the latter are the fewer.
+    """
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last: dict[bytes, tuple] = {}
+        begin("words")
+        last: dict[int, tuple] = {}
+        held = 0
         for batch in batches:
-            keys = [batch.column(c).to_pylist() for c in ("a", "b", "text_a", "text_b")]
+            sizes = [pc.binary_length(batch.column(c)).to_numpy() for c in ("text_a", "text_b")]
             keep = np.zeros(batch.num_rows, bool)
-            for k in range(0, batch.num_rows, 256):
-                part = [column[k : k + 256] for column in keys]
+            for k, end in by_size((sizes[0] + sizes[1] + 1000).tolist(), AT_ONCE):
+                part = [batch.column(c).slice(k, end - k).to_pylist() for c in ("a", "b", "text_a", "text_b")]
                 wanted = dict(zip(part[0] + part[1], part[2] + part[3]))
+                if held > HELD:
+                    last = {key: last[key] for key in wanted if key in last}
+                    held = sum(len(wanted[key]) for key in last)
                 missing = [key for key in wanted if key not in last]
                 if missing:
-                    if len(last) > 2000:
-                        last.clear()
-                        missing = list(wanted)
+                    held += sum(len(wanted[key]) for key in missing)
                     runs, counts, owner = bags([wanted[key] for key in missing])
                     edges = np.searchsorted(owner, np.arange(len(missing) + 1))
                     for i, key in enumerate(missing):
                         last[key] = (runs[edges[i] : edges[i + 1]], counts[edges[i] : edges[i + 1]])
-                keep[k : k + len(part[0])] = [overlap(last[a], last[b]) >= threshold for a, b in zip(part[0], part[1])]
+                keep[k:end] = [overlap(last[a], last[b]) >= threshold for a, b in zip(part[0], part[1])]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("a").filter(pa.array(keep)), batch.column("b").filter(pa.array(keep))], ["a", "b"]
             )
 
-    one = texts.select(F.col("key").alias("a"), F.col("text").alias("text_a"))
-    other = texts.select(F.col("key").alias("b"), F.col("text").alias("text_b"))
-    return pairs.join(other, "b").join(one, "a").mapInArrow(check, "a binary, b binary")
-
-
-def stars(entries: DataFrame) -> DataFrame:
-    """For each text of a bucket the pair with the bucket's most central text: the one that meets
-    most texts over all its buckets."""
-    sizes = entries.groupBy("band", "bucket").agg(F.count("*").alias("size")).where("size > 1")
-    met = entries.join(sizes, ["band", "bucket"])
-    weight = met.groupBy("key").agg(F.sum("size").alias("weight"))
-    centres = (
-        met.join(weight, "key")
-        .groupBy("band", "bucket")
-        .agg(F.max(F.struct("weight", "key")).getField("key").alias("a"))
-    )
-    return (
-        entries.join(centres, ["band", "bucket"])
-        .where(F.col("a") != F.col("key"))
-        .select("a", F.col("key").alias("b"))
-        .distinct()
+    others = rows.select(F.col("node").alias("b"), F.col("text").alias("text_b")).join(broadcast_if_few(pairs), "b")
+    centres = saved(pairs.groupBy(F.col("a").alias("node")).agg(F.count("*").alias("pairs")), "centres")
+    texts = rows.join(broadcast_if_few(centres), "node")
+    one = saved(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"), "pairs"), "centre-texts")
+    both = split_join(others, one, "a", F.col("pairs") > HOT, F.octet_length("text_a"))
+    return both.select("a", "b", "text_a", "text_b").mapInArrow(check, "a long, b long")
+
+
+def broadcast_if_few(stored: DataFrame) -> DataFrame:
+    """A stored table, to be broadcast if it has so few rows of numbers that each machine can hold them."""
+    return F.broadcast(stored) if stored.count() <= BROADCAST_ROWS else stored
+
+
+def stars(entries: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The entries whose bucket has other texts as well, stored; and for each text of such a bucket the
+    pair with the bucket's most central text: the one that meets most texts over all its buckets."""
+    sizes = saved(entries.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1"), "bucket-sizes")
+    large = F.col("size") > HOT
+    met = saved(split_join(entries, sizes, "bucket", large).select("bucket", "node", "size"), "met")
+    weight = met.groupBy("node").agg(F.sum("size").alias("weight"))
+    centres = met.join(weight, "node").groupBy("bucket").agg(
+        F.max(F.struct("weight", "node")).getField("node").alias("a"), F.max("size").alias("size")
     )
+    pairs = split_join(met.select("bucket", "node"), saved(centres, "bucket-centres"), "bucket", large)
+    return met, pairs.where(F.col("a") != F.col("node")).select("a", F.col("node").alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -234,80 +255,123 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     Rows without a doc_id take part; a class that has no doc_id at all has class_id null. An empty
     table gives an empty one. Extra columns aren't looked at.
     """
-    placed = _placed(docs, threshold)
-    classes = placed.groupBy("part").agg(F.min("doc_id").alias("class_id"))
-    return placed.join(classes, "part").select("doc_id", "class_id")
+    rows, groups = _placed(docs, threshold)
+    return with_part(rows, groups, F.min("doc_id").alias("class_id")).select("doc_id", "class_id")
 
 
-def _placed(docs: DataFrame, threshold: float) -> DataFrame:
-    """doc_id, key of the text and ``part``, the class, for each row of ``docs``."""
+def with_part(rows: DataFrame, groups: DataFrame, *found: Column) -> DataFrame:
+    """Rows, which have ``node``, with the aggregates ``found`` of all rows of their class. ``groups`` has
+    node and component of the texts that are not the smallest of their class.
+
+    Rows are counted by text first. Texts of many rows, which are few, are joined by broadcast; the rest has no hot key.
+    """
+    names = [f"_{i}" for i in range(len(found))]
+    nodes = rows.groupBy("node").agg(F.count("*").alias("rows"), F.struct(*found).alias("found"))
+    parts = nodes.join(groups, "node", "left").select("node", "rows", "found", F.coalesce("component", "node").alias("part"))
+    parts = saved(parts, "text-classes")
+    # minima of minima are minima of all
+    fields = parts.schema["found"].dataType.names
+    classes = parts.groupBy("part").agg(F.count("*").alias("texts"), *(F.min(f"found.{f}").alias(n) for f, n in zip(fields, names)))
+    classes = saved(classes, "classes")
+    known = saved(split_join(parts.select("node", "rows", "part"), classes, "part", F.col("texts") > HOT).drop("part", "texts"), "known-texts")
+    return split_join(rows, known, "node", F.col("rows") > HOT).drop("rows").withColumnsRenamed(dict(zip(names, fields)))
+
+
+def split_join(rows: DataFrame, stored: DataFrame, key: str, hot: Column, size: Column | None = None) -> DataFrame:
+    """The join of rows with a stored table that has each key once. Keys that are hot, by a count in the table,
+    are broadcast if there are few of them (and the sizes of their rows sum to little); the others are shuffled."""
+    frequent = stored.where(hot)
+    number, weight = frequent.agg(F.count("*"), F.coalesce(F.sum(F.lit(16) if size is None else size), F.lit(0))).first()
+    if not number or number > BROADCAST_ROWS or weight > BROADCAST_BYTES:
+        return rows.join(stored, key)
+    rest = rows.join(F.broadcast(frequent.select(key)), key, "left_anti").join(stored.where(~hot), key)
+    return rows.join(F.broadcast(frequent), key).unionByName(rest)
+
+
+def _placed(docs: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """doc_id, digest and ``node`` (the number of the text) for each row of ``docs``; and node and component
+    of the texts that are not the smallest of their class."""
     rows = id_and_text(docs)
     signed = saved(rows.mapInArrow(_signed, "doc_id long, key binary, bands array<long>, lanes array<long>"), "signatures")
-    texts_of = signed.groupBy("key").agg(F.first("bands").alias("bands"), F.first("lanes").alias("lanes"))
-    distinct = saved(texts_of.where(F.col("bands").isNotNull()), "distinct-texts")
+    numbered = signed.groupBy("key").agg(F.first("bands").alias("bands"), F.first("lanes").alias("lanes"))
+    distinct = saved(numbered.withColumn("node", F.monotonically_increasing_id()), "distinct-texts")
+    nodes = saved(distinct.select("key", "node"), "nodes")
+    counts = signed.groupBy("key").agg(F.count("*").alias("rows"))
+    known = saved(nodes.join(counts, "key"), "node-counts")
+    placed = saved(split_join(signed.select("doc_id", "key"), known, "key", F.col("rows") > HOT).drop("rows"), "placed")
+
+    worded = distinct.where(F.col("bands").isNotNull()).select("node", "bands", "lanes")
+    # a bucket is a band and its value in one number; should two fall together, the pairs are verified anyway
     entries = saved(
-        distinct.select("key", F.posexplode("bands").alias("band", "bucket")), "entries"
+        worded.select("node", F.posexplode("bands").alias("band", "value")).select("node", F.xxhash64("band", "value").alias("bucket")),
+        "entries",
     )
-    close = distinct.select("key", *_lanes("x")), distinct.select("key", *_lanes("y"))
-
-    def like(pairs: DataFrame) -> DataFrame:
-        one, other = close[0].withColumnRenamed("key", "a"), close[1].withColumnRenamed("key", "b")
-        return pairs.join(one, "a").join(other, "b").where(_agreeing("x", "y") >= AGREE).select("a", "b")
-
-    first = saved(like(stars(entries)), "pairs")
-    links = saved(verified(first, _texts(rows, first), threshold), "verified")
+    close = worded.select("node", *_lanes("x")), worded.select("node", *_lanes("y"))
+    met, candidates = stars(entries)
+    candidates = saved(candidates, "candidates")
+    one, other = close[0].withColumnRenamed("node", "a"), close[1].withColumnRenamed("node", "b")
+    alike = candidates.join(one, "a").join(other, "b").where(_agreeing("x", "y") >= AGREE).select("a", "b")
+    first = saved(alike, "pairs")
+    links = saved(verified(first, _texts(rows, nodes, first), threshold), "verified")
     groups = components(links)
 
     # buckets that the stars left in several parts: their texts pairwise, across the parts
-    placed = entries.join(groups, entries["key"] == groups["node"], "left").select(
-        "band", "bucket", "key", F.coalesce("component", "key").alias("part")
-    )
+    parted = met.join(groups, "node", "left").select("bucket", "size", "node", F.coalesce("component", "node").alias("part"))
     split = (
-        placed.groupBy("band", "bucket")
+        parted.groupBy("bucket")
         .agg(F.min("part").alias("least"), F.max("part").alias("most"))
         .where("least != most")
-        .select("band", "bucket")
+        .select("bucket")
     )
-    open_ = saved(placed.join(split, ["band", "bucket"]), "open").join(distinct, "key")
-    x = open_.select("band", "bucket", F.col("key").alias("a"), F.col("part").alias("part_a"), F.col("bands").alias("bands_a"), *_lanes("x"))
-    y = open_.select("band", "bucket", F.col("key").alias("b"), F.col("part").alias("part_b"), F.col("bands").alias("bands_b"), *_lanes("y"))
+    open_ = saved(parted.join(broadcast_if_few(saved(split, "open-buckets")), "bucket"), "open")
+    # no bucket is one key: its texts are dealt into blocks, and each two blocks meet once
+    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    block = F.pmod(F.xxhash64("node"), blocks).cast("int")
+    dealt = open_.select("bucket", "node", "part", blocks.alias("blocks"), block.alias("block"))
+    signs = worded.join(broadcast_if_few(saved(open_.select("node").distinct(), "open-texts")), "node")
+    signs = saved(signs, "open-signatures")
+    later = F.explode(F.sequence(F.col("block"), F.col("blocks") - 1))
+    earlier = F.explode(F.sequence(F.lit(0), F.col("block")))
+    x = dealt.select("bucket", F.col("block").alias("low"), later.alias("high"), F.col("node").alias("a"), F.col("part").alias("part_a"))
+    y = dealt.select("bucket", earlier.alias("low"), F.col("block").alias("high"), F.col("node").alias("b"), F.col("part").alias("part_b"))
+    x = x.join(signs.select(F.col("node").alias("a"), F.col("bands").alias("bands_a"), *_lanes("x")), "a")
+    y = y.join(signs.select(F.col("node").alias("b"), F.col("bands").alias("bands_b"), *_lanes("y")), "b")
     # a pair comes from the first band it shares only: all its buckets are open ones
-    shared_before = reduce(
-        or_, ((F.col("band") > i) & (F.col("bands_a")[i] == F.col("bands_b")[i]) for i in range(BANDS - 1))
-    )
-    rest = x.join(y, ["band", "bucket"]).where(
-        (F.col("a") < F.col("b"))
+    equal = [F.col("bands_a")[i] == F.col("bands_b")[i] for i in range(BANDS)]
+    first_shared = F.coalesce(*(F.when(e, F.xxhash64(F.lit(i), F.col("bands_a")[i])) for i, e in enumerate(equal)))
+    rest = x.join(y, ["bucket", "low", "high"]).where(
+        ((F.col("low") < F.col("high")) | (F.col("a") < F.col("b")))
         & (F.col("part_a") != F.col("part_b"))
         & (_agreeing("x", "y") >= AGREE)
-        & ~shared_before
+        & (first_shared == F.col("bucket"))
     )
-    second = saved(rest.select("a", "b").join(first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"), "pairs")
-    more = saved(verified(second, _texts(rows, second), threshold), "verified")
-    groups = components(links.unionAll(more))
+    pair = F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
+    second = saved(rest.select(*pair).distinct().join(first.select(*pair), ["a", "b"], "left_anti"), "pairs")
+    more = saved(verified(second, _texts(rows, nodes, second), threshold), "verified")
+    return placed, components(links.unionAll(more))
 
-    return signed.select("doc_id", "key").join(groups, F.col("key") == F.col("node"), "left").select(
-        "doc_id", "key", F.coalesce("component", "key").alias("part")
-    )
-
-
-def _texts(rows: DataFrame, pairs: DataFrame) -> DataFrame:
-    """key and text of the texts in the pairs, each once."""
-    keys = pairs.select(F.col("a").alias("key")).unionAll(pairs.select(F.col("b").alias("key"))).distinct()
-
-    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = pa.array([digest(t) for t in batch.column("text").to_pylist()], pa.binary())
-            yield pa.RecordBatch.from_arrays([found, batch.column("text")], ["key", "text"])
 
-    texts = rows.select("text").mapInArrow(keyed, "key binary, text string")
-    return saved(texts.join(keys, "key").dropDuplicates(["key"]), "texts")
+def _texts(rows: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFrame:
+    """node and text of the texts in the pairs, each once: copies are collapsed before any of them travels far,
+    as each task sends one of those it holds."""
+    wanted = saved(pairs.select(F.col("a").alias("node")).unionAll(pairs.select(F.col("b").alias("node"))).distinct(), "wanted")
+    keys = saved(nodes.join(broadcast_if_few(wanted), "node"), "wanted-keys")
+    texts = rows.select(_digest().alias("key"), "text")
+    if keys.count() > BROADCAST_ROWS:  # first one of each text, as the join deals them by text
+        return saved(texts.groupBy("key").agg(F.first("text").alias("text")).join(keys, "key").select("node", "text"), "texts")
+    return saved(texts.join(F.broadcast(keys), "key").groupBy("node").agg(F.first("text").alias("text")), "texts")
 
 
 def deduplicated(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """One row of each class of near-duplicates, with the columns of ``docs``: the one with the smallest doc_id,
     of those the one whose text has the smallest digest. Rows without a doc_id come last."""
+    rows, groups = _placed(docs, threshold)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key")).alias("first")
-    kept = _placed(docs, threshold).groupBy("part").agg(first).select(F.col("first.doc_id").alias("__id"), F.col("first.key").alias("__kept"))
-    keyed = docs.withColumn("__key", _digest())
-    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__key") == F.col("__kept"))
-    return keyed.join(kept, same, "left_semi").dropDuplicates(["doc_id", "__key"]).drop("__key")
+    by_text = rows.groupBy("node").agg(first)
+    parts = by_text.join(groups, "node", "left").groupBy(F.coalesce("component", "node").alias("part"))
+    names = free_names(docs, "key", "id", "kept")
+    kept = parts.agg(F.min("first").alias("first"))
+    kept = kept.select(F.col("first.doc_id").alias(names["id"]), F.col("first.key").alias(names["kept"]))
+    keyed = docs.withColumn(names["key"], _digest())
+    same = F.col("doc_id").eqNullSafe(F.col(names["id"])) & (F.col(names["key"]) == F.col(names["kept"]))
+    return keyed.join(kept, same, "left_semi").dropDuplicates(["doc_id", names["key"]]).drop(names["key"])

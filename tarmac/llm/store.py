@@ -24,3 +24,15 @@ def documents(spark, sf_dir: str) -> DataFrame:
 def id_and_text(docs: DataFrame) -> DataFrame:
     """Only ``doc_id`` and ``text`` (null: empty), whatever other columns there are."""
     return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+
+
+def free_names(df: DataFrame, *names: str) -> dict[str, str]:
+    """For each name one that no column of the table has, whatever its case."""
+    taken, out = {c.lower() for c in df.columns}, {}
+    for name in names:
+        free = f"__{name}"
+        while free.lower() in taken:
+            free = "_" + free
+        out[name] = free
+        taken.add(free.lower())
+    return out
