@@ -12,23 +12,27 @@ from pyspark.sql import functions as F
 
 from tarmac.llm import bagminhash, packing, private_data, toxicity, weak_labels
 from tarmac.llm.ship import ship
-from tarmac.llm.store import documents, saved
+from tarmac.llm.store import documents, free_names, saved
 
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity score doesn't reject; null and empty texts stay."""
     ship(spark)
     model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    score = toxicity.toxic_score(spark, model)
-    return docs.withColumn("__score", score("text")).where(F.col("__score") < toxicity.CUT_OFF).drop("__score")
+    return _below(docs, toxicity.toxic_score(spark, model), toxicity.CUT_OFF)
+
+
+def _below(docs: DataFrame, score, limit: float) -> DataFrame:
+    """The rows whose text scores below the limit; columns of any name stay as they are."""
+    name = free_names(docs, "score")["score"]
+    return docs.withColumn(name, score("text")).where(F.col(name) < limit).drop(name)
 
 
 def without_bad(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier doesn't call bad."""
     ship(spark)
     _, scorer = weak_labels.fit(docs)
-    score = weak_labels.bad_score(spark, scorer)
-    return docs.withColumn("__score", score("text")).where(F.col("__score") < weak_labels.CUT_OFF).drop("__score")
+    return _below(docs, weak_labels.bad_score(spark, scorer), weak_labels.CUT_OFF)
 
 
 def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
