@@ -168,3 +168,100 @@ def test_records_that_share_a_draw_are_still_cut_exactly(spark, tmp_path):
     for n in (1, 249, 250, 251, 618, 1000):
         got = bag(subsets.exact_subset(df, n, draw=coarse))
         assert sum(got.values()) == n and not got - bag(df)
+
+
+def copies_table(spark, path):
+    write_table(spark.range(200).select((F.col("id") % 20).cast("string").alias("name"), F.lit(1).alias("n")).repartition(3), path)
+    return spark.read.parquet(path)
+
+
+def test_copies_are_drawn_one_by_one(spark, tmp_path):
+    """20 records of 10 copies: for each seed at most n rows, and over all seeds the share that was asked for."""
+    df = copies_table(spark, str(tmp_path / "copies"))
+    n, seeds, kept, parts = 55, 50, 0, set()
+    for seed in range(seeds):
+        got = bag(subsets.bernoulli_subset(df, n, draw=subsets.portable_draw(df.columns, seed)))
+        assert sum(got.values()) <= n and not got - bag(df)
+        kept += sum(got.values())
+        parts |= set(got.values())
+    # the cap takes the upper half of each draw's deviation, 0.4 standard deviations in the mean
+    deviation = (200 * 0.275 * 0.725) ** 0.5
+    assert abs(kept / seeds - (n - 0.4 * deviation)) < 4 * deviation / seeds**0.5
+    assert not parts <= {10}  # neither all copies nor none
+
+
+def test_copies_told_apart_do_not_depend_on_the_layout(spark, tmp_path):
+    df = copies_table(spark, str(tmp_path / "copies"))
+    other = spark.createDataFrame(df.orderBy("name").collect(), df.schema).coalesce(1)
+    draw = subsets.record_draw(df.columns, 5)
+    want = Counter(r[subsets.DRAW] for r in subsets.told_apart(df, draw).collect())
+    assert Counter(r[subsets.DRAW] for r in subsets.told_apart(other, draw).collect()) == want
+    assert len(want) == 200
+
+
+def test_a_sample_of_a_record_that_is_most_of_the_table(spark, tmp_path):
+    df = hot_table(spark, str(tmp_path / "hot"))
+    got = bag(subsets.bernoulli_subset(df, 16_000, draw=subsets.record_draw(df.columns, 3)))
+    hot = sum(count for row, count in got.items() if row[0] == "copy")
+    assert 14_500 < hot < 15_500 and 800 < sum(got.values()) - hot < 1_200
+
+
+@pytest.mark.parametrize("exact", [True, False])
+@pytest.mark.parametrize("kind", ["record", "coarse", "one", "random"])
+def test_one_pass_deals_the_rungs_of_the_ladder(spark, tmp_path, exact, kind):
+    df = copies_table(spark, str(tmp_path / "copies"))
+    draw = {
+        "record": subsets.record_draw(df.columns, 1),
+        "coarse": subsets.Draw(F.col("name").cast("long") % 4, 2),
+        "one": subsets.Draw(F.lit(0).cast("long"), 1),
+        "random": subsets.random_draw(1),
+    }[kind]
+    sizes = {"large": 120, "a": 7, "b": 8, "same": 8, "all": 200, "more": 201}
+    rows, names = subsets.dealt(df, sizes, draw=draw, exact=exact)
+    found = Counter(r[subsets.RUNG] for r in rows.collect())
+    assert bag(rows.drop(subsets.RUNG)) == bag(df)
+    assert set(names) == {"large", "a", "b", "same", "all", "full"} and names[-1] == "full"
+    for k, name in enumerate(names[:-1]):
+        size = sum(n for rung, n in found.items() if rung <= k)
+        assert size == sizes[name] if exact else size <= sizes[name]
+
+
+def test_one_pass_equals_the_ladder_rung_by_rung(table):
+    draw = subsets.portable_draw(table.columns, 42)
+    sizes = {"a": 100, "b": 900, "c": 3000}
+    for exact, ladder in ((True, subsets.exact_ladder), (False, subsets.size_ladder)):
+        rows, names = subsets.dealt(table, sizes, draw=draw, exact=exact)
+        for name, df in ladder(table, sizes, draw=draw).items():
+            assert bag(rows.filter(F.col(subsets.RUNG) <= names.index(name)).drop(subsets.RUNG)) == bag(df)
+
+
+def test_dealing_scans_a_stored_draw_once(spark, table, tmp_path):
+    path = str(tmp_path / "drawn")
+    draw = subsets.random_draw(2)
+    write_table(subsets.with_draw(table, draw), path)
+    rows, _ = subsets.dealt(spark.read.parquet(path), {"a": 100, "b": 1000}, draw=subsets.stored(draw))
+    plan = plan_of(rows, "simple")
+    assert plan.count("FileScan") == 1 and "Exchange" not in plan
+
+
+def test_positions_do_not_depend_on_how_the_table_is_split(spark, table, tmp_path, monkeypatch):
+    want = bag(subsets.permuted(table))
+    assert sorted(row[-1] for row in want) == list(range(5164))
+    other = str(tmp_path / "other")
+    write_table(table.orderBy("arr_delay").repartition(13), other)
+    assert bag(subsets.permuted(spark.read.parquet(other))) == want
+    monkeypatch.setattr(subsets, "ROWS_PER_DEAL", 300)  # more deals, the same order
+    dealt = subsets.permuted(table)
+    assert bag(dealt) == want and dealt.rdd.getNumPartitions() == 32
+    assert [row.position for row in dealt.collect()] == list(range(5164))
+    plan = plan_of(dealt, "simple")
+    assert plan.count("Exchange") == 1 and "rangepartitioning" not in plan
+
+
+def test_a_permuted_table_is_cut_by_position(spark, table, tmp_path):
+    path = str(tmp_path / "shuffled")
+    write_table(subsets.permuted(table), path)
+    rows, names = subsets.dealt_by_position(spark.read.parquet(path), {"b": 900, "a": 100, "x": 6000})
+    assert names == ["a", "b", "full"]
+    assert Counter(r.rung for r in rows.collect()) == {0: 100, 1: 800, 2: 4264}
+    assert subsets.permuted(table.limit(0)).count() == 0
