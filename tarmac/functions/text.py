@@ -17,12 +17,30 @@ WHITESPACE = (
     "\u202f\u205f\u3000"
 )
 
+VISIBLE = "[^" + "".join(f"\\x{{{ord(c):x}}}" for c in WHITESPACE) + "]"  # one character that is none of these
+
 
 def stripped(cell: Column) -> Column:
-    """The cell without white space around it."""
+    """The cell without white space around it; searched for it only if its ends may be some."""
+    plain = is_visible(cell) & is_visible(F.substring(cell, -1, 1))
+    return F.when(plain, cell).otherwise(bare_of(cell))
+
+
+def bare_of(cell: Column) -> Column:
+    """``stripped`` by the search alone: less code, for cells that are seldom looked at."""
     return F.btrim(cell, F.lit(WHITESPACE))
 
 
+def is_visible(cell: Column) -> Column:
+    """Whether the first character is one of ASCII that leaves a mark."""
+    return (cell >= "!") & (cell < "\x7f")
+
+
+def is_blank(cell: Column) -> Column:
+    """Whether nothing but white space is in the cell; mostly the first character decides."""
+    return ~cell.rlike(VISIBLE)
+
+
 def number(cell: Column) -> Column:
     """The cell as a double, NULL if it is blank or not a number.
 

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tarmac.functions.delays import operated, was_cancelled
-from tarmac.functions.text import from_text, stripped
+from tarmac.functions.text import from_text, is_blank, stripped
 from tarmac.model import CANCELLATION_REASONS, DELAY_CAUSES, FLIGHTS, FLIGHTS_RAW, MANDATORY, NO_REASON
 
 KEYS = ("op_unique_carrier", "origin")
@@ -40,7 +40,7 @@ def has_valid_month() -> Column:
 
 
 def has_keys(keys=KEYS) -> Column:
-    return reduce(and_, (stripped(F.col(key)) != "" for key in keys))
+    return reduce(and_, (~is_blank(F.col(key)) for key in keys))
 
 
 # --- Steps --------------------------------------------------------------------------
@@ -82,7 +82,9 @@ def valid_month(df: DataFrame) -> DataFrame:
 
 
 def normalize_strings(df: DataFrame, columns=KEYS) -> DataFrame:
-    return df.withColumns({name: stripped(F.upper(F.col(name))) for name in columns})
+    """Capitals without white space around them. Blanks, the usual kind, go first and fast."""
+    trimmed = df.withColumns({name: F.trim(name) for name in columns})
+    return trimmed.withColumns({name: F.upper(stripped(F.col(name))) for name in columns})
 
 
 def drop_empty_keys(df: DataFrame, keys=KEYS) -> DataFrame:
@@ -107,11 +109,11 @@ def nullify_code_operated(df: DataFrame) -> DataFrame:
     return df.withColumn("cancellation_code", F.when(operated(), F.lit(None)).otherwise(code))
 
 
-def clean(raw: DataFrame) -> DataFrame:
+def clean(raw: DataFrame, normalize: bool = True) -> DataFrame:
     """Raw flights to clean flights. No step shuffles: the whole chain runs inside the scan.
 
     Blank keys go before the keys are normalised, so that the filter does not have to
-    normalise them too.
+    normalise them too. ``normalize=False`` leaves that to what groups by them.
     """
     return (
         raw.transform(select_columns)
@@ -122,7 +124,7 @@ def clean(raw: DataFrame) -> DataFrame:
         .transform(zero_fill_causes)
         .transform(valid_month)
         .transform(drop_empty_keys)
-        .transform(normalize_strings)
+        .transform(normalize_strings if normalize else lambda df: df)
         .transform(validate_codes)
         .transform(map_reason)
         .transform(nullify_code_operated)

@@ -7,6 +7,8 @@ may be written "1.0".
 
 from __future__ import annotations
 
+import json
+import uuid
 from functools import reduce
 from operator import and_
 
@@ -14,20 +16,30 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tarmac.functions.text import from_number, number, stripped
+from tarmac.functions.text import VISIBLE, from_number, is_blank, number, stripped
 from tarmac.model import FLIGHTS, FLIGHTS_RAW
+from tarmac.sources import files
 
 # Quotes inside quoted cells are doubled; the reader and the writer agree on it.
 CSV_FORMAT = {"sep": ",", "quote": '"', "escape": '"'}
 
 REQUIRED = ("month", "cancelled")
 
+# Marks that no line holds, as nobody knows them before the process starts.
+_OWN = "\u0001" + uuid.uuid4().hex
+_HIDDEN_COMMA = _OWN + "c"
+_QUOTED_BLANK = _OWN + "b"  # is an empty text, while a blank without quotes is none
+
+# Anything but white space, and but the mark of an empty text.
+_SOMETHING = f"(?s)^(?!{_QUOTED_BLANK}$).*{VISIBLE}"
+
 # A whole line as one cell: nothing separates and nothing quotes.
-LINE_FORMAT = {"sep": "\u0001\u0002\u0003", "quote": ""}
+LINE_FORMAT = {"sep": _OWN, "quote": ""}
+
+MANIFEST = "_rungs.json"
 
 _CELLS = "_cells"
-_HIDDEN_COMMA = "\u0001"
-_QUOTED_BLANK = "\u0002"  # is an empty text, while a blank without quotes is none
+_TYPED = "_typed"
 
 
 def header_names(spark: SparkSession, path) -> list[str]:
@@ -38,15 +50,17 @@ def header_names(spark: SparkSession, path) -> list[str]:
 def scan_csv(spark: SparkSession, path, schema: T.StructType = FLIGHTS_RAW) -> DataFrame:
     """The columns of ``schema``, found by name in the header; other columns are not parsed.
 
-    A cell that does not fit its type is NULL. Files whose headers differ are an error.
+    A cell that does not fit its type is NULL. Each file is read by its own header.
     """
-    names = _checked_header(spark, path, schema)
-    lines = (
-        spark.read.schema(_file_schema(names, schema))
-        .options(**CSV_FORMAT, header=True, enforceSchema=False)
-        .csv(path)
-    )
-    return lines.select(*(_value(field, F.col(field.name)) for field in schema))
+    scans = []
+    for names, found in _layouts(spark, path, schema):
+        lines = (
+            spark.read.schema(_file_schema(names, schema))
+            .options(**CSV_FORMAT, header=True, enforceSchema=False)
+            .csv(found)
+        )
+        scans.append(lines.select(*(_value(field, F.col(field.name)) for field in schema)))
+    return reduce(DataFrame.unionAll, scans)
 
 
 def scan_tolerant(
@@ -62,11 +76,23 @@ def scan_tolerant(
     Lines are split here and not by the CSV reader, in time that is linear in the line and only
     up to the last column wanted: no line, however long or badly quoted, fails the job.
     """
-    names = _checked_header(spark, path, schema)
-    cells = _lines(spark, path, names, schema, header=True)
+    layouts = _layouts(spark, path, schema)
+    names = layouts[0][0]
+    cells = [_lines(spark, found, layout, schema, header=True) for layout, found in layouts]
+    if len(layouts) > 1:  # the wanted cells in the schema's order; none of a line that lacks one
+        names = schema.names
+        cells = [
+            lines.select(
+                F.when(
+                    F.size(_CELLS) >= _needed(layout, schema), F.array(*(_cell(layout.index(name)) for name in names))
+                ).otherwise(F.array().cast("array<string>")).alias(_CELLS)
+            )
+            for lines, (layout, _) in zip(cells, layouts)
+        ]
+    every = reduce(DataFrame.unionAll, cells)
     if lines is not None:
-        cells = cells.observe(lines, F.count("*").alias("lines"))
-    return _kept(cells, names, schema)
+        every = every.observe(lines, F.count("*").alias("lines"))
+    return _kept(every, names, schema)
 
 
 def scan_positional(
@@ -79,11 +105,13 @@ def scan_positional(
 
 def scan_report(spark: SparkSession, path, schema: T.StructType = FLIGHTS) -> DataFrame:
     """How many lines ``scan_tolerant`` keeps and drops, and why, in one pass."""
-    names = _checked_header(spark, path, schema)
-    lines = _lines(spark, path, names, schema, header=True)
-    is_header = F.coalesce(F.lower(F.trim(_cell(0))) == names[0].lower(), F.lit(False))
-    status = F.when(is_header, "header").when(_is_kept(names, schema), "kept").otherwise("malformed")
-    return lines.groupBy(status.alias("status")).agg(F.count("*").alias("lines"))
+    statuses = []
+    for names, found in _layouts(spark, path, schema):
+        lines = _typed(_lines(spark, found, names, schema, header=True), names, schema)
+        is_header = F.coalesce(F.lower(F.trim(_cell(0))) == names[0].lower(), F.lit(False))
+        status = F.when(is_header, "header").when(_is_kept(names, schema), "kept").otherwise("malformed")
+        statuses.append(lines.select(status.alias("status")))
+    return reduce(DataFrame.unionAll, statuses).groupBy("status").agg(F.count("*").alias("lines"))
 
 
 def is_text(path, form: str | None = None) -> bool:
@@ -108,10 +136,44 @@ def read_flights(
     return spark.read.parquet(path).select(*schema.names)
 
 
-def _checked_header(spark: SparkSession, path, schema: T.StructType) -> list[str]:
+def rung_folders(spark: SparkSession, out_dir: str, name: str) -> list[str]:
+    """The folders that make up a subset which ``write_rungs`` has written; [] of one without rows."""
+    rungs = json.loads(files.read_text(spark, f"{out_dir}/{MANIFEST}"))
+    if name not in rungs:
+        raise ValueError(f"no subset {name!r} in {out_dir}, but {sorted(rungs)}")
+    return [f"{str(out_dir).rstrip('/')}/{folder}" for folder in rungs[name]]
+
+
+def read_rung(
+    spark: SparkSession, out_dir: str, name: str, schema: T.StructType = FLIGHTS, lines: Observation | None = None
+) -> DataFrame:
+    """The flights of a subset as the union of its folders."""
+    folders = rung_folders(spark, out_dir, name)
+    return scan_tolerant(spark, folders, schema, lines) if folders else spark.createDataFrame([], schema)
+
+
+def _layouts(spark: SparkSession, path, schema: T.StructType) -> list[tuple[list[str], list[str]]]:
+    """The column names of the files that a path stands for, and the files that have them.
+
+    The driver reads the first line of each file. Files with the same header are one scan, so there are as
+    many scans as different headers; mostly that is one, of the path itself.
+    """
+    paths = [path] if isinstance(path, str) else list(path)
+    by_header: dict[str, list[str]] = {}
+    for file in (file for p in paths for file in files.listed(spark, p) if file.size):
+        by_header.setdefault(files.first_line(spark, file.path), []).append(file.path)
+    if len(by_header) <= 1:
+        return [(_checked_header(header_names(spark, paths), schema), paths)]
+    by_names: dict[tuple, list[str]] = {}
+    for found in by_header.values():
+        by_names.setdefault(tuple(_checked_header(header_names(spark, found[:1]), schema)), []).extend(found)
+    return [(list(names), found) for names, found in by_names.items()]
+
+
+def _checked_header(header: list[str], schema: T.StructType) -> list[str]:
     """The header's names, in the letters of ``schema`` where they differ only in case."""
     known = {name.lower(): name for name in schema.names}
-    names = [known.get(name.strip().lower(), name) for name in header_names(spark, path)]
+    names = [known.get(name.strip().lower(), name) for name in header]
     missing = [name for name in schema.names if name not in names]
     if missing:
         raise ValueError(f"columns not in the header: {missing}")
@@ -152,14 +214,14 @@ def _split(line: Column, needed: int) -> Column:
     is inside; commas there do not separate."""
 
     def unquoted(cell: Column) -> Column:
-        bare = stripped(F.translate(cell, _HIDDEN_COMMA, ","))
+        bare = stripped(F.replace(cell, F.lit(_HIDDEN_COMMA), F.lit(",")))
         inside = stripped(F.replace(F.substring(bare, F.lit(2), F.length(bare) - 2), F.lit('""'), F.lit('"')))
         quoted = bare.startswith('"') & bare.endswith('"') & (F.length(bare) > 1)
         return F.when(quoted & (inside == ""), F.lit(_QUOTED_BLANK)).when(quoted, inside).otherwise(bare)
 
     between = F.transform(
         F.split(line, '"', -1),
-        lambda piece, i: F.when(i % 2 == 1, F.translate(piece, ",", _HIDDEN_COMMA)).otherwise(piece),
+        lambda piece, i: F.when(i % 2 == 1, F.replace(piece, F.lit(","), F.lit(_HIDDEN_COMMA))).otherwise(piece),
     )
     quoted = F.transform(F.split(F.array_join(between, '"'), ",", needed + 1), unquoted)
     return F.when(line.contains('"'), quoted).otherwise(F.split(line, ",", needed + 1))
@@ -173,10 +235,14 @@ def _cell(place: int) -> Column:
     return F.get(F.col(_CELLS), F.lit(place))
 
 
-def _text(place: int) -> Column:
-    """A cell's text, NULL if it is blank or missing."""
-    bare = stripped(_cell(place))
-    return F.when(bare == _QUOTED_BLANK, F.lit("")).when(bare != "", bare)
+def _typed(lines: DataFrame, names, schema: T.StructType) -> DataFrame:
+    """The lines with their wanted numbers as ``_typed``. As a generator, so that a cell is read once and not again
+    for what is then asked about it."""
+    values = [
+        from_number(number(_cell(names.index(field.name))), field).alias(field.name) for field in schema if not _is_text(field)
+    ]
+    typed = F.struct(*values) if values else F.struct(F.lit(None).alias("none"))
+    return lines.select(_CELLS, F.explode(F.array(typed)).alias(_TYPED))
 
 
 def _is_kept(names, schema: T.StructType) -> Column:
@@ -188,17 +254,22 @@ def _is_kept(names, schema: T.StructType) -> Column:
     for field in schema:
         if _is_text(field):
             continue
+        found = F.col(f"{_TYPED}.{field.name}").isNotNull()
         cell = _cell(names.index(field.name))
-        if field.name in REQUIRED:
-            fine.append(from_number(number(cell), field).isNotNull())
-        else:  # what is no number is looked at once more
-            fine.append(number(cell).isNotNull() | F.coalesce(stripped(cell), F.lit("")).isin("", _QUOTED_BLANK))
-    return reduce(and_, fine)
+        if field.name not in REQUIRED:  # what is no number is looked at once more
+            found = found | ~F.coalesce(cell.rlike(_SOMETHING), F.lit(False))
+            if isinstance(field.dataType, T.IntegerType):  # one that is too large is a number
+                found = found | number(cell).isNotNull()
+        fine.append(found)
+    return F.coalesce(reduce(and_, fine), F.lit(False))
 
 
 def _kept(lines: DataFrame, names, schema: T.StructType) -> DataFrame:
     def value(field: T.StructField) -> Column:
-        place = names.index(field.name)
-        return _text(place) if _is_text(field) else from_number(number(_cell(place)), field)
+        if not _is_text(field):
+            return F.col(f"{_TYPED}.{field.name}").alias(field.name)
+        cell = _cell(names.index(field.name))
+        found = F.when(cell == _QUOTED_BLANK, F.lit("")).when(~is_blank(cell), stripped(cell))
+        return found.alias(field.name)
 
-    return lines.filter(_is_kept(names, schema)).select(*(value(field).alias(field.name) for field in schema))
+    return _typed(lines, names, schema).filter(_is_kept(names, schema)).select(*map(value, schema))

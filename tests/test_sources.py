@@ -4,13 +4,14 @@ import json
 
 import pytest
 from pyspark.errors import AnalysisException
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from tarmac.model import CARRIER_REPORT_COLUMNS, FLIGHTS, FLIGHTS_RAW, subset_of
 from tarmac.plans import airport, carrier
 from tarmac.sources import reading, writing
 from tarmac.sources.scratch import scratch_path
-from helpers import flight, flights, rows_of, write_lines
+from helpers import flight, flights, plan_of, rows_of, write_lines
 
 FEW = subset_of(FLIGHTS_RAW, ("month", "op_unique_carrier", "origin", "arr_delay", "cancelled"))
 
@@ -100,11 +101,64 @@ def test_positional_scan(spark, tmp_path, header):
     assert rows_of(reading.scan_positional(spark, str(path), few)) == [(1, "AA", "JFK", 6.0, 0)]
 
 
-def test_files_with_different_headers_are_refused(spark, tmp_path):
+def test_files_are_read_by_their_own_headers(spark, tmp_path):
+    write_lines(tmp_path / "a.csv", ["1,AA,JFK,2,0", "1,AA"], header=",".join(FEW.names))
+    write_lines(tmp_path / "b.csv", ["BB,2,JFK,3,x,0", "BB,2,JFK"], header="OP_UNIQUE_CARRIER,MONTH,ORIGIN,ARR_DELAY,MORE,CANCELLED")
+    write_lines(tmp_path / "c.csv", ["3,CC,JFK,4,0"], header=",".join(FEW.names))
+    (tmp_path / "d.csv").write_text("")
+    want = [(1, "AA", "JFK", 2.0, 0), (2, "BB", "JFK", 3.0, 0), (3, "CC", "JFK", 4.0, 0)]
+    assert kept(spark, str(tmp_path)) == want
+    assert rows_of(reading.scan_csv(spark, str(tmp_path), FEW).filter("cancelled = 0")) == want
+    assert rows_of(reading.scan_report(spark, str(tmp_path), FEW)) == [("kept", 3), ("malformed", 2)]
+    lines = Observation()
+    reading.scan_tolerant(spark, str(tmp_path), FEW, lines).collect()
+    assert lines.get == {"lines": 5}
+
+
+def test_a_file_without_a_wanted_column_is_an_error(spark, tmp_path):
     write_lines(tmp_path / "a.csv", ["1,AA,JFK,2,0"], header=",".join(FEW.names))
-    write_lines(tmp_path / "b.csv", ["AA,1,JFK,2,0"], header="op_unique_carrier,month,origin,arr_delay,cancelled")
-    with pytest.raises(Exception, match="(?i)header"):
-        reading.scan_csv(spark, str(tmp_path), FEW).collect()
+    write_lines(tmp_path / "b.csv", ["1,AA,2,0"], header="month,op_unique_carrier,arr_delay,cancelled")
+    with pytest.raises(ValueError, match="origin"):
+        reading.scan_csv(spark, str(tmp_path), FEW)
+
+
+def test_no_character_of_a_line_is_taken_for_a_mark(spark, tmp_path):
+    lines = ['1,"A\u0001A",JFK,2,0', '1,"\u0002",JFK,2,0', "1,A\u0001\u0002\u0003,JFK,2,0", '1,"A,""B",JFK,2,0', '1,"",JFK,2,0']
+    path = write_lines(tmp_path / "f.csv", lines, header=",".join(FEW.names))
+    carriers = {row[1] for row in kept(spark, path)}
+    assert carriers == {"A\u0001A", "\u0002", "A\u0001\u0002\u0003", 'A,"B', ""}
+
+
+def test_one_csv_file(spark, tmp_path):
+    rows = [flight(origin=f"A{k}", cancellation_code=None) for k in range(50)] + [flight(origin='x,"y')]
+    path = tmp_path / "one.csv"
+    writing.write_csv_file(flights(spark, *rows).repartition(7), str(path))
+    assert path.is_file() and [p.name for p in tmp_path.iterdir() if not p.name.startswith(".")] == ["one.csv"]
+    lines = path.read_text().splitlines()
+    assert lines[0] == ",".join(FLIGHTS.names) and len(lines) == 52
+    assert rows_of(reading.read_flights(spark, str(path))) == sorted(rows, key=repr)
+    writing.write_csv_file(flights(spark).limit(0), str(path))
+    assert path.read_text() == ",".join(FLIGHTS.names) + "\n"
+
+
+def test_one_json_document(spark, tmp_path):
+    rows = [flight(op_unique_carrier=c, origin=o) for c in ("ZZ", "AA", "é", 'q"') for o in ("JFK", "LAX")]
+    report = carrier.nested_carrier_report(flights(spark, *rows))
+    path = tmp_path / "report.json"
+    writing.write_report_file(report, str(path))
+    found = json.loads(path.read_text())
+    assert [d["carrier"] for d in found] == ["AA", "ZZ", 'q"', "é"]
+    assert found[0]["airports"][1]["data"]["num_flights"] == 1
+    with pytest.raises(FileExistsError):
+        writing.write_report_file(report, str(path), mode="errorifexists")
+    writing.write_report_file(carrier.nested_carrier_report(flights(spark)), str(path))
+    assert json.loads(path.read_text()) == []
+
+
+def test_one_json_document_goes_through_no_single_task(spark, tmp_path):
+    rows = flights(spark, *(flight(op_unique_carrier=f"C{k}") for k in range(40)))
+    report = carrier.nested_carrier_report(rows)
+    assert "SinglePartition" not in plan_of(writing.in_order(report).select(writing.report_line(report)), "simple")
 
 
 def test_csv_round_trip(spark, tmp_path):
