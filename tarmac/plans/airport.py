@@ -14,7 +14,7 @@ from tarmac.operators.ranking import ranked_causes
 KEYS = ("origin", "month")
 
 
-def _band_columns() -> list:
+def band_columns() -> list:
     return [
         column
         for name in BAND_NAMES
@@ -31,7 +31,7 @@ def airport_month_bands(
     return (
         flights.groupBy(*KEYS)
         .agg(*measures.band_counts(low_below, high_above), *measures.band_sums(low_below, high_above))
-        .select(*KEYS, *_band_columns())
+        .select(*KEYS, *band_columns())
     )
 
 
@@ -62,7 +62,11 @@ def nested_airport_report(
         *measures.band_sums(low_below, high_above),
         *measures.cause_counts(gate_cancelled),
     )
-    monthly = monthly.select(*KEYS, *_band_columns(), ranked_causes(k=k).alias("top_3_causes"))
+    return airport_report(monthly.select(*KEYS, *band_columns(), ranked_causes(k=k).alias("top_3_causes")))
+
+
+def airport_report(monthly: DataFrame) -> DataFrame:
+    """One document per airport from rows per airport and month."""
     bands = F.struct(
         *(
             F.struct(

@@ -35,10 +35,13 @@ def nested_carrier_report(flights: DataFrame) -> DataFrame:
 
     The second exchange moves aggregated rows only, one per carrier and airport.
     """
+    return carrier_report(carrier_airport_stats(flights))
+
+
+def carrier_report(stats: DataFrame) -> DataFrame:
+    """One document per carrier from rows per carrier and airport."""
     airport = F.struct(F.col("origin").alias("airport"), F.struct(*STATISTICS).alias("data"))
-    return nest(
-        carrier_airport_stats(flights), F.col("op_unique_carrier").alias("carrier"), airport, "airports"
-    )
+    return nest(stats, F.col("op_unique_carrier").alias("carrier"), airport, "airports")
 
 
 def flatten_carrier_report(report: DataFrame) -> DataFrame:

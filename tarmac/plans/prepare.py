@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from tarmac.model import SUBSET_SEED, SUBSET_SIZES
 from tarmac.operators.cleaning import clean
-from tarmac.operators.subsets import Draw, exact_ladder, size_ladder, with_draw
+from tarmac.operators.subsets import DRAW, POSITION, RUNG, Draw, dealt, dealt_by_position, permuted, with_draw
 from tarmac.plans.quality import funnel_counts
-from tarmac.sources.writing import write_csv, write_table
+from tarmac.sources import files
+from tarmac.sources.writing import header_line, joined, write_csv, write_manifest, write_table
 
 
 def write_clean(
@@ -31,6 +32,28 @@ def write_clean(
     return {"raw": lines.get["lines"], "parsed": funnel.pop("raw"), **funnel}
 
 
+def write_shuffled(spark: SparkSession, clean_path: str, path: str, seed: int = SUBSET_SEED, draw: Draw | None = None) -> None:
+    """The clean table in seeded random order, each row with its position."""
+    write_table(permuted(spark.read.parquet(clean_path), seed, draw), path)
+
+
+def write_rungs(table: DataFrame, names: list[str], out_dir: str) -> dict[str, int]:
+    """Write a dealt table as delimited text, a folder for each rung's own rows, and the manifest that says which
+    folders make up which subset; returns the rows of each subset.
+
+    One job, however many rungs there are; each row is written once, and counted as it passes.
+    """
+    spark = table.sparkSession
+    rows = Observation("rungs")
+    counts = [F.count_if(F.col(RUNG) <= k).alias(str(k)) for k in range(len(names))]
+    write_csv(table.observe(rows, *counts), out_dir, by=RUNG)
+    found = rows.get
+    written = {name: found[str(k)] for k, name in enumerate(names)}
+    with_rows = [k for k in range(len(names)) if written[names[k]] > (written[names[k - 1]] if k else 0)]
+    write_manifest(spark, out_dir, {name: [f"{RUNG}={j}" for j in with_rows if j <= k] for k, name in enumerate(names)})
+    return written
+
+
 def write_subsets(
     spark: SparkSession,
     clean_path: str,
@@ -39,15 +62,41 @@ def write_subsets(
     seed: int = SUBSET_SEED,
     exact: bool = False,
     draw: Draw | None = None,
+    layout: str = "folders",
 ) -> dict[str, int]:
-    """Write ``flight_<size>.csv`` for each rung of the ladder; returns the rows in each.
+    """Write all rungs of the ladder in one pass over the clean table; returns the rows in each.
+
+    ``draw`` names the draw that is stored in the table, if one is. A table with positions
+    (``permuted``) is cut by them, so a rung of n rows is its first n.
 
-    ``draw`` names the draw that is stored in the table, if one is.
+    By ``layout`` each subset is a folder or a single file ``flight_<size>.csv``, which holds all its rows; or
+    "nested", each row is written once and a manifest says which folders make up a subset.
     """
-    written = {}
-    ladder = exact_ladder if exact else size_ladder
-    for name, df in ladder(spark.read.parquet(clean_path), sizes, seed, draw).items():
-        rows = Observation(f"rows_{name}")
-        write_csv(df.observe(rows, F.count("*").alias("rows")), f"{out_dir}/flight_{name}.csv")
-        written[name] = rows.get["rows"]
+    table = spark.read.parquet(clean_path)
+    if POSITION in table.columns:
+        rows, names = dealt_by_position(table.drop(DRAW), sizes)
+        rows = rows.drop(POSITION)
+    else:
+        rows, names = dealt(table, sizes, seed, draw, exact)
+    if layout == "nested":
+        return write_rungs(rows, names, out_dir)
+    counts = Observation("rungs")
+    observed = rows.observe(counts, *(F.count_if(F.col(RUNG) <= k).alias(str(k)) for k in range(len(names))))
+    # a row goes to the smallest rung that has it and to all larger ones
+    labels = F.array(*(F.lit(f"flight_{name}.csv") for name in names))
+    each = observed.withColumn("subset", F.explode(F.slice(labels, F.col(RUNG) + 1, len(names)))).drop(RUNG)
+    single = layout == "files"
+    parts = f"{out_dir}/_subsets"
+    write_csv(each, parts, by="subset", header=not single)
+    found = counts.get
+    written = {name: found[str(k)] for k, name in enumerate(names)}
+    for name, rows_in in written.items():
+        folder, target = f"{parts}/subset=flight_{name}.csv", f"{out_dir}/flight_{name}.csv"
+        if not rows_in:
+            write_csv(each.drop("subset").limit(0), folder, header=not single)
+        if single:
+            joined(spark, folder, target, header_line(rows.drop(RUNG).columns), "")
+        else:
+            files.rename(spark, folder, target)
+    files.delete(spark, parts)
     return written

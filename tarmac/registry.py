@@ -17,7 +17,7 @@ from tarmac.functions.delays import delay_band, reason_label
 from tarmac.functions.months import month_name, month_names
 from tarmac.model import CAUSE_LABELS, DELAY_CAUSES, FLIGHTS, FLIGHTS_RAW, MONTH_NAMES
 from tarmac.operators import cleaning, measures, ranking, subsets
-from tarmac.plans import airport, carrier, quality
+from tarmac.plans import airport, carrier, prepare, quality, states
 from tarmac.sources import reading, writing
 from tarmac.sources.scratch import scratch_path
 
@@ -118,6 +118,24 @@ def _csv_roundtrip(spark, sf_dir):
     return reading.read_flights(spark, path)
 
 
+def _csv_file_roundtrip(spark, sf_dir):
+    path = scratch_path(spark, "clean") + ".csv"
+    writing.write_csv_file(binding.flights(spark, sf_dir), path)
+    return reading.read_flights(spark, path)
+
+
+def _mixed_header_scan(spark, sf_dir):
+    """The raw flights from one folder of files with their columns in three orders."""
+    raw, path = binding.flights_raw(spark, sf_dir), scratch_path(spark, "mixed")
+    names = raw.columns
+    early, late = F.coalesce(F.col("month") <= 4, F.lit(False)), F.coalesce(F.col("month") > 8, F.lit(False))
+    writing.write_csv(raw.filter(early), f"{path}/first")
+    writing.write_csv(raw.filter(late).select(*reversed(names)), f"{path}/second")
+    middle = raw.filter(~early & ~late).select(*names[5:], F.lit("x").alias("more"), *names[:5])
+    writing.write_csv(middle.toDF(*(name.upper() for name in middle.columns)), f"{path}/third")
+    return reading.scan_csv(spark, path)
+
+
 def _reread_report(spark, report: DataFrame) -> DataFrame:
     path = scratch_path(spark, "report")
     writing.write_report(report, path)
@@ -165,6 +183,8 @@ _register(
     ),
 )
 _register("csv_roundtrip", _csv_roundtrip, _on_clean("SELECT * FROM flights"))
+_register("csv_file_roundtrip", _csv_file_roundtrip, _on_clean("SELECT * FROM flights"))
+_register("mixed_header_scan", _mixed_header_scan, _on_raw("SELECT * FROM flights_raw"))
 
 # --- Cleaning steps -------------------------------------------------------------------
 
@@ -342,6 +362,23 @@ _register(
     _clean(lambda df: _joined_months(carrier.flatten_carrier_report(carrier.nested_carrier_report(df)))),
     _CARRIER_SQL,
 )
+
+
+def _merged_states(spark, sf_dir, kind, half) -> DataFrame:
+    """States of two halves of the raw flights, stored as batches and read together."""
+    raw, path = binding.flights_raw(spark, sf_dir), scratch_path(spark, "states")
+    states.add_batch(states.states_of_raw(raw.filter(half), kind), path, "first")
+    states.add_batch(states.states_of_raw(raw.filter(~F.coalesce(half, F.lit(False))), kind), path, "second")
+    return states.stored(spark, path, kind)
+
+
+_register(
+    "merged_carrier_states",
+    lambda spark, sf_dir: _joined_months(
+        states.carrier_airport_stats(_merged_states(spark, sf_dir, states.CARRIER, F.col("month") <= 6))
+    ),
+    _CARRIER_SQL,
+)
 _register(
     "report_json_lines",
     _clean(lambda df: carrier.nested_carrier_report(df).transform(lambda r: r.select(writing.report_line(r)))),
@@ -364,6 +401,24 @@ _register(
     _CARRIER_SQL,
 )
 
+
+
+def _reread_document(spark, report: DataFrame) -> DataFrame:
+    path = scratch_path(spark, "report") + ".json"
+    writing.write_report_file(report, path)
+    return spark.read.schema(report.schema).option("multiLine", True).json(path)
+
+
+_register(
+    "json_document_roundtrip",
+    lambda spark, sf_dir: _joined_months(
+        carrier.flatten_carrier_report(
+            _reread_document(spark, carrier.nested_carrier_report(binding.flights(spark, sf_dir)))
+        )
+    ),
+    _CARRIER_SQL,
+)
+
 # --- Measures per airport and month ---------------------------------------------------
 
 _MONTHLY_SQL = "SELECT origin, month, {} FROM banded GROUP BY origin, month"
@@ -459,6 +514,13 @@ _NAMED_CAUSES_SQL = _on_clean(
     f"SELECT origin, {_NAMES}[month] AS month, rank, cause, count FROM ranked WHERE rank <= 3", _RANKED
 )
 _register("airport_month_bands", _clean(airport.airport_month_bands), _BANDS_SQL)
+_register(
+    "merged_airport_states",
+    lambda spark, sf_dir: states.airport_month_bands(
+        _merged_states(spark, sf_dir, states.AIRPORT, F.col("arr_delay") < 30)
+    ),
+    _BANDS_SQL,
+)
 _register("top_causes", _clean(airport.top_causes), _CAUSES_SQL)
 _register("top_causes_window", _clean(ranking.top_causes_by_window), _CAUSES_SQL)
 _register(
@@ -569,6 +631,27 @@ def _sampled_ladder(spark, sf_dir):
     return _rung_totals(subsets.size_ladder(table, _LADDER, draw=draw))
 
 
+def _one_pass(spark, sf_dir, exact: bool) -> DataFrame:
+    """The same totals from one write of the dealt table, read back folder by folder."""
+    table, draw = _drawn_table(spark, sf_dir)
+    path = scratch_path(spark, "ladder")
+    written = prepare.write_rungs(*subsets.dealt(table, _LADDER, draw=draw, exact=exact), path)
+    return _rung_totals({name: reading.read_rung(spark, path, name, FLIGHTS) for name in written})
+
+
+def _one_pass_ladder(spark, sf_dir):
+    return _one_pass(spark, sf_dir, exact=False)
+
+
+def _one_pass_exact_ladder(spark, sf_dir):
+    return _one_pass(spark, sf_dir, exact=True)
+
+
+def _seeded_shuffle(spark, sf_dir):
+    table, draw = _drawn_table(spark, sf_dir)
+    return subsets.permuted(table, draw=draw)
+
+
 def _rung_totals(rungs: dict[str, DataFrame]) -> DataFrame:
     totals = [
         df.agg(
@@ -590,10 +673,15 @@ _register(
     _exact_subset,
     _on_clean(f"SELECT * FROM flights ORDER BY {_DRAW} LIMIT 5000"),
 )
-_PLACED = f""", placed AS (SELECT *, CAST('0x' || substr({_DRAW}, 1, 15) AS BIGINT) AS draw,
-          row_number() OVER (ORDER BY {_DRAW}) AS place FROM flights),
-        rungs AS (SELECT size, n, total FROM (VALUES {_RUNGS}, ('full', 9000000000000000)) AS v(size, n),
+# the second and later copies of a record draw by its draw and their number
+_NUMBERED = f"""SELECT *, row_number() OVER (PARTITION BY {', '.join(FLIGHTS.names)}) AS copy,
+          CAST('0x' || substr({_DRAW}, 1, 15) AS BIGINT) AS own FROM flights"""
+_COPY_DRAW = "CASE WHEN copy = 1 THEN own ELSE CAST('0x' || substr(md5(own || '|' || copy), 1, 15) AS BIGINT) END"
+_TOLD = f", told AS (SELECT * EXCLUDE (copy, own), {_COPY_DRAW} AS draw FROM ({_NUMBERED}))"
+_RUNGS_CTE = f"""rungs AS (SELECT size, n, total FROM (VALUES {_RUNGS}, ('full', 9000000000000000)) AS v(size, n),
           (SELECT count(*) AS total FROM flights))"""
+_SAMPLED = f"{_TOLD}, placed AS (SELECT *, row_number() OVER (ORDER BY draw) AS place FROM told), {_RUNGS_CTE}"
+_PLACED = f", placed AS (SELECT *, row_number() OVER (ORDER BY {_DRAW}) AS place FROM flights), {_RUNGS_CTE}"
 _RUNG_SQL = """SELECT size, count(*) AS rows, sum(arr_delay) AS arr_delay_sum,
         CAST(sum(cancelled) AS BIGINT) AS cancelled_sum
         FROM rungs JOIN placed ON place <= n WHERE {} GROUP BY size"""
@@ -605,7 +693,7 @@ _register(
     _on_clean(
         f"""SELECT {', '.join(FLIGHTS.names)} FROM placed, (SELECT count(*) AS total FROM flights)
         WHERE place <= 5000 AND CASE WHEN total > 5000 THEN {_BY_CHANCE.format(n=5000, total='total')} ELSE true END""",
-        _PLACED,
+        _SAMPLED,
     ),
 )
 _register("subset_ladder", _subset_ladder, _on_clean(_RUNG_SQL.format("n <= total OR size = 'full'"), _PLACED))
@@ -616,7 +704,13 @@ _register(
         _RUNG_SQL.format(
             f"size = 'full' OR n = total OR CASE WHEN n < total THEN {_BY_CHANCE.format(n='n', total='total')} END"
         ),
-        _PLACED,
+        _SAMPLED,
     ),
 )
-_register("seeded_shuffle", _clean(subsets.shuffled), _on_clean("SELECT * FROM flights"))
+_register("one_pass_ladder", _one_pass_ladder, ORACLE["sampled_ladder"])
+_register("one_pass_exact_ladder", _one_pass_exact_ladder, ORACLE["subset_ladder"])
+_register(
+    "seeded_shuffle",
+    _seeded_shuffle,
+    _on_clean(f"SELECT {', '.join(FLIGHTS.names)}, row_number() OVER (ORDER BY draw) - 1 AS position FROM told", _TOLD),
+)

@@ -114,3 +114,44 @@ def test_format_top_and_ungated_are_options(spark, tmp_path):
         ((month,),) = ([d["months"] for d in documents(tmp_path / name)])
         found[name] = len(month["top_3_causes"])
     assert found == {"default": 2, "one": 1, "ungated": 3}
+
+
+def test_prepare_with_a_shuffle_and_single_files(spark, out, tmp_path, capsys):
+    main(["prepare", str(out / "raw.csv"), str(tmp_path), "--size", "1k=1000", "--size", "2k=2000", "--shuffle", "--layout", "files"], spark)
+    lines = [line.split() for line in capsys.readouterr().out.splitlines()]
+    assert ["flight_1k.csv", "1,000"] in lines and ["flight_2k.csv", "2,000"] in lines
+    assert sorted(p.name for p in (tmp_path / "input").iterdir() if p.is_file() and not p.name.startswith(".")) == [
+        "flight_1k.csv", "flight_2k.csv", "flight_full.csv",
+    ]
+    texts = {n: (tmp_path / "input" / f"flight_{n}.csv").read_text().splitlines() for n in ("1k", "2k", "full")}
+    assert [len(t) for t in texts.values()] == [1001, 2001, 5165]
+    assert {t[0] for t in texts.values()} == {",".join(FLIGHTS.names)}
+    first = {r.position for r in spark.read.parquet(str(tmp_path / "shuffled")).collect()}
+    assert first == set(range(5164))
+
+
+def test_reports_from_nested_subsets(spark, out, tmp_path):
+    main(["prepare", str(out / "raw.csv"), str(tmp_path), "--size", "1k=1000", "--exact", "--layout", "nested"], spark)
+    folder = str(tmp_path / "input")
+    main(["carrier-report", folder, str(tmp_path / "all.json"), "--subset", "full", "--single-file"])
+    main(["carrier-report", folder, str(tmp_path / "some.json"), "--subset", "1k", "--single-file"])
+    for name, flights in (("all", 5164), ("some", 1000)):
+        report = json.loads((tmp_path / f"{name}.json").read_text())
+        assert sum(a["data"]["num_flights"] for d in report for a in d["airports"]) == flights
+    with pytest.raises(ValueError, match="no subset"):
+        main(["carrier-report", folder, str(tmp_path / "r"), "--subset", "9k"])
+    with pytest.raises(FileExistsError):
+        main(["carrier-report", folder, str(tmp_path / "all.json"), "--subset", "1k", "--single-file", "--keep-existing"])
+
+
+def test_states_of_batches_give_the_reports_of_all_flights(spark, out, tmp_path):
+    halves = [spark.read.parquet(str(out / "clean")).filter(test) for test in ("month <= 6", "month > 6")]
+    for name, half in zip(("first", "second"), halves):
+        half.write.parquet(str(tmp_path / name))
+        for kind in ("carrier", "airport"):
+            for _ in range(2):  # a repeated batch counts once
+                main(["add-states", kind, str(tmp_path / name), str(tmp_path / f"{kind}-states"), "--batch", name])
+    for kind in ("carrier", "airport"):
+        main([f"{kind}-report", str(out / "clean"), str(tmp_path / f"{kind}-1")])
+        main([f"{kind}-report", str(tmp_path / f"{kind}-states"), str(tmp_path / f"{kind}-2"), "--states"])
+        assert documents(tmp_path / f"{kind}-1") == documents(tmp_path / f"{kind}-2") != []
