@@ -69,3 +69,35 @@ def divergence_sql(least: int = 10, top: int = 10) -> str:
         FROM shared JOIN whole USING (lang, term) WHERE n > 0 AND p > q)
       SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
       FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms) QUALIFY part = 'pair' OR rank <= {top}"""
+
+
+def ledger_sql(rules: dict[str, str], base_mask: int, policy_mask: int, policy: str) -> str:
+    """The counts by unnested words and lines, then the rules' own conditions."""
+    blank = "\\x20\\x09-\\x0D"
+    bits = " + ".join(f"CASE WHEN {condition} THEN {1 << i} ELSE 0 END" for i, condition in enumerate(rules.values()))
+    return f"""WITH
+      docs AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+      lists AS (SELECT r, regexp_extract_all(text, '[^{blank}]+') AS w FROM docs),
+      words AS (SELECT r, unnest(w) AS w, unnest(range(len(w))) AS i FROM lists),
+      runs AS (SELECT *, lead(w) OVER o AS second, lead(w, 2) OVER o AS third, lag(w) OVER o AS before
+        FROM words WINDOW o AS (PARTITION BY r ORDER BY i)),
+      times AS (SELECT *, third IS NOT NULL AND count(*) OVER (PARTITION BY r, w, second, third) > 1 AS again FROM runs),
+      covered AS (SELECT *, again OR coalesce(lag(again) OVER o, false) OR coalesce(lag(again, 2) OVER o, false) AS repeated
+        FROM times WINDOW o AS (PARTITION BY r ORDER BY i)),
+      by_word AS (SELECT r, count(*) AS n_words, CAST(sum(length(w)) AS BIGINT) AS word_chars,
+        count(*) FILTER (repeated) AS n_repeat_words, count(DISTINCT w) AS n_distinct_words,
+        count(*) FILTER (w = before) AS n_same_words,
+        count(*) FILTER (strlen(w) > 1 AND regexp_matches(w, '[A-Z]') AND NOT regexp_matches(w, '[a-z]')) AS n_upper_words
+        FROM covered GROUP BY r),
+      lines AS (SELECT r, unnest(string_split(text, chr(10))) AS line FROM docs),
+      by_line AS (SELECT r, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup_lines
+        FROM lines WHERE regexp_matches(line, '[^{blank}]') GROUP BY r),
+      counts AS (SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(word_chars, 0) AS word_chars,
+        length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols, coalesce(n_lines, 0) AS n_lines,
+        coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words,
+        coalesce(n_distinct_words, 0) AS n_distinct_words, coalesce(n_same_words, 0) AS n_same_words,
+        coalesce(n_upper_words, 0) AS n_upper_words, length(regexp_replace(text, '[^0-9]', '', 'g')) AS n_digits
+        FROM docs LEFT JOIN by_word USING (r) LEFT JOIN by_line USING (r)),
+      judged AS (SELECT *, CAST({bits} AS BIGINT) AS failures FROM counts)
+      SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, failures & {base_mask} <> 0 AS base_failed,
+        failures & {policy_mask} = 0 AS kept, failures, '{policy}' AS policy FROM judged"""

@@ -172,3 +172,6 @@ def op13_divergence(spark, sf_dir):
 
 ORACLE["op12_centroids"] = oracle.centroids_sql()
 ORACLE["op13_divergence"] = oracle.divergence_sql()
+ORACLE["op6_rule_ledger"] = oracle.ledger_sql(
+    rules.RULES, rules.BASE_POLICY.mask, rules.DEFAULT_POLICY.mask, f"{rules.DEFAULT_POLICY.name}-{rules.DEFAULT_POLICY.version}"
+)

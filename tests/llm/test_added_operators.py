@@ -1,12 +1,15 @@
 """Tree concatenation, centroid clustering and source divergence against the library and brute force, and on awkward tables."""
 
+import glob
 import hashlib
+import os
 import random
 import re
 from collections import Counter, defaultdict
 from fractions import Fraction
 from math import floor
 
+import duckdb
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
@@ -306,3 +309,19 @@ def test_caches_of_another_operator_are_emptied():
 def test_ranges_by_size():
     assert list(remembered.by_size([1, 1, 5, 1, 1, 1], 3)) == [(0, 2), (2, 3), (3, 6)]
     assert list(remembered.by_size([], 3)) == []
+
+
+# --- SQL ---------------------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("name", sorted(queries.ORACLE))
+def test_queries_agree_with_sql(spark, name):
+    folder = "/root/testdata/sf0.01"
+    con = duckdb.connect()
+    for path in glob.glob(f"{folder}/*.parquet"):
+        con.execute(f"CREATE VIEW {os.path.basename(path).removesuffix('.parquet')} AS SELECT * FROM '{path}'")
+    df = queries.QUERIES[name](spark, folder)
+    columns = sorted(df.columns)
+    got = [tuple(row) for row in df.select(*columns).collect()]
+    want = con.sql(queries.ORACLE[name]).select(*(duckdb.ColumnExpression(c) for c in columns)).fetchall()
+    assert got and sorted(got, key=repr) == sorted(want, key=repr)
