@@ -138,7 +138,9 @@ def _bits(values: np.ndarray) -> np.ndarray:
 def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     begin("words")
     for batch in batches:
-        ids, all_texts = batch.column("doc_id"), batch.column("text")
+        # texts of like length together: short ones take many steps, all of them the same ones
+        order = pa.array(np.argsort(pc.binary_length(batch.column("text")).to_numpy(), kind="stable"))
+        ids, all_texts = batch.column("doc_id").take(order), batch.column("text").take(order)
         for k, end in by_size([n + 1000 for n in pc.binary_length(all_texts).to_pylist()], AT_ONCE):
             texts = all_texts.slice(k, end - k).to_pylist()
             runs, counts, owner = bags(texts)
