@@ -344,8 +344,8 @@ def _placed(docs: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
     rest = x.join(y, ["bucket", "low", "high"]).where(
         ((F.col("low") < F.col("high")) | (F.col("a") < F.col("b")))
         & (F.col("part_a") != F.col("part_b"))
+        & (first_shared == F.col("bucket"))  # cheaper than the signatures, which are so compared once
         & (_agreeing("x", "y") >= AGREE)
-        & (first_shared == F.col("bucket"))
     )
     pair = F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
     second = saved(rest.select(*pair).distinct().join(first.select(*pair), ["a", "b"], "left_anti"), "pairs")

@@ -34,8 +34,8 @@ from tarmac.llm.store import saved
 
 MIN_DOCUMENTS = 10
 TOP = 10
-SHARD = 65_536  # terms in a shard
-SHARD_BYTES = 1 << 21  # of its terms
+SHARD = 8_192  # terms in a shard, so that many tasks make them
+SHARD_BYTES = 1 << 18  # of its terms
 AT_ONCE = 64 << 20  # bytes of shards broadcast for one pass
 SLICE = 8_000_000  # bytes of text looked at together
 HELD = 4_000_000  # counts that a task holds
