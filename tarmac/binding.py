@@ -14,6 +14,7 @@ from tarmac.operators.cleaning import clean
 RAW_COLUMNS = {
     "month": "CASE WHEN l_orderkey % 101 = 0 THEN 13 ELSE CAST(month(l_shipdate) AS INT) END",
     "op_unique_carrier": """CASE WHEN l_orderkey % 97 = 0 THEN NULL
+        WHEN l_linenumber = 7 THEN concat(chr(9), l_returnflag, l_linestatus, ' ')
         WHEN l_linenumber % 2 = 0 THEN concat(' ', lower(l_returnflag), lower(l_linestatus), ' ')
         ELSE concat(l_returnflag, l_linestatus) END""",
     "origin": "concat('ap', CAST(l_suppkey % 25 AS STRING))",
@@ -35,18 +36,19 @@ RAW_COLUMNS = {
 }
 
 # The same flights as untidy text, for the scans that have to cope with it: repeated header
-# lines, numbers with a decimal point, junk in a number, blanks around keys, lower-case or
-# missing keys, fractions in the month.
+# lines, numbers with a decimal point, junk in a number, blanks and tabs around keys, lower-case or
+# missing keys, commas and quotes in keys, fractions in the month.
 TEXT_COLUMNS = {
     "month": """CASE WHEN l_orderkey % 211 = 0 THEN 'month' WHEN l_orderkey % 223 = 0 THEN '3.5'
         WHEN l_orderkey % 227 = 0 THEN NULL ELSE CAST(month(l_shipdate) AS STRING) END""",
-    "op_unique_carrier": """CASE WHEN l_orderkey % 97 = 0 THEN '  '
+    "op_unique_carrier": """CASE WHEN l_orderkey % 97 = 0 THEN '  ' WHEN l_orderkey % 101 = 0 THEN chr(9)
         WHEN l_linenumber % 2 = 0 THEN concat(' ', l_returnflag, l_linestatus, ' ')
         ELSE concat(l_returnflag, l_linestatus) END""",
-    "origin": "concat('AP', CAST(l_suppkey % 25 AS STRING))",
+    "origin": """CASE WHEN l_suppkey % 25 = 7 THEN concat('AP,"', CAST(l_linenumber % 2 AS STRING))
+        ELSE concat('AP', CAST(l_suppkey % 25 AS STRING)) END""",
     "dep_delay": """CASE WHEN l_partkey % 20 = 0 OR l_suppkey % 53 = 0 THEN NULL
         WHEN l_partkey % 41 = 0 THEN 'late' ELSE CAST(l_quantity * 3 - 30 AS STRING) END""",
-    "arr_delay": """CASE WHEN l_partkey % 20 = 0 THEN ' ' WHEN l_partkey % 43 = 0 THEN '5 min'
+    "arr_delay": """CASE WHEN l_partkey % 20 = 0 THEN ' ' WHEN l_partkey % 43 = 0 THEN '5 min' WHEN l_partkey % 47 = 0 THEN '5d'
         ELSE CAST(CAST(l_quantity * 3 - 35 + l_linenumber AS INT) AS STRING) END""",
     "cancelled": """CASE WHEN l_orderkey % 103 = 0 THEN NULL WHEN l_orderkey % 107 = 0 THEN 'no'
         WHEN l_partkey % 20 = 0 THEN '1.0' ELSE '0' END""",

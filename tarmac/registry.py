@@ -29,7 +29,8 @@ ORACLE: dict[str, str] = {}
 # --- SQL building blocks --------------------------------------------------------------
 
 _CLEAN = """
-SELECT month, trim(upper(op_unique_carrier)) AS op_unique_carrier, trim(upper(origin)) AS origin,
+SELECT month, trim(upper(op_unique_carrier), ' ' || chr(9)) AS op_unique_carrier,
+  trim(upper(origin), ' ' || chr(9)) AS origin,
   dep_delay, arr_delay, cancelled,
   CASE WHEN cancelled = 0 THEN NULL
        WHEN cancellation_code IN ('A', 'B', 'C', 'D') THEN cancellation_code END AS cancellation_code,
@@ -44,7 +45,7 @@ FROM flights_raw
 WHERE month IS NOT NULL AND op_unique_carrier IS NOT NULL AND origin IS NOT NULL
   AND cancelled IS NOT NULL AND diverted IS NOT NULL AND diverted = 0
   AND (cancelled = 1 OR (dep_delay IS NOT NULL AND arr_delay IS NOT NULL))
-  AND month BETWEEN 1 AND 12 AND trim(op_unique_carrier) <> '' AND trim(origin) <> ''"""
+  AND month BETWEEN 1 AND 12 AND trim(op_unique_carrier, ' ' || chr(9)) <> '' AND trim(origin, ' ' || chr(9)) <> ''"""
 
 _RAW_CTE = f"flights_raw AS (SELECT {', '.join(binding.select_list(binding.RAW_COLUMNS))} FROM lineitem)"
 _TEXT_CTE = f"flights_text AS (SELECT {', '.join(binding.select_list(binding.TEXT_COLUMNS))} FROM lineitem)"
@@ -157,7 +158,7 @@ _IS_KEPT = " AND ".join(
     ]
 )
 _TYPED = f"""SELECT CAST({_number_sql('month')} AS INT) AS month,
-  nullif(trim(op_unique_carrier), '') AS op_unique_carrier, nullif(trim(origin), '') AS origin,
+  nullif(trim(op_unique_carrier, ' ' || chr(9)), '') AS op_unique_carrier, nullif(trim(origin, ' ' || chr(9)), '') AS origin,
   {_number_sql('dep_delay')} AS dep_delay, {_number_sql('arr_delay')} AS arr_delay,
   CAST(trunc({_number_sql('cancelled')}) AS INT) AS cancelled, cancellation_code,
   {', '.join(f'{_number_sql(c)} AS {c}' for c in DELAY_CAUSES)}, cancellation_reason
@@ -236,14 +237,14 @@ _register(
     "normalize_strings",
     _raw(lambda df: cleaning.normalize_strings(df).select("op_unique_carrier", "origin")),
     _on_raw(
-        """SELECT trim(upper(op_unique_carrier)) AS op_unique_carrier, trim(upper(origin)) AS origin
-        FROM flights_raw"""
+        """SELECT trim(upper(op_unique_carrier), ' ' || chr(9)) AS op_unique_carrier,
+        trim(upper(origin), ' ' || chr(9)) AS origin FROM flights_raw"""
     ),
 )
 _register(
     "drop_empty_keys",
     _text(cleaning.drop_empty_keys),
-    _on_text("SELECT * FROM flights_text WHERE trim(op_unique_carrier) <> '' AND trim(origin) <> ''"),
+    _on_text("SELECT * FROM flights_text WHERE trim(op_unique_carrier, ' ' || chr(9)) <> '' AND trim(origin, ' ' || chr(9)) <> ''"),
 )
 _register(
     "validate_codes",
@@ -550,7 +551,7 @@ _FUNNEL = """
   FROM (SELECT month IS NOT NULL AND op_unique_carrier IS NOT NULL AND origin IS NOT NULL
       AND cancelled IS NOT NULL AND diverted IS NOT NULL AS s1, diverted = 0 AS s2,
     cancelled = 1 OR (dep_delay IS NOT NULL AND arr_delay IS NOT NULL) AS s3,
-    month BETWEEN 1 AND 12 AS s4, trim(op_unique_carrier) <> '' AND trim(origin) <> '' AS s5 FROM flights_raw)"""
+    month BETWEEN 1 AND 12 AS s4, trim(op_unique_carrier, ' ' || chr(9)) <> '' AND trim(origin, ' ' || chr(9)) <> '' AS s5 FROM flights_raw)"""
 _register(
     "cleaning_funnel",
     _raw(quality.cleaning_funnel),
