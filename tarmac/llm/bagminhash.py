@@ -14,7 +14,7 @@ probability of their weighted overlap. Only points up to a time that all compone
 passed are drawn, so a text costs about m log m points however long it is.
 
 Search. Equal texts are collapsed first; each distinct text is a number from then on. Of the texts that
-share a band, each is compared with the most central one (``stars``); what these links leave apart is
+share a band, each is compared with the most central one (``stars``), and, where parts are left, with others in turn; what is still apart is
 compared pairwise within the bands, by signature in the join itself and in blocks, so that a group of
 copies is never spelt out in pairs, no bucket is one task's work, and no link is given up. All pairs
 are verified on the bags before they count. Rows of texts or classes that are very
@@ -51,6 +51,7 @@ HELD = 10_000_000  # characters of texts whose bags a task remembers
 BROADCAST_ROWS = 2_000_000  # of a few numbers each
 BROADCAST_BYTES = 64_000_000
 HOT = 1000  # rows of a text, or texts of a class, that are not left to a shuffle
+TURNS = 2  # in which other texts of open buckets are the centres, before these are compared pairwise
 BLOCK = 500  # texts of a bucket that are compared pairwise in one task
 
 _ODD = np.uint64(0xD6E8FEB86659FD93)
@@ -312,20 +313,30 @@ def _placed(docs: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
     met, candidates = stars(entries)
     candidates = saved(candidates, "candidates")
     one, other = close[0].withColumnRenamed("node", "a"), close[1].withColumnRenamed("node", "b")
-    alike = candidates.join(one, "a").join(other, "b").where(_agreeing("x", "y") >= AGREE).select("a", "b")
-    first = saved(alike, "pairs")
-    links = saved(verified(first, _texts(rows, nodes, first), threshold), "verified")
+
+    def linked(candidates: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Candidates, stored, whose signatures agree; and those of them whose bags overlap enough."""
+        alike = candidates.join(one, "a").join(other, "b").where(_agreeing("x", "y") >= AGREE).select("a", "b")
+        pairs = saved(alike, "pairs")
+        return pairs, saved(verified(pairs, _texts(rows, nodes, pairs), threshold), "verified")
+
+    first, links = linked(candidates)
     groups = components(links)
 
-    # buckets that the stars left in several parts: their texts pairwise, across the parts
-    parted = met.join(groups, "node", "left").select("bucket", "size", "node", F.coalesce("component", "node").alias("part"))
-    split = (
-        parted.groupBy("bucket")
-        .agg(F.min("part").alias("least"), F.max("part").alias("most"))
-        .where("least != most")
-        .select("bucket")
-    )
-    open_ = saved(parted.join(broadcast_if_few(saved(split, "open-buckets")), "bucket"), "open")
+    # buckets that the stars left in several parts: other texts are the centres, for the parts that are not theirs
+    for turn in range(TURNS):
+        open_ = _open_entries(met, groups)
+        last = F.max(F.struct(F.xxhash64("node", F.lit(turn)).alias("place"), "node", "part")).alias("last")
+        centres = open_.groupBy("bucket").agg(last, F.max("size").alias("size"))
+        centres = saved(centres.select("bucket", F.col("last.node").alias("a"), F.col("last.part").alias("part_a"), "size"), "bucket-centres")
+        across = split_join(open_.select("bucket", "node", "part"), centres, "bucket", F.col("size") > HOT)
+        across = across.where(F.col("part") != F.col("part_a")).select("a", F.col("node").alias("b")).distinct()
+        tried, more = linked(saved(across, "candidates"))
+        first, links = first.unionAll(tried), links.unionAll(more)
+        groups = components(links)
+
+    # what is still in several parts: texts pairwise, across the parts
+    open_ = _open_entries(met, groups)
     # no bucket is one key: its texts are dealt into blocks, and each two blocks meet once
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
     block = F.pmod(F.xxhash64("node"), blocks).cast("int")
@@ -348,11 +359,19 @@ def _placed(docs: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
         & (_agreeing("x", "y") >= AGREE)
     )
     pair = F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
-    second = saved(rest.select(*pair).distinct().join(first.select(*pair), ["a", "b"], "left_anti"), "pairs")
+    second = saved(rest.select(*pair).distinct().join(first.select(*pair).distinct(), ["a", "b"], "left_anti"), "pairs")
     more = saved(verified(second, _texts(rows, nodes, second), threshold), "verified")
     return placed, components(links.unionAll(more))
 
 
+def _open_entries(met: DataFrame, groups: DataFrame) -> DataFrame:
+    """bucket, size, node and part of the texts in buckets that hold several parts; stored."""
+    parted = met.join(groups, "node", "left").select("bucket", "size", "node", F.coalesce("component", "node").alias("part"))
+    spread = parted.groupBy("bucket").agg(F.min("part").alias("least"), F.max("part").alias("most"))
+    split = saved(spread.where("least != most").select("bucket"), "open-buckets")
+    return saved(parted.join(broadcast_if_few(split), "bucket"), "open")
+
+
 def _texts(rows: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFrame:
     """node and text of the texts in the pairs, each once: copies are collapsed before any of them travels far,
     as each task sends one of those it holds."""
