@@ -98,6 +98,7 @@ class Model:
         self.by_word = not any(BLANK in name.lstrip(BLANK) for name in self.ids)
         self.fits: dict[int, bool] = {}  # both pieces in one number
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         byte_of = {i: b for b, i in self.bytes.items()}
         silent = {i for i in range(len(self.names)) if sp.is_control(i)}
         self.spelt = [
@@ -184,13 +185,13 @@ class Model:
         """Ids as bytes, little-endian unsigned 32-bit."""
         normal = self.library.normalize(text or "")
         words = _WORD.findall(normal) if self.by_word else [normal]
-        if len(self.known) > self.LIMIT:  # what this text needs stays
-            self.known = {word: self.known[word] for word in set(words) if word in self.known}
-        known = self.known
+        if len(self.known) > self.LIMIT:  # words that occur again come back from the older half
+            self.older, self.known = self.known, {}
+        known, older = self.known, self.older
         long = {}
         for word in set(words):
             if word not in known:
-                ids = np.array(self.search(word), ID).tobytes()
+                ids = older[word] if word in older else np.array(self.search(word), ID).tobytes()
                 (known if len(word) <= 64 else long)[word] = ids
         if long:
             return b"".join([known[w] if w in known else long[w] for w in words])
