@@ -2,6 +2,7 @@
 
 import glob
 import hashlib
+import itertools
 import os
 import random
 import re
@@ -17,7 +18,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tarmac.llm import centroids, divergence, merges, perfect_hash, queries, remembered
+from tarmac.llm import centroids, divergence, merges, perfect_hash, queries, remembered, token_files, toxicity, vectors
 from tarmac.llm.ship import ship
 
 WORDS = public_tokenizers.path("word_bpe_49k.json")
@@ -325,3 +326,52 @@ def test_queries_agree_with_sql(spark, name):
     got = [tuple(row) for row in df.select(*columns).collect()]
     want = con.sql(queries.ORACLE[name]).select(*(duckdb.ColumnExpression(c) for c in columns)).fetchall()
     assert got and sorted(got, key=repr) == sorted(want, key=repr)
+
+
+# --- Operators of earlier rounds ---------------------------------------------------------
+
+
+def test_restoring_finds_the_cheapest_way_through_the_lattice():
+    """The search over the last two symbols against all ways through short lattices."""
+    draw = np.random.default_rng(6)
+    costs = draw.random((toxicity.N_SYMBOLS,) * 3).astype(np.float32) * 5
+
+    def cost(letters):
+        total, x, y = 0.0, 0, 0
+        for letter in letters:
+            z = toxicity.CODES.get(letter, 1)
+            total, x, y = total + float(costs[x, y, z]), y, z
+        return total + float(costs[x, y, 0])
+
+    for _ in range(150):
+        word = "".join(draw.choice(list("ab1340@$.-t"), draw.integers(1, 8)))
+        ways = itertools.product(*toxicity.lattice(word))
+        every = {}
+        for way in ways:
+            said = "".join(letters for letters, _ in way)
+            every[said] = min(every.get(said, np.inf), cost(said) + sum(extra for _, extra in way))
+        best = toxicity.restored(word, costs)
+        assert every[best] == pytest.approx(min(every.values()), abs=1e-3), word
+
+
+def test_token_files_of_empty_and_repeated_rows(spark, awkward, tmp_path):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    nothing = token_files.write_token_files(spark.createDataFrame([], DOCS), str(tmp_path / "none"), path)
+    assert token_files.read_token_files(nothing, str(tmp_path / "none")).count() == 0
+    files = token_files.write_token_files(awkward, str(tmp_path / "some"), path)
+    library = Tokenizer.from_file(path)
+    got = sorted(np.frombuffer(r.ids, "<u4").tolist() for r in token_files.read_token_files(files, str(tmp_path / "some")).collect())
+    assert got == sorted([*library.encode(r.text or "", add_special_tokens=False).ids, 0] for r in awkward.collect())
+
+
+def test_vectors_of_other_lengths_without_ids_and_repeated(spark):
+    ship(spark)
+    a, b = [1.0, 0.0, 0.0], [1.0, 0.1, 0.0]
+    rows = [
+        (1, a, 0), (2, b, 0), (3, a, 1), (4, [1.0, 0.0], 0), (5, [1.0, 0.05], 0), (6, None, 0), (7, [0.0, 0.0], 0),
+        (8, [float("nan"), 1.0], 0), (9, a, None), (10, [None, 1.0], 0), *[(20 + k, [0.0, 1.0, 0.0], 0) for k in range(30)],
+    ]
+    got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in vectors.near_duplicates(spark.createDataFrame(rows, VECTORS)).collect()}
+    alone = {k: (0, k, True) for k in (3, 6, 7, 8, 9, 10)}
+    pairs = {1: (1, 1, True), 2: (1, 1, False), 4: (1, 4, True), 5: (1, 4, False)}
+    assert got == alone | pairs | {20 + k: (29, 20, k == 0) for k in range(30)}
