@@ -26,6 +26,7 @@ from tarmac.plans.carrier import nested_carrier_report
 from tarmac.plans.prepare import write_clean, write_shuffled, write_subsets
 from tarmac.plans.quality import rows_by, top_carriers, top_origins
 from tarmac.sources.reading import is_text, read_flights, read_rung, scan_report, scan_tolerant
+from tarmac.sources.scratch import remove_scratch
 from tarmac.sources.writing import write_report, write_report_file
 
 
@@ -133,7 +134,10 @@ def main(argv=None, spark: SparkSession | None = None) -> None:
     args = parse_arguments(argv)
     spark = spark or SparkSession.builder.appName(f"tarmac {args.command}").getOrCreate()
     if args.command == "prepare":
-        prepare(spark, args)
+        try:
+            prepare(spark, args)
+        finally:
+            remove_scratch(spark)
         return
     if args.command == "add-states":
         add_states(spark, args)

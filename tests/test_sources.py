@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tarmac.model import CARRIER_REPORT_COLUMNS, FLIGHTS, FLIGHTS_RAW, subset_of
 from tarmac.plans import airport, carrier
-from tarmac.sources import reading, writing
+from tarmac.sources import files, reading, scratch, writing
 from tarmac.sources.scratch import scratch_path
 from helpers import flight, flights, plan_of, rows_of, write_lines
 
@@ -228,19 +228,30 @@ class Session:
         self.chosen = folder
 
 
-def test_scratch_folder_comes_from_the_session():
+def test_scratch_folder_comes_from_the_session(monkeypatch):
+    monkeypatch.setattr(scratch, "_MADE", [])
     session = Session("hdfs://shared/folder/", master="yarn")
     assert scratch_path(session, "x").startswith("hdfs://shared/folder/x-")
     assert scratch_path(session, "x") != scratch_path(session, "x")
 
 
-def test_scratch_folder_is_local_only_in_local_mode():
+def test_scratch_folder_is_local_only_in_local_mode(monkeypatch):
+    monkeypatch.setattr(scratch, "_MADE", [])
     session = Session(None)
     assert scratch_path(session, "x").startswith(f"{session.chosen}/x-")
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         scratch_path(Session(None, master="yarn"), "x")
 
 
+def test_scratch_tables_are_removed_on_request(spark, monkeypatch):
+    monkeypatch.setattr(scratch, "_MADE", [])
+    paths = [scratch.scratch_path(spark, "x"), scratch.scratch_path(spark, "y") + ".csv", scratch.scratch_path(spark, "z")]
+    for path in paths[:2]:
+        spark.range(3).write.parquet(path)
+    assert scratch.remove_scratch(spark) == 2 and scratch.remove_scratch(spark) == 0
+    assert not any(files.exists(spark, path) for path in paths)
+
+
 def test_blank_keys_are_dropped_before_a_report(spark, tmp_path):
     from tarmac.operators.cleaning import drop_empty_keys, normalize_strings
 
