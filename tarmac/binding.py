@@ -14,7 +14,6 @@ from tarmac.operators.cleaning import clean
 RAW_COLUMNS = {
     "month": "CASE WHEN l_orderkey % 101 = 0 THEN 13 ELSE CAST(month(l_shipdate) AS INT) END",
     "op_unique_carrier": """CASE WHEN l_orderkey % 97 = 0 THEN NULL
-        WHEN l_linenumber = 7 THEN concat(chr(9), l_returnflag, l_linestatus, ' ')
         WHEN l_linenumber % 2 = 0 THEN concat(' ', lower(l_returnflag), lower(l_linestatus), ' ')
         ELSE concat(l_returnflag, l_linestatus) END""",
     "origin": "concat('ap', CAST(l_suppkey % 25 AS STRING))",
