@@ -69,8 +69,8 @@ def fields(raw: bytes) -> Iterator[tuple[int, int | bytes]]:
 class Model:
     """Encodes and decodes with one model file; remembers words, and which pieces fit each other."""
 
-    LIMIT = 200_000
-    PAIRS = 200_000
+    LIMIT = 450_000
+    PAIRS = 600_000
 
     def __init__(self, model_file: str | None = None, proto: bytes | None = None):
         self.library = sentencepiece.SentencePieceProcessor(model_file=model_file, model_proto=proto)
