@@ -15,7 +15,7 @@ passed are drawn, so a text costs about m log m points however long it is.
 
 Search. Equal texts are collapsed first; each distinct text is a number from then on. Of the texts that
 share a band, each is compared with the most central one (``stars``), and, where parts are left, with others in turn; what is still apart is
-compared pairwise within the bands, by signature in the join itself and in blocks, so that a group of
+compared pairwise within the bands, by signature and in blocks, of which each is one row, so that a group of
 copies is never spelt out in pairs, no bucket is one task's work, and no link is given up. All pairs
 are verified on the bags before they count. Rows of texts or classes that are very
 frequent get their class from a broadcast table, which is small because they are few.
@@ -31,12 +31,13 @@ from operator import add
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tarmac.llm.components import components
+from tarmac.llm.components import components, extended
 from tarmac.llm.remembered import begin, by_size
-from tarmac.llm.store import free_names, id_and_text, saved
+from tarmac.llm.store import BROADCAST_ROWS, broadcast_if_few, free_names, id_and_text, saved
 from tarmac.llm.words import mixed, shingles
 
 THRESHOLD = 0.8
@@ -48,11 +49,11 @@ AGREE = int(M * (0.8125 - 4 * np.sqrt(0.8125 * 0.1875 / M)))
 LANES = M * 4 // 64
 AT_ONCE = 2_000_000  # bytes of text signed or compared together
 HELD = 10_000_000  # characters of texts whose bags a task remembers
-BROADCAST_ROWS = 2_000_000  # of a few numbers each
 BROADCAST_BYTES = 64_000_000
 HOT = 1000  # rows of a text, or texts of a class, that are not left to a shuffle
 TURNS = 2  # in which other texts of open buckets are the centres, before these are compared pairwise
-BLOCK = 500  # texts of a bucket that are compared pairwise in one task
+BLOCK, BLOCK_BYTES = 500, 10_000_000  # texts of a bucket that are compared pairwise in one task, and their bytes
+PAIRS = 20_000  # compared at once
 
 _ODD = np.uint64(0xD6E8FEB86659FD93)
 
@@ -163,8 +164,9 @@ def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     pa.array([digest(t) for t in texts], pa.binary()),
                     pa.array([None if no else row.tolist() for no, row in zip(wordless, bands.view(np.int64))], pa.list_(pa.int64())),
                     pa.array(list(lanes.view(np.int64)), pa.list_(pa.int64())),
+                    pc.binary_length(all_texts.slice(k, end - k)).cast(pa.int64()),
                 ],
-                ["doc_id", "key", "bands", "lanes"],
+                ["doc_id", "key", "bands", "lanes", "bytes"],
             )
 
 
@@ -180,6 +182,44 @@ def _agreeing(a: str, b: str) -> Column:
     return F.lit(M) - reduce(add, parts)
 
 
+def _alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The pairs of a text of ``texts_a`` and one of ``texts_b`` that are of different parts and whose signatures agree
+    enough, as one row with a number of its own; a pair comes from the first band it shares only, as all its buckets
+    are open ones."""
+    job = TaskContext.get().partitionId() << 33
+    for batch in batches:
+        for k in range(batch.num_rows):
+            same = batch.column("low")[k].as_py() == batch.column("high")[k].as_py()
+            one, other = (_block_of(batch.column(c)[k].values) for c in ("texts_a", "texts_b"))
+            apart = one["part"][:, None] != other["part"][None, :]
+            if same:
+                apart &= one["node"][:, None] < other["node"][None, :]
+            for band in range(batch.column("band")[k].as_py()):
+                apart &= one["bands"][:, band, None] != other["bands"][None, :, band]
+            x, y = np.nonzero(apart)
+            parts = [(x[i : i + PAIRS], y[i : i + PAIRS]) for i in range(0, len(x), PAIRS)]
+            near = [_agreeing_lanes(one["lanes"][a], other["lanes"][b]) >= AGREE for a, b in parts]
+            if any(n.any() for n in near):
+                chosen = np.concatenate(near)
+                found = one["node"][x[chosen]], other["node"][y[chosen]]
+                yield pa.RecordBatch.from_arrays([pa.array([job]), *(pa.array([f], pa.list_(pa.int64())) for f in found)], ["job", "a", "b"])
+                job += 1
+
+
+def _block_of(texts: pa.StructArray) -> dict[str, np.ndarray]:
+    """The columns of a block; of ``bands`` and ``lanes`` a row for each text."""
+    found = {c: texts.field(c).to_numpy() for c in ("node", "part")}
+    return found | {c: texts.field(c).flatten().to_numpy().view(np.uint64).reshape(len(texts), -1) for c in ("bands", "lanes")}
+
+
+def _agreeing_lanes(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """``_agreeing`` of rows of lanes."""
+    x = a ^ b
+    x |= x >> np.uint64(1)
+    x |= x >> np.uint64(2)
+    return M - np.bitwise_count(x & np.uint64(0x1111111111111111)).sum(axis=1, dtype=np.int64)
+
+
 def _lanes(prefix: str) -> list[Column]:
     return [F.col("lanes")[i].alias(f"{prefix}{i}") for i in range(LANES)]
 
@@ -233,17 +273,51 @@ def verified(pairs: DataFrame, rows: DataFrame, threshold: float = THRESHOLD) ->
     return both.select("a", "b", "text_a", "text_b").mapInArrow(check, "a long, b long")
 
 
-def broadcast_if_few(stored: DataFrame) -> DataFrame:
-    """A stored table, to be broadcast if it has so few rows of numbers that each machine can hold them."""
-    return F.broadcast(stored) if stored.count() <= BROADCAST_ROWS else stored
+def verified_jobs(jobs: DataFrame, rows: DataFrame, nodes: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """The pairs (a, b) whose bags overlap enough, of jobs: ``job`` and the pairs as two lists. ``jobs`` are stored.
+
+    A text travels once for each job, not for each pair, and a job has the texts of two blocks at most.
+    """
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("words")
+        held: dict[int, tuple] = {}  # bags of one job
+        for batch in batches:
+            texts = batch.column("text")
+            told = batch.column("a").is_valid().to_numpy(zero_copy_only=False)
+            begins = 0
+            for at in [*np.flatnonzero(told).tolist(), batch.num_rows]:
+                sizes = [n + 1000 for n in pc.binary_length(texts.slice(begins, at - begins)).to_pylist()]
+                for k, end in by_size(sizes, AT_ONCE) if sizes else ():
+                    keys = batch.column("node").slice(begins + k, end - k).to_pylist()
+                    runs, counts, owner = bags(texts.slice(begins + k, end - k).to_pylist())
+                    edges = np.searchsorted(owner, np.arange(len(keys) + 1))
+                    for i, key in enumerate(keys):
+                        held[key] = (runs[edges[i] : edges[i + 1]], counts[edges[i] : edges[i + 1]])
+                if at < batch.num_rows:  # the job's pairs come after its texts
+                    pairs = zip(batch.column("a")[at].as_py(), batch.column("b")[at].as_py())
+                    linked = [(a, b) for a, b in pairs if overlap(held[a], held[b]) >= threshold]
+                    if linked:
+                        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*linked)], ["a", "b"])
+                    held = {}
+                begins = at + 1
+
+    members = jobs.select("job", F.explode(F.array_distinct(F.concat("a", "b"))).alias("node"))
+    texts = _texts(rows, nodes, members.select("node"))
+    none = F.lit(None).cast("array<long>")
+    sent = members.join(texts, "node").select("job", "node", "text", none.alias("a"), none.alias("b"))
+    asked = jobs.select("job", F.lit(None).cast("long").alias("node"), F.lit(None).cast("string").alias("text"), "a", "b")
+    dealt = sent.unionByName(asked).repartition("job").sortWithinPartitions("job", F.col("a").isNotNull())
+    return dealt.mapInArrow(check, "a long, b long")
 
 
 def stars(entries: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The entries whose bucket has other texts as well, stored; and for each text of such a bucket the
     pair with the bucket's most central text: the one that meets most texts over all its buckets."""
-    sizes = saved(entries.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1"), "bucket-sizes")
+    sizes = entries.groupBy("bucket").agg(F.count("*").alias("size"), F.sum("bytes").alias("volume")).where("size > 1")
+    sizes = saved(sizes, "bucket-sizes")
     large = F.col("size") > HOT
-    met = saved(split_join(entries, sizes, "bucket", large).select("bucket", "node", "size"), "met")
+    met = saved(split_join(entries, sizes, "bucket", large).select("bucket", "node", "band", "size", "volume"), "met")
     weight = met.groupBy("node").agg(F.sum("size").alias("weight"))
     centres = met.join(weight, "node").groupBy("bucket").agg(
         F.max(F.struct("weight", "node")).getField("node").alias("a"), F.max("size").alias("size")
@@ -295,18 +369,18 @@ def _placed(docs: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
     """doc_id, digest and ``node`` (the number of the text) for each row of ``docs``; and node and component
     of the texts that are not the smallest of their class."""
     rows = id_and_text(docs)
-    signed = saved(rows.mapInArrow(_signed, "doc_id long, key binary, bands array<long>, lanes array<long>"), "signatures")
-    numbered = signed.groupBy("key").agg(F.first("bands").alias("bands"), F.first("lanes").alias("lanes"))
+    signed = saved(rows.mapInArrow(_signed, "doc_id long, key binary, bands array<long>, lanes array<long>, bytes long"), "signatures")
+    numbered = signed.groupBy("key").agg(F.first("bands").alias("bands"), F.first("lanes").alias("lanes"), F.first("bytes").alias("bytes"))
     distinct = saved(numbered.withColumn("node", F.monotonically_increasing_id()), "distinct-texts")
     nodes = saved(distinct.select("key", "node"), "nodes")
     counts = signed.groupBy("key").agg(F.count("*").alias("rows"))
     known = saved(nodes.join(counts, "key"), "node-counts")
     placed = saved(split_join(signed.select("doc_id", "key"), known, "key", F.col("rows") > HOT).drop("rows"), "placed")
 
-    worded = distinct.where(F.col("bands").isNotNull()).select("node", "bands", "lanes")
+    worded = distinct.where(F.col("bands").isNotNull()).select("node", "bands", "lanes", "bytes")
     # a bucket is a band and its value in one number; should two fall together, the pairs are verified anyway
     entries = saved(
-        worded.select("node", F.posexplode("bands").alias("band", "value")).select("node", F.xxhash64("band", "value").alias("bucket")),
+        worded.select("node", "bytes", F.posexplode("bands").alias("band", "value")).select("node", "bytes", "band", F.xxhash64("band", "value").alias("bucket")),
         "entries",
     )
     close = worded.select("node", *_lanes("x")), worded.select("node", *_lanes("y"))
@@ -314,13 +388,14 @@ def _placed(docs: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
     candidates = saved(candidates, "candidates")
     one, other = close[0].withColumnRenamed("node", "a"), close[1].withColumnRenamed("node", "b")
 
-    def linked(candidates: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """Candidates, stored, whose signatures agree; and those of them whose bags overlap enough."""
+    def linked(candidates: DataFrame) -> DataFrame:
+        """Candidates, stored, whose signatures agree and whose bags overlap enough."""
         alike = candidates.join(one, "a").join(other, "b").where(_agreeing("x", "y") >= AGREE).select("a", "b")
         pairs = saved(alike, "pairs")
-        return pairs, saved(verified(pairs, _texts(rows, nodes, pairs), threshold), "verified")
+        ends = pairs.select(F.col("a").alias("node")).unionAll(pairs.select(F.col("b").alias("node")))
+        return saved(verified(pairs, _texts(rows, nodes, ends), threshold), "verified")
 
-    first, links = linked(candidates)
+    links = linked(candidates)
     groups = components(links)
 
     # buckets that the stars left in several parts: other texts are the centres, for the parts that are not theirs
@@ -331,51 +406,41 @@ def _placed(docs: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
         centres = saved(centres.select("bucket", F.col("last.node").alias("a"), F.col("last.part").alias("part_a"), "size"), "bucket-centres")
         across = split_join(open_.select("bucket", "node", "part"), centres, "bucket", F.col("size") > HOT)
         across = across.where(F.col("part") != F.col("part_a")).select("a", F.col("node").alias("b")).distinct()
-        tried, more = linked(saved(across, "candidates"))
-        first, links = first.unionAll(tried), links.unionAll(more)
-        groups = components(links)
+        groups = extended(groups, linked(saved(across, "candidates")))
 
     # what is still in several parts: texts pairwise, across the parts
     open_ = _open_entries(met, groups)
-    # no bucket is one key: its texts are dealt into blocks, and each two blocks meet once
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    block = F.pmod(F.xxhash64("node"), blocks).cast("int")
-    dealt = open_.select("bucket", "node", "part", blocks.alias("blocks"), block.alias("block"))
-    signs = worded.join(broadcast_if_few(saved(open_.select("node").distinct(), "open-texts")), "node")
+    signs = worded.drop("bytes").join(broadcast_if_few(saved(open_.select("node").distinct(), "open-texts")), "node")
     signs = saved(signs, "open-signatures")
+    # no bucket is one key: its texts are dealt into blocks, a row each, and each two blocks meet once
+    blocks = F.ceil(F.greatest(F.col("size") / BLOCK, F.col("volume") / BLOCK_BYTES)).cast("int")
+    block = F.pmod(F.xxhash64("node"), blocks).cast("int")
+    dealt = open_.select("bucket", "band", "node", "part", blocks.alias("blocks"), block.alias("block")).join(signs, "node")
+    held = dealt.groupBy("bucket", "blocks", "block").agg(
+        F.max("band").alias("band"), F.collect_list(F.struct("node", "part", "bands", "lanes")).alias("texts")
+    )
+    held = saved(held, "open-blocks")
     later = F.explode(F.sequence(F.col("block"), F.col("blocks") - 1))
     earlier = F.explode(F.sequence(F.lit(0), F.col("block")))
-    x = dealt.select("bucket", F.col("block").alias("low"), later.alias("high"), F.col("node").alias("a"), F.col("part").alias("part_a"))
-    y = dealt.select("bucket", earlier.alias("low"), F.col("block").alias("high"), F.col("node").alias("b"), F.col("part").alias("part_b"))
-    x = x.join(signs.select(F.col("node").alias("a"), F.col("bands").alias("bands_a"), *_lanes("x")), "a")
-    y = y.join(signs.select(F.col("node").alias("b"), F.col("bands").alias("bands_b"), *_lanes("y")), "b")
-    # a pair comes from the first band it shares only: all its buckets are open ones
-    equal = [F.col("bands_a")[i] == F.col("bands_b")[i] for i in range(BANDS)]
-    first_shared = F.coalesce(*(F.when(e, F.xxhash64(F.lit(i), F.col("bands_a")[i])) for i, e in enumerate(equal)))
-    rest = x.join(y, ["bucket", "low", "high"]).where(
-        ((F.col("low") < F.col("high")) | (F.col("a") < F.col("b")))
-        & (F.col("part_a") != F.col("part_b"))
-        & (first_shared == F.col("bucket"))  # cheaper than the signatures, which are so compared once
-        & (_agreeing("x", "y") >= AGREE)
-    )
-    pair = F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
-    second = saved(rest.select(*pair).distinct().join(first.select(*pair).distinct(), ["a", "b"], "left_anti"), "pairs")
-    more = saved(verified(second, _texts(rows, nodes, second), threshold), "verified")
-    return placed, components(links.unionAll(more))
+    low = held.select("bucket", "band", F.col("block").alias("low"), later.alias("high"), F.col("texts").alias("texts_a"))
+    high = held.select("bucket", earlier.alias("low"), F.col("block").alias("high"), F.col("texts").alias("texts_b"))
+    rest = low.join(high, ["bucket", "low", "high"]).mapInArrow(_alike, "job long, a array<long>, b array<long>")
+    more = saved(verified_jobs(saved(rest, "jobs"), rows, nodes, threshold), "verified")
+    return placed, extended(groups, more)
 
 
 def _open_entries(met: DataFrame, groups: DataFrame) -> DataFrame:
-    """bucket, size, node and part of the texts in buckets that hold several parts; stored."""
-    parted = met.join(groups, "node", "left").select("bucket", "size", "node", F.coalesce("component", "node").alias("part"))
+    """bucket, size, volume, band, node and part of the texts in buckets that hold several parts; stored."""
+    parted = met.join(groups, "node", "left").select("bucket", "size", "volume", "band", "node", F.coalesce("component", "node").alias("part"))
     spread = parted.groupBy("bucket").agg(F.min("part").alias("least"), F.max("part").alias("most"))
     split = saved(spread.where("least != most").select("bucket"), "open-buckets")
     return saved(parted.join(broadcast_if_few(split), "bucket"), "open")
 
 
-def _texts(rows: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFrame:
-    """node and text of the texts in the pairs, each once: copies are collapsed before any of them travels far,
+def _texts(rows: DataFrame, nodes: DataFrame, ends: DataFrame) -> DataFrame:
+    """node and text of the nodes in ``ends``, each once: copies are collapsed before any of them travels far,
     as each task sends one of those it holds."""
-    wanted = saved(pairs.select(F.col("a").alias("node")).unionAll(pairs.select(F.col("b").alias("node"))).distinct(), "wanted")
+    wanted = saved(ends.distinct(), "wanted")
     keys = saved(nodes.join(broadcast_if_few(wanted), "node"), "wanted-keys")
     texts = rows.select(_digest().alias("key"), "text")
     if keys.count() > BROADCAST_ROWS:  # first one of each text, as the join deals them by text

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tarmac.llm.store import saved
+from tarmac.llm.store import broadcast_if_few, saved
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -49,3 +49,17 @@ def components(links: DataFrame) -> DataFrame:
         if tuple(now) == state:
             return edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
         state = tuple(now)
+
+
+def extended(groups: DataFrame, links: DataFrame) -> DataFrame:
+    """``groups``, as ``components`` gives them, after more links: only those between components count, so a
+    component is one node here however large it is. Stored."""
+    ends = links.select("a", "b")
+    for end in ("a", "b"):
+        known = groups.select(F.col("node").alias(end), F.col("component").alias(f"of_{end}"))
+        ends = ends.join(known, end, "left")
+    between = ends.select(F.coalesce("of_a", "a").alias("a"), F.coalesce("of_b", "b").alias("b"))
+    moved = saved(components(between), "moved")
+    to = broadcast_if_few(moved.select(F.col("node").alias("component"), F.col("component").alias("to")))
+    kept = groups.join(to, "component", "left").select("node", F.coalesce("to", "component").alias("component"))
+    return saved(kept.unionByName(moved), "groups")

@@ -483,3 +483,37 @@ def test_packed_ids_are_those_of_the_library(spark):
     rows = QUERIES["op5_packing"](spark, sf_dir).collect()
     assert sum(r.length for r in rows) == sum(map(len, want.values()))
     assert all(zlib.crc32(want[r.doc_id][r.start : r.start + r.length].tobytes()) == r.ids_crc32 for r in rows)
+
+
+def test_open_buckets_make_no_rows_of_pairs(spark, monkeypatch):
+    ship(spark)
+    random = np.random.default_rng(4)
+    base = [f"w{k}" for k in range(100)]
+    texts = [" ".join([*base, f"end{k}"]) for k in range(60)]
+    # overlaps of 0.7 to 0.85 with those: of one class or not
+    for k in range(120):
+        words = list(base)
+        for at in random.choice(100, 3 + k % 2, replace=False):
+            words[at] = f"own{k}"
+        texts.append(" ".join(words))
+    sent, check = [], bagminhash.verified
+    monkeypatch.setattr(bagminhash, "verified", lambda pairs, *a: sent.append(pairs.count()) or check(pairs, *a))
+    monkeypatch.setattr(bagminhash, "BLOCK", 7)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = dict(map(tuple, bagminhash.near_duplicates(docs).collect()))
+    bags = [Counter(zip(*(t.split()[i:] for i in range(5)))) for t in texts]
+    links = [(i, j) for i, a in enumerate(bags) for j in range(i) if sum((a & bags[j]).values()) >= 0.8 * sum((a | bags[j]).values())]
+    part = list(range(len(texts)))
+    for i, j in links:
+        low, high = sorted((part[i], part[j]))
+        part = [low if p == high else p for p in part]
+    assert 1 < len(set(part)) < len(texts) and got == dict(enumerate(part))
+    assert len(sent) == 1 + bagminhash.TURNS  # of centres with others; the rest are verified by blocks
+
+
+def test_more_links_between_components(spark):
+    old = [(i, i + 1) for i in range(20)] + [(40, 41), (50, 51), (60, 61)]
+    more = [(5, 41), (51, 61), (70, 71), (3, 9)]
+    before = components.components(spark.createDataFrame(old, "a long, b long"))
+    got = dict(map(tuple, components.extended(before, spark.createDataFrame(more, "a long, b long")).collect()))
+    assert got == dict(map(tuple, components.components(spark.createDataFrame(old + more, "a long, b long")).collect()))
