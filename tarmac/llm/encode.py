@@ -2,8 +2,9 @@
 
 A byte-level tokenizer cuts a text into pieces before it looks them up, and no piece reaches over the
 beginning of white space that follows something else. So a text is the sum of its units, runs of
-white space with the word after them, and each distinct unit is encoded once by the library.
-Tokenizers that are built otherwise get each text whole.
+white space with the word after them, and each distinct unit is encoded once by the library. In most texts each
+blank stands alone, between other characters: these are split at their blanks and looked up by Arrow and numpy,
+many texts at once. Tokenizers that are built otherwise get each text whole.
 """
 
 from __future__ import annotations
@@ -12,8 +13,11 @@ import json
 import os
 import re
 from collections.abc import Iterator
+from itertools import compress
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 from tarmac.llm.remembered import begin, kept_for
 
@@ -30,7 +34,7 @@ class Encoder:
     its place. A null text is an empty one.
     """
 
-    LIMIT = 300_000  # units remembered
+    LIMIT = 300_000  # units remembered, and as many of those before that
     LONGEST = 64  # of longer ones none is
     AT_ONCE = 4_000_000  # characters
     JOINED = 200  # units in one text
@@ -53,6 +57,7 @@ class Encoder:
             and not before.get("add_prefix_space", True)
         )
         self.known: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
         # characters of a byte-level token are bytes
         self.sizes = np.zeros(self.tokenizer.get_vocab_size(), np.int64)
         for token, i in self.tokenizer.get_vocab().items():
@@ -61,17 +66,19 @@ class Encoder:
     def _units(self, units: list[str]) -> Iterator[tuple[str, bytes]]:
         """Ids of distinct units. Many go to the library in one text and are told apart by their bytes:
         where one that ends in no white space is followed by one that begins with a blank."""
-        joined = [u for u in units if u[0] == " " and not u[-1].isspace()]
+        fits = [u[0] == " " and not u[-1].isspace() for u in units]
+        joined = list(compress(units, fits))
         parts = [joined[k : k + self.JOINED] for k in range(0, len(joined), self.JOINED)]
+        ends = np.cumsum(pc.binary_length(pa.array(joined, pa.large_string())).to_numpy())
+        done = start = 0
         for part, found in zip(parts, self.tokenizer.encode_batch_fast(["".join(p) for p in parts], add_special_tokens=False)):
             ids = np.array(found.ids, ID)
-            ends = np.cumsum([len(u.encode()) for u in part])
-            cuts = (np.searchsorted(np.cumsum(self.sizes[ids]), ends) + 1) * ID.itemsize
-            raw, at = ids.tobytes(), 0
-            for unit, end in zip(part, cuts.tolist()):
-                yield unit, raw[at:end]
-                at = end
-        alone = [u for u in units if u[0] != " " or u[-1].isspace()]
+            mine = ends[done : done + len(part)] - start
+            done, start = done + len(part), ends[done + len(part) - 1]
+            cuts = ((np.searchsorted(np.cumsum(self.sizes[ids]), mine) + 1) * ID.itemsize).tolist()
+            raw = ids.tobytes()
+            yield from zip(part, [raw[a:b] for a, b in zip([0, *cuts], cuts)])
+        alone = [u for u, fit in zip(units, fits) if not fit]
         yield from zip(alone, self._library(alone))
 
     def _library(self, texts: list[str]) -> list[bytes]:
@@ -96,24 +103,76 @@ class Encoder:
             return
         marked = {k for k, text in enumerate(texts) if self.added and self.added.search(text)}
         whole = dict(zip(sorted(marked), self._library([texts[k] for k in sorted(marked)])))
-        units = [[] if k in marked else _UNIT.findall(text) for k, text in enumerate(texts)]
-        distinct = {u for found in units for u in found}
-        if len(self.known) + len(distinct) > self.LIMIT:  # what occurs again stays
-            self.known = {u: self.known[u] for u in distinct if u in self.known}
-        known = self.known
-        new = [u for u in distinct if u not in known]
-        long = {}
-        for k in range(0, len(new), 10_000):
-            some = new[k : k + 10_000]
-            for unit, ids in self._units(some):
-                (known if len(unit) <= self.LONGEST else long)[unit] = ids
-        for k, found in enumerate(units):
-            if k in marked:
+        split = [k for k in range(len(texts)) if k not in marked]
+        by_blanks = {k: ids for k, ids in zip(split, self._split([texts[k] for k in split])) if ids is not None}
+        others = [k for k in split if k not in by_blanks]
+        units = {k: _UNIT.findall(texts[k]) for k in others}
+        known = self._known(list({u for found in units.values() for u in found}))
+        for k in range(len(texts)):
+            if k in by_blanks:
+                yield by_blanks[k] + self.end
+            elif k in marked:
                 yield whole[k] + self.end
-            elif long:
-                yield b"".join([known[u] if u in known else long[u] for u in found]) + self.end
             else:
-                yield b"".join(map(known.__getitem__, found)) + self.end
+                yield b"".join(map(known.__getitem__, units[k])) + self.end
+
+    def _known(self, units: list[str]) -> dict[str, bytes]:
+        """Ids of distinct units, remembered ones first."""
+        if len(self.known) > self.LIMIT:  # what occurs again stays
+            self.known, self.before = {}, self.known
+        known, before = self.known, self.before
+        out, new = {}, []
+        for unit in units:
+            ids = known.get(unit)
+            if ids is None:
+                ids = before.get(unit)
+                if ids is None:
+                    new.append(unit)
+                    continue
+                known[unit] = ids
+            out[unit] = ids
+        for k in range(0, len(new), 10_000):
+            out.update(self._units(new[k : k + 10_000]))
+        known.update((unit, out[unit]) for unit in new if len(unit) <= self.LONGEST)
+        return out
+
+    def _split(self, texts: list[str]) -> Iterator[bytes | None]:
+        """Ids of the texts in which each blank stands alone, None for others; a unit is what stands before the first
+        blank, or a blank and what stands between it and the next one."""
+        if not texts:
+            return
+        parts = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
+        starts = parts.offsets.to_numpy().astype(np.int64)
+        coded = pc.dictionary_encode(parts.flatten())
+        codes, words = coded.indices.to_numpy().astype(np.int64), coded.dictionary.to_pylist()
+        # white space beside a blank: a word that is empty, or begins with some, or ends with some and isn't the last
+        before = np.fromiter((not w or w[0].isspace() for w in words), bool, len(words))
+        after = np.fromiter((w[-1:].isspace() for w in words), bool, len(words))[codes]
+        after[starts[1:] - 1] = False
+        alone = ~np.logical_or.reduceat(before[codes] | after, starts[:-1])
+        sizes = np.diff(starts)
+        codes = codes[np.repeat(alone, sizes)]
+        starts = np.concatenate([[0], np.cumsum(sizes[alone])])
+        # the first of a text has no blank before it
+        first = starts[:-1]
+        leading, place = np.unique(codes[first], return_inverse=True)
+        codes[first] = len(words) + place
+        units = [" " + w for w in words] + [words[c] for c in leading.tolist()]
+        used = np.flatnonzero(np.bincount(codes, minlength=len(units))).tolist()
+        known = self._known([units[c] for c in used])
+        found = [b""] * len(units)
+        for c in used:
+            found[c] = known[units[c]]
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // ID.itemsize
+        flat = np.frombuffer(b"".join(found), ID)
+        begins = np.cumsum(sizes) - sizes
+        lengths = sizes[codes]
+        ends = np.cumsum(lengths)
+        raw = flat[np.repeat(begins[codes] - (ends - lengths), lengths) + np.arange(lengths.sum())].tobytes()
+        cuts = (np.concatenate([[0], ends])[starts] * ID.itemsize).tolist()
+        some = zip(cuts, cuts[1:])
+        for there in alone.tolist():
+            yield raw[slice(*next(some))] if there else None
 
 
 _ENCODERS: dict[tuple[str, int], Encoder] = {}

@@ -485,6 +485,29 @@ def test_packed_ids_are_those_of_the_library(spark):
     assert all(zlib.crc32(want[r.doc_id][r.start : r.start + r.length].tobytes()) == r.ids_crc32 for r in rows)
 
 
+def test_blanks_beside_white_space():
+    ids_of = encode.Encoder(BPE, 0)
+    random = np.random.default_rng(5)
+    parts = ["a", "b's", " ", " ", " ", "  ", "\n", "\t", "\x1c", "\x85", "　", "é", "漢", "😀", "12", "...", "<|endoftext|>", "\r\n", "x" * 70]
+    texts = ["".join(random.choice(parts, random.integers(0, 12))) for _ in range(3000)]
+    texts += ["", " ", "\n", " a", "a ", "a\n", "\na", "a \n b", "a\n b", None]
+    assert list(ids_of.encode(texts)) == [np.array([*x.ids, 0], "<u4").tobytes() for x in Tokenizer.from_file(BPE).encode_batch([t or "" for t in texts], add_special_tokens=False)]
+    assert list(ids_of.encode(["", None, ""])) == [bytes(4)] * 3 and list(ids_of.encode([])) == []
+
+
+def test_units_outlive_a_full_memory(monkeypatch):
+    monkeypatch.setattr(encode.Encoder, "LIMIT", 100)
+    ids_of, asked = encode.Encoder(BPE, 0), Counter()
+    units = ids_of._units
+    monkeypatch.setattr(ids_of, "_units", lambda some: asked.update(some) or units(some))
+    common = " ".join(f"common{k}" for k in range(60))
+    for k in range(40):  # each batch has 20 words of its own; the common ones are in every third
+        own = " ".join(f"w{k}x{i}" for i in range(20))
+        list(ids_of.encode([own + " " + common if k % 3 == 0 else own]))
+        assert len(ids_of.known) + len(ids_of.before) <= 400
+    assert all(n == 1 for unit, n in asked.items() if unit.startswith(" common"))
+
+
 def test_open_buckets_make_no_rows_of_pairs(spark, monkeypatch):
     ship(spark)
     random = np.random.default_rng(4)
