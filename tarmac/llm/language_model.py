@@ -258,17 +258,20 @@ class Network:
         h = self.hidden(near)
         group, member = np.divmod(target, CLASS_SIZE)
         out = _log_chosen(h @ self.classes.T, group)
-        for k, at in _by_class(group):
-            out[at] += _log_chosen(h[at] @ self.words[k].T, member[at])
+        order, edges = _by_class(group)
+        h, within = h[order], np.empty((len(h), CLASS_SIZE), np.float32)
+        for k, a, b in edges:
+            np.matmul(h[a:b], self.words[k].T, out=within[a:b])
+        out[order] += _log_chosen(within, member[order])
         return out
 
 
-def _by_class(group: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+def _by_class(group: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+    """The order that sorts rows by class, and each class that occurs with where it begins and ends in it."""
+    group = group.astype(np.int8)
     order = np.argsort(group, kind="stable")
-    edges = np.searchsorted(group[order], np.arange(CLASSES + 1))
-    for k in range(CLASSES):
-        if edges[k] < edges[k + 1]:
-            yield k, order[edges[k] : edges[k + 1]]
+    edges = np.searchsorted(group[order], np.arange(CLASSES + 1)).tolist()
+    return order, [(k, a, b) for k, (a, b) in enumerate(zip(edges, edges[1:])) if a < b]
 
 
 def _log_chosen(x: np.ndarray, chosen: np.ndarray) -> np.ndarray:
@@ -295,8 +298,11 @@ class Trainer:
         self.grown = [np.full(s, 1e-6, np.float32) for s in Network.SHAPES]
 
     def _step(self, part: np.ndarray, grown: np.ndarray, at, change: np.ndarray) -> None:
-        grown[at] += change * change
-        part[at] -= RATE * change / np.sqrt(grown[at])
+        sums = grown[at] + change * change
+        grown[at] = sums
+        change = RATE * change
+        change /= np.sqrt(sums, out=sums)
+        part[at] -= change
 
     def learn(self, near: np.ndarray, target: np.ndarray) -> None:
         net, n = self.network, len(target)
@@ -304,18 +310,26 @@ class Trainer:
         group, member = np.divmod(target, CLASS_SIZE)
         off = _error(h @ net.classes.T, group, n)
         back = off @ net.classes
-        for k, at in _by_class(group):
-            own = h[at]
-            mine = _error(own @ net.words[k].T, member[at], n)
-            back[at] += mine @ net.words[k]
-            self._step(net.words, self.grown[3], k, mine.T @ own)
+        order, edges = _by_class(group)
+        own, within = h[order], np.empty((n, CLASS_SIZE), np.float32)
+        for k, a, b in edges:
+            np.matmul(own[a:b], net.words[k].T, out=within[a:b])
+        within, more = _error(within, member[order], n), np.empty_like(own)
+        change = np.empty((len(edges), *net.words.shape[1:]), np.float32)
+        for i, (k, a, b) in enumerate(edges):
+            np.matmul(within[a:b], net.words[k], out=more[a:b])
+            np.matmul(within[a:b].T, own[a:b], out=change[i])
+        back[order] += more
+        self._step(net.words, self.grown[3], [k for k, _, _ in edges] if len(edges) < CLASSES else slice(None), change)
         self._step(net.classes, self.grown[2], slice(None), off.T @ h)
         inner = back[:, :WIDTH] * (1 - h[:, :WIDTH] ** 2)
         self._step(net.bias, self.grown[1], slice(None), inner.sum(axis=0))
         for place in range(near.shape[1]):
-            order = np.argsort(near[:, place], kind="stable")
-            words, first = np.unique(near[order, place], return_index=True)
-            self._step(net.around[place], self.grown[0][place], words, np.add.reduceat(inner[order], first))
+            column = np.ascontiguousarray(near[:, place])
+            order = np.argsort(column, kind="stable")
+            column = column[order]
+            first = np.flatnonzero(np.concatenate([[True], column[1:] != column[:-1]]))
+            self._step(net.around[place], self.grown[0][place], column[first], np.add.reduceat(inner[order], first))
 
 
 # --- Training and scoring in Spark -------------------------------------------------------

@@ -540,3 +540,25 @@ def test_more_links_between_components(spark):
     before = components.components(spark.createDataFrame(old, "a long, b long"))
     got = dict(map(tuple, components.extended(before, spark.createDataFrame(more, "a long, b long")).collect()))
     assert got == dict(map(tuple, components.components(spark.createDataFrame(old + more, "a long, b long")).collect()))
+
+
+def test_a_step_updates_all_classes_at_once(monkeypatch):
+    random = np.random.default_rng(6)
+    network = language_model.Network.new(random.integers(1, 50, language_model.VOCABULARY))
+    trainer, plain = language_model.Trainer(network), language_model.Network.of(network.flat())
+    near = random.integers(0, language_model.VOCABULARY + 1, (300, 4)).astype(np.int16)
+    target = random.integers(0, language_model.VOCABULARY, 300).astype(np.int16)
+    steps, step = [], trainer._step
+    monkeypatch.setattr(trainer, "_step", lambda *a: steps.append(1) or step(*a))
+    trainer.learn(near, target)
+    assert len(steps) == 3 + near.shape[1]
+    # the words of each class, by themselves
+    h, size = plain.hidden(near), language_model.CLASS_SIZE
+    for k in range(language_model.CLASSES):
+        mine = np.flatnonzero(target // size == k)
+        x = np.exp(h[mine] @ plain.words[k].T)
+        x /= x.sum(axis=1, keepdims=True)
+        x[np.arange(len(mine)), target[mine] % size] -= 1
+        change = x.T @ h[mine] / 300
+        want = plain.words[k] - language_model.RATE * change / np.sqrt(1e-6 + change * change)
+        assert np.allclose(trainer.network.words[k], want, atol=2e-4)
