@@ -13,13 +13,13 @@ import json
 import os
 import re
 from collections.abc import Iterator
-from itertools import compress
+from itertools import chain, compress
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from tarmac.llm.remembered import begin, kept_for
+from tarmac.llm.remembered import Remembering, begin, kept_for, runs
 
 ID = np.dtype("<u4")
 
@@ -27,19 +27,18 @@ ID = np.dtype("<u4")
 _UNIT = re.compile(r"[^\S\x1c-\x1f]*[\S\x1c-\x1f]+|[^\S\x1c-\x1f]+")
 
 
-class Encoder:
+class Encoder(Remembering):
     """Texts to ids as bytes, little-endian unsigned 32-bit, with an id at the end of each.
 
     A text that holds the string of an added token goes to the library whole, which puts the token's id in
     its place. A null text is an empty one.
     """
 
-    LIMIT = 300_000  # units remembered, and as many of those before that
-    LONGEST = 64  # of longer ones none is
     AT_ONCE = 4_000_000  # characters
     JOINED = 200  # units in one text
 
     def __init__(self, path: str, end_id: int):
+        super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -56,30 +55,29 @@ class Encoder:
             and before.get("use_regex", True)
             and not before.get("add_prefix_space", True)
         )
-        self.known: dict[str, bytes] = {}
-        self.before: dict[str, bytes] = {}
         # characters of a byte-level token are bytes
         self.sizes = np.zeros(self.tokenizer.get_vocab_size(), np.int64)
         for token, i in self.tokenizer.get_vocab().items():
             self.sizes[i] = len(token)
 
-    def _units(self, units: list[str]) -> Iterator[tuple[str, bytes]]:
+    def _units(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of distinct units. Many go to the library in one text and are told apart by their bytes:
         where one that ends in no white space is followed by one that begins with a blank."""
-        fits = [u[0] == " " and not u[-1].isspace() for u in units]
+        fits = np.fromiter((u[0] == " " and not u[-1].isspace() for u in units), bool, len(units))
         joined = list(compress(units, fits))
-        parts = [joined[k : k + self.JOINED] for k in range(0, len(joined), self.JOINED)]
+        parts = ["".join(joined[k : k + self.JOINED]) for k in range(0, len(joined), self.JOINED)]
+        found = [np.array(x.ids, ID) for x in self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)]
+        ids = np.concatenate([np.empty(0, ID), *found])
         ends = np.cumsum(pc.binary_length(pa.array(joined, pa.large_string())).to_numpy())
-        done = start = 0
-        for part, found in zip(parts, self.tokenizer.encode_batch_fast(["".join(p) for p in parts], add_special_tokens=False)):
-            ids = np.array(found.ids, ID)
-            mine = ends[done : done + len(part)] - start
-            done, start = done + len(part), ends[done + len(part) - 1]
-            cuts = ((np.searchsorted(np.cumsum(self.sizes[ids]), mine) + 1) * ID.itemsize).tolist()
-            raw = ids.tobytes()
-            yield from zip(part, [raw[a:b] for a, b in zip([0, *cuts], cuts)])
-        alone = [u for u, fit in zip(units, fits) if not fit]
-        yield from zip(alone, self._library(alone))
+        cuts = np.searchsorted(np.cumsum(self.sizes[ids]), ends) + 1
+        alone = [np.frombuffer(i, ID) for i in self._library(list(compress(units, ~fits)))]
+        sizes = np.empty(len(units), np.int64)
+        sizes[fits], sizes[~fits] = np.diff(cuts, prepend=0), list(map(len, alone))
+        # those alone come last; in the order of the units
+        begins = np.empty(len(units), np.int64)
+        order = np.concatenate([np.flatnonzero(fits), np.flatnonzero(~fits)])
+        begins[order] = np.cumsum(sizes[order]) - sizes[order]
+        return np.concatenate([ids, *alone])[runs(begins, sizes)], sizes
 
     def _library(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -101,55 +99,38 @@ class Encoder:
             for ids in self._library(texts):
                 yield ids + self.end
             return
-        marked = {k for k, text in enumerate(texts) if self.added and self.added.search(text)}
-        whole = dict(zip(sorted(marked), self._library([texts[k] for k in sorted(marked)])))
-        split = [k for k in range(len(texts)) if k not in marked]
-        by_blanks = {k: ids for k, ids in zip(split, self._split([texts[k] for k in split])) if ids is not None}
-        others = [k for k in split if k not in by_blanks]
-        units = {k: _UNIT.findall(texts[k]) for k in others}
-        known = self._known(list({u for found in units.values() for u in found}))
-        for k in range(len(texts)):
-            if k in by_blanks:
-                yield by_blanks[k] + self.end
-            elif k in marked:
-                yield whole[k] + self.end
-            else:
-                yield b"".join(map(known.__getitem__, units[k])) + self.end
-
-    def _known(self, units: list[str]) -> dict[str, bytes]:
-        """Ids of distinct units, remembered ones first."""
-        if len(self.known) > self.LIMIT:  # what occurs again stays
-            self.known, self.before = {}, self.known
-        known, before = self.known, self.before
-        out, new = {}, []
-        for unit in units:
-            ids = known.get(unit)
+        marked = [k for k, text in enumerate(texts) if self.added and self.added.search(text)]
+        found = dict(zip(marked, self._library([texts[k] for k in marked])))
+        rest = [k for k in range(len(texts)) if k not in found]
+        others = []
+        for k, ids in zip(rest, self._split([texts[k] for k in rest])):
             if ids is None:
-                ids = before.get(unit)
-                if ids is None:
-                    new.append(unit)
-                    continue
-                known[unit] = ids
-            out[unit] = ids
-        for k in range(0, len(new), 10_000):
-            out.update(self._units(new[k : k + 10_000]))
-        known.update((unit, out[unit]) for unit in new if len(unit) <= self.LONGEST)
-        return out
-
-    def _split(self, texts: list[str]) -> Iterator[bytes | None]:
+                others.append(k)
+            else:
+                found[k] = ids
+        units = [_UNIT.findall(texts[k]) for k in others]
+        coded = pa.array(list(chain.from_iterable(units)), pa.large_string()).dictionary_encode()
+        starts = np.cumsum([0, *map(len, units)])
+        found.update(zip(others, self._of_texts(coded.dictionary, coded.indices.to_numpy(), starts)))
+        for k in range(len(texts)):
+            yield found[k] + self.end
+
+    def _split(self, texts: list[str]) -> list[bytes | None]:
         """Ids of the texts in which each blank stands alone, None for others; a unit is what stands before the first
         blank, or a blank and what stands between it and the next one."""
         if not texts:
-            return
+            return []
         parts = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
         starts = parts.offsets.to_numpy().astype(np.int64)
         coded = pc.dictionary_encode(parts.flatten())
-        codes, words = coded.indices.to_numpy().astype(np.int64), coded.dictionary.to_pylist()
+        codes, words = coded.indices.to_numpy().astype(np.int64), coded.dictionary
         # white space beside a blank: a word that is empty, or begins with some, or ends with some and isn't the last
-        before = np.fromiter((not w or w[0].isspace() for w in words), bool, len(words))
-        after = np.fromiter((w[-1:].isspace() for w in words), bool, len(words))[codes]
+        before = (pc.binary_length(words).to_numpy() == 0) | _spaces(pc.utf8_slice_codeunits(words, 0, 1))
+        after = _spaces(pc.utf8_slice_codeunits(words, -1))[codes]
         after[starts[1:] - 1] = False
         alone = ~np.logical_or.reduceat(before[codes] | after, starts[:-1])
+        if not alone.any():
+            return [None] * len(texts)
         sizes = np.diff(starts)
         codes = codes[np.repeat(alone, sizes)]
         starts = np.concatenate([[0], np.cumsum(sizes[alone])])
@@ -157,22 +138,19 @@ class Encoder:
         first = starts[:-1]
         leading, place = np.unique(codes[first], return_inverse=True)
         codes[first] = len(words) + place
-        units = [" " + w for w in words] + [words[c] for c in leading.tolist()]
-        used = np.flatnonzero(np.bincount(codes, minlength=len(units))).tolist()
-        known = self._known([units[c] for c in used])
-        found = [b""] * len(units)
-        for c in used:
-            found[c] = known[units[c]]
-        sizes = np.fromiter(map(len, found), np.int64, len(found)) // ID.itemsize
-        flat = np.frombuffer(b"".join(found), ID)
-        begins = np.cumsum(sizes) - sizes
-        lengths = sizes[codes]
-        ends = np.cumsum(lengths)
-        raw = flat[np.repeat(begins[codes] - (ends - lengths), lengths) + np.arange(lengths.sum())].tobytes()
-        cuts = (np.concatenate([[0], ends])[starts] * ID.itemsize).tolist()
-        some = zip(cuts, cuts[1:])
-        for there in alone.tolist():
-            yield raw[slice(*next(some))] if there else None
+        none, blank = pa.scalar("", pa.large_string()), pa.scalar(" ", pa.large_string())
+        units = pa.concat_arrays([pc.binary_join_element_wise(none, words, blank), words.take(pa.array(leading))])
+        used = np.flatnonzero(np.bincount(codes, minlength=len(units)))
+        number = np.zeros(len(units), np.int64)
+        number[used] = np.arange(len(used))
+        some = iter(self._of_texts(units.take(pa.array(used)), number[codes], starts))
+        return [next(some) if there else None for there in alone.tolist()]
+
+
+def _spaces(characters: pa.Array) -> np.ndarray:
+    """Which of the characters are white space; of these there are few different ones."""
+    coded = characters.dictionary_encode()
+    return np.array([c.isspace() for c in coded.dictionary.to_pylist()], bool)[coded.indices.to_numpy()]
 
 
 _ENCODERS: dict[tuple[str, int], Encoder] = {}

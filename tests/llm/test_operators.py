@@ -2,11 +2,13 @@
 
 import re
 import time
+import tracemalloc
 import zlib
 from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import zstandard
 from pyspark.sql import functions as F
@@ -562,3 +564,15 @@ def test_a_step_updates_all_classes_at_once(monkeypatch):
         change = x.T @ h[mine] / 300
         want = plain.words[k] - language_model.RATE * change / np.sqrt(1e-6 + change * change)
         assert np.allclose(trainer.network.words[k], want, atol=2e-4)
+
+
+def test_remembered_units_take_little_memory():
+    ids_of = encode.Encoder(BPE, 0)
+    list(ids_of.encode(["a b"]))
+    tracemalloc.start()
+    held = pa.total_allocated_bytes()
+    texts = [" ".join(f"w{k * 40 + i:x}" for i in range(40)) for k in range(1500)]
+    assert sum(len(ids) for ids in ids_of.encode(texts)) > 4 * 60_000
+    taken = tracemalloc.get_traced_memory()[0] + pa.total_allocated_bytes() - held
+    tracemalloc.stop()
+    assert len(ids_of.known) > 55_000 and taken / len(ids_of.known) < 100
