@@ -19,6 +19,7 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import ahocorasick
 import numpy as np
@@ -28,7 +29,7 @@ import sentencepiece
 from pyspark.sql import DataFrame
 
 from tarmac.llm.encode import ID
-from tarmac.llm.remembered import begin, by_size, kept_for
+from tarmac.llm.remembered import Remembering, begin, by_size, kept_for
 
 AT_ONCE = 4_000_000  # bytes of text
 
@@ -66,13 +67,14 @@ def fields(raw: bytes) -> Iterator[tuple[int, int | bytes]]:
             at += size
 
 
-class Model:
+class Model(Remembering):
     """Encodes and decodes with one model file; remembers words, and which pieces fit each other."""
 
     LIMIT = 450_000
     PAIRS = 600_000
 
     def __init__(self, model_file: str | None = None, proto: bytes | None = None):
+        super().__init__()
         self.library = sentencepiece.SentencePieceProcessor(model_file=model_file, model_proto=proto)
         top = {}
         for field, value in fields(self.library.serialized_model_proto()):
@@ -97,8 +99,6 @@ class Model:
         self.unknown_score = min((self.scores[i] for i in plain), default=0.0) - UNKNOWN_PENALTY
         self.by_word = not any(BLANK in name.lstrip(BLANK) for name in self.ids)
         self.fits: dict[int, bool] = {}  # both pieces in one number
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
         byte_of = {i: b for b, i in self.bytes.items()}
         silent = {i for i in range(len(self.names)) if sp.is_control(i)}
         self.spelt = [
@@ -181,21 +181,21 @@ class Model:
         fit = self.fits[left << 32 | right] = parts == [a, b]
         return fit
 
+    def _units(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found = [self.search(word) for word in units]
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        return np.fromiter(chain.from_iterable(found), ID, int(sizes.sum())), sizes
+
     def encode(self, text: str | None) -> bytes:
         """Ids as bytes, little-endian unsigned 32-bit."""
-        normal = self.library.normalize(text or "")
-        words = _WORD.findall(normal) if self.by_word else [normal]
-        if len(self.known) > self.LIMIT:  # words that occur again come back from the older half
-            self.older, self.known = self.known, {}
-        known, older = self.known, self.older
-        long = {}
-        for word in set(words):
-            if word not in known:
-                ids = older[word] if word in older else np.array(self.search(word), ID).tobytes()
-                (known if len(word) <= 64 else long)[word] = ids
-        if long:
-            return b"".join([known[w] if w in known else long[w] for w in words])
-        return b"".join(map(known.__getitem__, words))
+        return self.encode_all([text])[0]
+
+    def encode_all(self, texts: list[str | None]) -> list[bytes]:
+        """The ids of each text, as bytes."""
+        normal = [self.library.normalize(text or "") for text in texts]
+        words = [_WORD.findall(n) for n in normal] if self.by_word else [[n] for n in normal]
+        coded = pa.array(list(chain.from_iterable(words)), pa.large_string()).dictionary_encode()
+        return self._of_texts(coded.dictionary, coded.indices.to_numpy(), np.cumsum([0, *map(len, words)]))
 
     def decode(self, ids: bytes) -> str:
         """The text that ids spell; bytes that are no characters become replacement marks."""
@@ -229,7 +229,7 @@ def spelt(docs: DataFrame, path: str) -> DataFrame:
         for batch in batches:
             texts = batch.column("text")
             for at, end in by_size(pc.fill_null(pc.binary_length(texts), 0).to_pylist(), AT_ONCE):
-                ids = [own.encode(t) for t in texts.slice(at, end - at).to_pylist()]
+                ids = own.encode_all(texts.slice(at, end - at).to_pylist())
                 spelled = pa.array([own.decode(i) for i in ids], pa.string())
                 doc_ids = batch.column("doc_id").slice(at, end - at)
                 yield pa.RecordBatch.from_arrays([doc_ids, pa.array(ids, pa.binary()), spelled], ["doc_id", "ids", "text"])
@@ -241,10 +241,12 @@ def encoded(docs: DataFrame, path: str) -> DataFrame:
     """doc_id and ``ids`` (bytes) of each row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = model(path).encode
+        own = model(path)
         for batch in batches:
-            ids = pa.array([encode(t) for t in batch.column("text").to_pylist()], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), ids], ["doc_id", "ids"])
+            texts = batch.column("text")
+            for at, end in by_size(pc.fill_null(pc.binary_length(texts), 0).to_pylist(), AT_ONCE):
+                ids = pa.array(own.encode_all(texts.slice(at, end - at).to_pylist()), pa.binary())
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(at, end - at), ids], ["doc_id", "ids"])
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, ids binary")
 

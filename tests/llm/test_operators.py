@@ -566,13 +566,32 @@ def test_a_step_updates_all_classes_at_once(monkeypatch):
         assert np.allclose(trainer.network.words[k], want, atol=2e-4)
 
 
-def test_remembered_units_take_little_memory():
-    ids_of = encode.Encoder(BPE, 0)
-    list(ids_of.encode(["a b"]))
+def memory_of_a_unit(remembering, encode_all):
+    encode_all(["a b"])
     tracemalloc.start()
     held = pa.total_allocated_bytes()
     texts = [" ".join(f"w{k * 40 + i:x}" for i in range(40)) for k in range(1500)]
-    assert sum(len(ids) for ids in ids_of.encode(texts)) > 4 * 60_000
+    assert sum(map(len, encode_all(texts))) > 4 * 60_000
     taken = tracemalloc.get_traced_memory()[0] + pa.total_allocated_bytes() - held
     tracemalloc.stop()
-    assert len(ids_of.known) > 55_000 and taken / len(ids_of.known) < 100
+    assert len(remembering.known) > 55_000
+    return taken / len(remembering.known)
+
+
+def test_remembered_units_take_little_memory():
+    ids_of = encode.Encoder(BPE, 0)
+    assert memory_of_a_unit(ids_of, lambda texts: list(ids_of.encode(texts))) < 100
+
+
+def test_remembered_words_take_little_memory():
+    model = pieces.Model(PIECES)
+    assert memory_of_a_unit(model, lambda texts: [model.encode(t) for t in texts]) < 130
+
+
+def test_pieces_of_many_texts_outlive_a_full_memory(monkeypatch):
+    monkeypatch.setattr(pieces.Model, "LIMIT", 50)
+    model, random = pieces.Model(PIECES), np.random.default_rng(8)
+    texts = [" ".join(random.choice(["the", "é漢", "in", f"w{k}", "x" * 70, "", "\n"], 30)) for k in range(300)] + ["", None]
+    found = model.encode_all(texts) + [i for k in range(0, 300, 7) for i in model.encode_all(texts[k : k + 7])]
+    assert found == [np.array(model.library.encode(t or ""), encode.ID).tobytes() for t in [*texts, *texts[:301]][: len(found)]]
+    assert len(model.known) < 150
