@@ -370,11 +370,12 @@ def _placed(docs: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
     of the texts that are not the smallest of their class."""
     rows = id_and_text(docs)
     signed = saved(rows.mapInArrow(_signed, "doc_id long, key binary, bands array<long>, lanes array<long>, bytes long"), "signatures")
-    numbered = signed.groupBy("key").agg(F.first("bands").alias("bands"), F.first("lanes").alias("lanes"), F.first("bytes").alias("bytes"))
+    numbered = signed.groupBy("key").agg(
+        F.first("bands").alias("bands"), F.first("lanes").alias("lanes"), F.first("bytes").alias("bytes"), F.count("*").alias("rows")
+    )
     distinct = saved(numbered.withColumn("node", F.monotonically_increasing_id()), "distinct-texts")
     nodes = saved(distinct.select("key", "node"), "nodes")
-    counts = signed.groupBy("key").agg(F.count("*").alias("rows"))
-    known = saved(nodes.join(counts, "key"), "node-counts")
+    known = distinct.select("key", "node", "rows")
     placed = saved(split_join(signed.select("doc_id", "key"), known, "key", F.col("rows") > HOT).drop("rows"), "placed")
 
     worded = distinct.where(F.col("bands").isNotNull()).select("node", "bands", "lanes", "bytes")
@@ -440,8 +441,10 @@ def _open_entries(met: DataFrame, groups: DataFrame) -> DataFrame:
 def _texts(rows: DataFrame, nodes: DataFrame, ends: DataFrame) -> DataFrame:
     """node and text of the nodes in ``ends``, each once: copies are collapsed before any of them travels far,
     as each task sends one of those it holds."""
-    wanted = saved(ends.distinct(), "wanted")
-    keys = saved(nodes.join(broadcast_if_few(wanted), "node"), "wanted-keys")
+    if ends.count() <= BROADCAST_ROWS:
+        keys = saved(nodes.join(F.broadcast(ends), "node", "left_semi"), "wanted-keys")
+    else:
+        keys = saved(nodes.join(saved(ends.distinct(), "wanted"), "node"), "wanted-keys")
     texts = rows.select(_digest().alias("key"), "text")
     if keys.count() > BROADCAST_ROWS:  # first one of each text, as the join deals them by text
         return saved(texts.groupBy("key").agg(F.first("text").alias("text")).join(keys, "key").select("node", "text"), "texts")

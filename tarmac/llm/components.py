@@ -2,7 +2,7 @@
 
 Links are pointed from the larger to the smaller node and rewired until every node points at the
 smallest of its component: in turns, each node's larger neighbours are linked to its smallest
-neighbour, then its smaller ones are. A node with very many links is never gathered: only minima
+neighbour, then its smaller ones are; when all links lead straight to such a node, that is the end. A node with very many links is never gathered: only minima
 are taken per node, and the joins can be split. Each round is stored, so no lineage grows.
 """
 
@@ -27,8 +27,7 @@ def components(links: DataFrame) -> DataFrame:
         .distinct(),
         "links",
     )
-    state = None
-    while True:
+    while not _stars(edges):
         # larger neighbours of a node go to its smallest one
         both = edges.unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
@@ -45,10 +44,19 @@ def components(links: DataFrame) -> DataFrame:
             .distinct(),
             "links",
         )
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if tuple(now) == state:
-            return edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
-        state = tuple(now)
+    return edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
+
+
+def _stars(edges: DataFrame) -> bool:
+    """Whether each node that is linked to a smaller one has one such link, and that one none."""
+    ends = F.explode(
+        F.array(
+            F.struct(F.col("a").alias("node"), F.lit(1).alias("links"), F.lit(0).alias("meant")),
+            F.struct(F.col("b").alias("node"), F.lit(0).alias("links"), F.lit(1).alias("meant")),
+        )
+    )
+    nodes = edges.select(ends.alias("e")).groupBy("e.node").agg(F.sum("e.links").alias("links"), F.max("e.meant").alias("meant"))
+    return not nodes.where((F.col("links") > 1) | ((F.col("links") > 0) & (F.col("meant") > 0))).count()
 
 
 def extended(groups: DataFrame, links: DataFrame) -> DataFrame:

@@ -595,3 +595,14 @@ def test_pieces_of_many_texts_outlive_a_full_memory(monkeypatch):
     found = model.encode_all(texts) + [i for k in range(0, 300, 7) for i in model.encode_all(texts[k : k + 7])]
     assert found == [np.array(model.library.encode(t or ""), encode.ID).tobytes() for t in [*texts, *texts[:301]][: len(found)]]
     assert len(model.known) < 150
+
+
+def test_links_that_are_stars_need_no_round(spark, monkeypatch):
+    stored, save = [], components.saved
+    monkeypatch.setattr(components, "saved", lambda df, name: stored.append(name) or save(df, name))
+    found = lambda links: sorted(map(tuple, components.components(spark.createDataFrame(links, "a long, b long")).collect()))
+    assert found([(2, 1), (1, 3), (3, 1), (5, 4), (6, 6), (None, 1)]) == [(2, 1), (3, 1), (5, 4)] and len(stored) == 1
+    assert found([]) == [] and len(stored) == 2
+    # a node with two smaller ones, and a path, take rounds
+    assert found([(3, 1), (3, 2)]) == [(2, 1), (3, 1)] and found([(3, 2), (2, 1)]) == [(2, 1), (3, 1)]
+    assert len(stored) == 6
