@@ -21,20 +21,18 @@ that repeat are scored as often. Other columns are left out.
 
 from __future__ import annotations
 
-from array import array
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.types import DataType
 
+from tarmac.llm.remembered import by_size, runs
 from tarmac.llm.store import saved
 from tarmac.llm.words import mixed
 
@@ -45,7 +43,11 @@ OTHERS = 256
 WIDTH = 32
 ROUNDS = 2
 BATCH = 2048
+AT_ONCE = 1 << 12  # places scored together, few enough for a processor's own memory
+BOUND = 60  # powers of e up to it, and their sums, are far from the largest number of 32 bits
+SHORT = 4  # rows of a run that are added along with those of others
 RATE = 0.1
+TEXT_BYTES = 2_000_000  # of texts whose words are told apart together
 PIECE = 1 << 14  # numbers of the model that travel in one row
 BLOCK_WORDS, BLOCK_PLACES = 100_000, 2_000_000  # distinct other words of a block, and places of such words, that end it
 SMOOTHING = 0.1  # added to the count of a word, and of one more that stands for those never seen
@@ -54,31 +56,41 @@ SMOOTHING = 0.1  # added to the count of a word, and of one more that stands for
 # --- Words -------------------------------------------------------------------------------
 
 
+class Words:
+    """The words of texts in lower case, text after text, as one column; between white space as ``str.split`` has it."""
+
+    def __init__(self, texts: list[str | None]):
+        parts = pc.utf8_split_whitespace(pa.array([(t or "").lower() for t in texts], pa.large_string()))
+        self.words, begins = parts.flatten(), parts.offsets.to_numpy().astype(np.int64)
+        # white space at either end of a text leaves an empty word there
+        empty = pc.equal(self.words, pa.scalar("", pa.large_string())).to_numpy(zero_copy_only=False)
+        if empty.any():
+            self.words = self.words.filter(pa.array(~empty))
+            begins -= np.concatenate([[0], np.cumsum(empty)])[begins]
+        self.begins = begins  # of each text, and the end
+
+    @classmethod
+    def of(cls, batch: pa.RecordBatch) -> Iterator[Words]:
+        """Of the texts of a batch, so many as have few bytes together."""
+        texts = batch.column("text")
+        for k, end in by_size([(n or 0) + 100 for n in pc.binary_length(texts).to_pylist()], TEXT_BYTES):
+            yield cls(texts.slice(k, end - k).to_pylist())
+
+
 def word_counts(docs: DataFrame) -> DataFrame:
     """word and times, over all documents; counted in each task before anything is sent."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: Counter = Counter()
         for batch in batches:
-            for text in batch.column("text").to_pylist():
-                if text:
-                    seen.update(text.lower().split())
-                if len(seen) > 500_000:
-                    yield _counts(seen)
-                    seen = Counter()
-        yield _counts(seen)
+            for texts in Words.of(batch):
+                seen = texts.words.value_counts()
+                yield pa.RecordBatch.from_arrays([seen.field("values").cast(pa.string()), seen.field("counts")], ["word", "times"])
 
     return (
         docs.select("text").mapInArrow(count, "word string, times long").groupBy("word").agg(F.sum("times").alias("times"))
     )
 
 
-def _counts(seen: Counter) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], ["word", "times"]
-    )
-
-
 @dataclass
 class Encoded:
     """``docs``: block, at (number in the block), doc_id and ``ids`` (bytes, 16 bits a word). ``rest``: block, at and the log shares of the document's other words, added up."""
@@ -87,61 +99,108 @@ class Encoded:
     rest: DataFrame
 
 
-class Block(dict):
-    """Word to id; words outside the vocabulary get numbers from VOCABULARY on, in the order they come."""
-
-    def __init__(self, words: dict[str, int], number: int):
-        super().__init__(words)
-        self.number = number
-        self.hashes, self.marks = array("q"), array("h")
-        self.places, self.sizes = array("i"), array("i")
-
-    def __missing__(self, word: str) -> int:
-        value = xxhash.xxh64_intdigest(word, 42)  # as the function xxhash64 of Spark
-        self.hashes.append(value - (1 << 64) if value >> 63 else value)
-        self.marks.append(VOCABULARY - OTHERS + value % OTHERS)
-        self[word] = VOCABULARY + len(self.marks) - 1
-        return self[word]
+class Block:
+    """Documents with a list of their distinct words outside the vocabulary, which get numbers from VOCABULARY on, in
+    the order they come."""
+
+    def __init__(self, vocabulary: pa.Array, number: int, words: int):
+        self.vocabulary, self.number, self.most = vocabulary, number, words
+        self.others = pa.array([], pa.large_string())
+        self.hashes, self.marks = np.empty(0, np.int64), np.empty(0, np.int16)
+        self.places, self.sizes = [], []
+
+    def encode(self, texts: Words, first: int) -> list[bytes]:
+        """Ids of the texts from the ``first`` on, up to the one that makes the block full."""
+        begins = texts.begins[first:] - texts.begins[first]
+        coded = texts.words.slice(texts.begins[first]).dictionary_encode()
+        distinct = coded.dictionary
+        numbers = _at(distinct, self.vocabulary)
+        known = _at(distinct, self.others)
+        numbers = np.where((numbers < 0) & (known >= 0), known + VOCABULARY, numbers)
+        new = np.flatnonzero(numbers < 0)
+        numbers[new] = VOCABULARY + len(self.others) + np.arange(len(new))
+        codes = numbers[coded.indices.to_numpy()]
+
+        other = codes >= VOCABULARY
+        places = np.concatenate([[0], np.cumsum(other)])[begins[1:]] + self.held()
+        # how many other words there are after each text: they are numbered as they come
+        most = np.maximum.accumulate(np.concatenate([[VOCABULARY + len(self.others) - 1], codes]))[begins[1:]] - VOCABULARY + 1
+        full = np.flatnonzero((most >= self.most) | (places >= BLOCK_PLACES))
+        taken = int(full[0]) + 1 if len(full) else len(begins) - 1
+        self.full = bool(len(full))
+
+        begins = begins[: taken + 1]
+        codes, other = codes[: begins[-1]], other[: begins[-1]]
+        self._add(distinct.take(pa.array(new[: most[taken - 1] - len(self.others)])))
+        self.places.append((codes[other] - VOCABULARY).astype(np.int32))
+        self.sizes.append(np.diff(np.concatenate([[0], np.cumsum(other)])[begins]).astype(np.int32))
+        codes[other] = self.marks[self.places[-1]]
+        raw, cuts = codes.astype(np.int16).tobytes(), (2 * begins).tolist()
+        return [raw[a:b] for a, b in zip(cuts, cuts[1:])]
+
+    def held(self) -> int:
+        return sum(map(len, self.places))
+
+    def texts(self) -> int:
+        return sum(map(len, self.sizes))
+
+    def _add(self, words: pa.Array) -> None:
+        # as the function xxhash64 of Spark
+        values = np.array([xxhash.xxh64_intdigest(word, 42) for word in words.to_numpy(zero_copy_only=False)], np.uint64)
+        self.others = pa.concat_arrays([self.others, words])
+        self.hashes = np.concatenate([self.hashes, values.view(np.int64)])
+        marks = values % np.uint64(OTHERS) + np.uint64(VOCABULARY - OTHERS)
+        self.marks = np.concatenate([self.marks, marks.astype(np.int16)])
+
+    def closed(self) -> pa.RecordBatch:
+        """The row that tells of the block itself."""
+        places, sizes = (np.concatenate([np.empty(0, np.int32), *x]).tobytes() for x in (self.places, self.sizes))
+        row = {"block": [self.number], "hashes": [self.hashes], "places": [places], "sizes": [sizes]}
+        return _rows_of(row, 1)
+
+
+def _at(words: pa.Array, known: pa.Array) -> np.ndarray:
+    """Where the words are among those known, -1 for none."""
+    return pc.fill_null(pc.index_in(words, value_set=known), -1).to_numpy().astype(np.int64)
 
-    def encode(self, text: str) -> bytes:
-        codes = np.fromiter(map(self.__getitem__, text.lower().split()), np.int32)
-        other = np.flatnonzero(codes >= VOCABULARY)
-        numbers = codes[other] - VOCABULARY
-        self.places.frombytes(numbers.tobytes())
-        self.sizes.append(len(numbers))
-        if len(numbers):
-            codes[other] = np.frombuffer(self.marks, np.int16)[numbers]
-        return codes.astype(np.int16).tobytes()
 
-    def full(self, words: int) -> bool:
-        return len(self.hashes) >= words or len(self.places) >= BLOCK_PLACES
+ENCODED = "block long, at int, doc_id long, ids binary, hashes array<long>, places binary, sizes binary"
+_FIELDS = pa.schema(
+    {"block": pa.int64(), "at": pa.int32(), "doc_id": pa.int64(), "ids": pa.binary()}
+    | {"hashes": pa.list_(pa.int64()), "places": pa.binary(), "sizes": pa.binary()}
+)
 
 
-ENCODED = "block long, at int, doc_id long, ids binary, hashes array<long>, places binary, sizes binary"
+def _rows_of(columns: dict, n: int) -> pa.RecordBatch:
+    """``n`` rows of ENCODED; columns that aren't given are null."""
+    return pa.RecordBatch.from_arrays(
+        [pa.array(columns[f.name], f.type) if f.name in columns else pa.nulls(n, f.type) for f in _FIELDS], schema=_FIELDS
+    )
 
 
 def encoded(docs: DataFrame, words: dict[str, int], block_words: int = BLOCK_WORDS) -> tuple[DataFrame, DataFrame]:
     """The documents as in ``Encoded``, and the blocks: the hashes of their distinct other words, at which of
     these each place of such a word points, and how many places each document has. Both stored."""
-    held = docs.sparkSession.sparkContext.broadcast(words)
-    schema = to_arrow_schema(DataType.fromDDL(ENCODED))
+    held = docs.sparkSession.sparkContext.broadcast(sorted(words, key=words.get))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, rows = Block(held.value, TaskContext.get().partitionId() << 32), []
-
-        def closed() -> dict:
-            return {"block": block.number, "hashes": block.hashes.tolist(), "places": block.places.tobytes(), "sizes": block.sizes.tobytes()}
-
+        vocabulary = pa.array(held.value, pa.large_string())
+        block = Block(vocabulary, TaskContext.get().partitionId() << 32, block_words)
         for batch in batches:
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-                rows.append({"block": block.number, "at": len(block.sizes), "doc_id": doc_id, "ids": block.encode(text or "")})
-                if block.full(block_words):
-                    yield pa.RecordBatch.from_pylist([*rows, closed()], schema)
-                    block, rows = Block(held.value, block.number + 1), []
-            if rows:
-                yield pa.RecordBatch.from_pylist(rows, schema)
-                rows = []
-        yield pa.RecordBatch.from_pylist([closed()], schema)
+            doc_ids, done = batch.column("doc_id"), 0
+            for texts in Words.of(batch):
+                first = 0
+                while first < len(texts.begins) - 1:
+                    at, ids = block.texts(), block.encode(texts, first)
+                    n = len(ids)
+                    numbers = np.arange(at, at + n, dtype=np.int32)
+                    row = {"block": np.full(n, block.number), "at": numbers, "doc_id": doc_ids.slice(done, n), "ids": ids}
+                    yield _rows_of(row, n)
+                    first, done = first + n, done + n
+                    if block.full:
+                        yield block.closed()
+                        block = Block(vocabulary, block.number + 1, block_words)
+        yield block.closed()
 
     table = saved(docs.select("doc_id", "text").mapInArrow(run, ENCODED), "word-ids")
     blocks = table.where("sizes is not null").select("block", "hashes", "places", "sizes")
@@ -247,9 +306,10 @@ class Network:
 
     def hidden(self, near: np.ndarray) -> np.ndarray:
         """Activations for rows of neighbours, with a 1 at the end for the biases."""
-        total = self.bias + self.around[0][near[:, 0]]
+        total = self.around[0].take(near[:, 0], axis=0)
+        total += self.bias
         for k in range(1, near.shape[1]):
-            total += self.around[k][near[:, k]]
+            total += self.around[k].take(near[:, k], axis=0)
         out = np.ones((len(near), WIDTH + 1), np.float32)
         np.tanh(total, out=out[:, :WIDTH])
         return out
@@ -259,7 +319,7 @@ class Network:
         group, member = np.divmod(target, CLASS_SIZE)
         out = _log_chosen(h @ self.classes.T, group)
         order, edges = _by_class(group)
-        h, within = h[order], np.empty((len(h), CLASS_SIZE), np.float32)
+        h, within = h.take(order, axis=0), np.empty((len(h), CLASS_SIZE), np.float32)
         for k, a, b in edges:
             np.matmul(h[a:b], self.words[k].T, out=within[a:b])
         out[order] += _log_chosen(within, member[order])
@@ -274,22 +334,52 @@ def _by_class(group: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]
     return order, [(k, a, b) for k, (a, b) in enumerate(zip(edges, edges[1:])) if a < b]
 
 
+def _bounded(x: np.ndarray) -> np.ndarray:
+    """``x`` such that no power of e leaves the range of the numbers: rows less their largest, where that is needed."""
+    if x.size and not (x.max() < BOUND and x.min() > -BOUND):
+        x -= x.max(axis=1, keepdims=True)
+    return x
+
+
+def _row_sums(x: np.ndarray) -> np.ndarray:
+    return x @ np.ones(x.shape[1], x.dtype)
+
+
+def _places(x: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+    """Where the one place of each row is in the flat array."""
+    return np.arange(0, x.size, x.shape[1]) + chosen
+
+
 def _log_chosen(x: np.ndarray, chosen: np.ndarray) -> np.ndarray:
     """Log of the softmax of each row at one place; overwrites ``x``."""
-    x -= x.max(axis=1, keepdims=True)
-    out = x[np.arange(len(x)), chosen]
-    return out - np.log(np.exp(x, out=x).sum(axis=1))
+    out = _bounded(x).reshape(-1).take(_places(x, chosen))
+    return out - np.log(_row_sums(np.exp(x, out=x)))
 
 
 def _error(x: np.ndarray, chosen: np.ndarray, n: int) -> np.ndarray:
     """Gradient of the mean loss over ``n`` rows: softmax of each row, less 1 at one place; overwrites ``x``."""
-    x -= x.max(axis=1, keepdims=True)
-    np.exp(x, out=x)
-    x /= x.sum(axis=1, keepdims=True) * np.float32(n)
-    x[np.arange(len(x)), chosen] -= np.float32(1 / n)
+    np.exp(_bounded(x), out=x)
+    x *= (1 / (_row_sums(x) * np.float32(n)))[:, None]
+    x.reshape(-1)[_places(x, chosen)] -= np.float32(1 / n)
     return x
 
 
+def _sums(rows: np.ndarray, begins: np.ndarray) -> np.ndarray:
+    """Sums of runs of rows, each from its beginning to the next. Most runs are of a few rows: the first ones of all
+    runs are added at once, then what is left of longer runs."""
+    sizes = np.diff(begins, append=len(rows))
+    out = rows.take(begins, axis=0)
+    longer = np.flatnonzero(sizes > 1)
+    for step in range(1, SHORT):
+        out[longer] = out.take(longer, axis=0) + rows.take(begins[longer] + step, axis=0)
+        longer = longer[sizes[longer] > step + 1]
+    if len(longer):
+        left = sizes[longer] - SHORT
+        rest = rows.take(runs(begins[longer] + SHORT, left), axis=0)
+        out[longer] += np.add.reduceat(rest, np.cumsum(left) - left)
+    return out
+
+
 class Trainer:
     """Adaptive gradient steps on one copy of a network."""
 
@@ -297,12 +387,22 @@ class Trainer:
         self.network = network
         self.grown = [np.full(s, 1e-6, np.float32) for s in Network.SHAPES]
 
-    def _step(self, part: np.ndarray, grown: np.ndarray, at, change: np.ndarray) -> None:
-        sums = grown[at] + change * change
-        grown[at] = sums
-        change = RATE * change
-        change /= np.sqrt(sums, out=sums)
-        part[at] -= change
+    def _step(self, part: np.ndarray, grown: np.ndarray, at: np.ndarray | None, change: np.ndarray) -> None:
+        """Overwrites ``change``; without ``at`` it is of the whole part."""
+        sums = change * change
+        if at is None:
+            grown += sums
+            np.sqrt(grown, out=sums)
+        else:
+            sums += grown.take(at, axis=0)
+            grown[at] = sums
+            np.sqrt(sums, out=sums)
+        change /= sums
+        change *= np.float32(RATE)
+        if at is None:
+            part -= change
+        else:
+            part[at] = np.subtract(part.take(at, axis=0), change, out=change)
 
     def learn(self, near: np.ndarray, target: np.ndarray) -> None:
         net, n = self.network, len(target)
@@ -311,7 +411,7 @@ class Trainer:
         off = _error(h @ net.classes.T, group, n)
         back = off @ net.classes
         order, edges = _by_class(group)
-        own, within = h[order], np.empty((n, CLASS_SIZE), np.float32)
+        own, within = h.take(order, axis=0), np.empty((n, CLASS_SIZE), np.float32)
         for k, a, b in edges:
             np.matmul(own[a:b], net.words[k].T, out=within[a:b])
         within, more = _error(within, member[order], n), np.empty_like(own)
@@ -319,17 +419,21 @@ class Trainer:
         for i, (k, a, b) in enumerate(edges):
             np.matmul(within[a:b], net.words[k], out=more[a:b])
             np.matmul(within[a:b].T, own[a:b], out=change[i])
-        back[order] += more
-        self._step(net.words, self.grown[3], [k for k, _, _ in edges] if len(edges) < CLASSES else slice(None), change)
-        self._step(net.classes, self.grown[2], slice(None), off.T @ h)
-        inner = back[:, :WIDTH] * (1 - h[:, :WIDTH] ** 2)
-        self._step(net.bias, self.grown[1], slice(None), inner.sum(axis=0))
+        place = np.empty(n, np.int64)
+        place[order] = np.arange(n)
+        back += more.take(place, axis=0)
+        self._step(net.words, self.grown[3], np.array([k for k, _, _ in edges]) if len(edges) < CLASSES else None, change)
+        self._step(net.classes, self.grown[2], None, off.T @ h)
+        inner = h[:, :WIDTH] * h[:, :WIDTH]
+        np.subtract(np.float32(1), inner, out=inner)
+        inner *= back[:, :WIDTH]
+        self._step(net.bias, self.grown[1], None, inner.sum(axis=0))
         for place in range(near.shape[1]):
             column = np.ascontiguousarray(near[:, place])
             order = np.argsort(column, kind="stable")
             column = column[order]
             first = np.flatnonzero(np.concatenate([[True], column[1:] != column[:-1]]))
-            self._step(net.around[place], self.grown[0][place], column[first], np.add.reduceat(inner[order], first))
+            self._step(net.around[place], self.grown[0][place], column[first], _sums(inner.take(order, axis=0), first))
 
 
 # --- Training and scoring in Spark -------------------------------------------------------
@@ -430,8 +534,8 @@ def scored(rows: Encoded, flat: np.ndarray) -> DataFrame:
                 ids, sizes = _joined(held[k : k + 200])
                 near = windows(ids, sizes)
                 logs = np.empty(len(ids))
-                for b in range(0, len(ids), 1 << 15):
-                    logs[b : b + (1 << 15)] = network.log_probabilities(near[b : b + (1 << 15)], ids[b : b + (1 << 15)])
+                for b in range(0, len(ids), AT_ONCE):
+                    logs[b : b + AT_ONCE] = network.log_probabilities(near[b : b + AT_ONCE], ids[b : b + AT_ONCE])
                 owner = np.repeat(np.arange(len(sizes)), sizes)
                 given = [batch.column(c).slice(k, len(sizes)) for c in ("block", "at", "doc_id")]
                 yield pa.RecordBatch.from_arrays(

@@ -606,3 +606,44 @@ def test_links_that_are_stars_need_no_round(spark, monkeypatch):
     # a node with two smaller ones, and a path, take rounds
     assert found([(3, 1), (3, 2)]) == [(2, 1), (3, 1)] and found([(3, 2), (2, 1)]) == [(2, 1), (3, 1)]
     assert len(stored) == 6
+
+
+def test_words_in_columns_are_those_of_split_and_fill_blocks():
+    odd = ["", "  ", None, "a  b\x1cc\x85d e　", " İß ΑΣ a", "b b a b", "one two three four"] * 3
+    want = [(t or "").lower().split() for t in odd]
+    texts = language_model.Words(odd)
+    words = texts.words.to_pylist()
+    assert [words[a:b] for a, b in zip(texts.begins, texts.begins[1:])] == want
+    # words of the vocabulary keep their numbers; a block ends with the text that brings its third other word
+    vocabulary, first, blocks, ids = pa.array(["a", "b"], pa.large_string()), 0, [], []
+    while first < len(odd):
+        block = language_model.Block(vocabulary, len(blocks), 3)
+        while first < len(odd) and not (block.texts() and block.full):
+            ids += block.encode(texts, first)
+            first = len(ids)
+        blocks.append(block)
+    assert len(ids) == len(odd) and [len(i) // 2 for i in ids] == list(map(len, want))
+    told = [w for b in blocks for w in b.others.to_pylist()]
+    assert set(told) == {w for t in want for w in t} - {"a", "b"} and all(len(b.others) >= 3 for b in blocks[:-1])
+    mark = {w: language_model.VOCABULARY - language_model.OTHERS + language_model.xxhash.xxh64_intdigest(w, 42) % language_model.OTHERS for w in told}
+    assert np.frombuffer(b"".join(ids), np.int16).tolist() == [{"a": 0, "b": 1}.get(w, mark.get(w)) for t in want for w in t]
+    at = 0
+    for block in blocks:
+        sizes = np.concatenate(block.sizes).tolist()
+        others = [w for t in want[at : at + len(sizes)] for w in t if w not in ("a", "b")]
+        assert [block.others[k].as_py() for k in np.concatenate(block.places).tolist()] == others
+        at += len(sizes)
+
+
+def test_runs_of_rows_and_softmax_without_their_largest():
+    random = np.random.default_rng(8)
+    sizes = np.array([1, 1, 2, 9, 1, 4, 5, 300, 3, 1])
+    rows, begins = random.normal(size=(sizes.sum(), 3)).astype(np.float32), np.cumsum(sizes) - sizes
+    assert np.allclose(language_model._sums(rows, begins), np.add.reduceat(rows, begins), atol=1e-4)
+    for x in ([[1.0, -2.0, 0.5]], [[300.0, -300.0, 299.0], [-200.0, -201.0, -250.0]]):
+        x = np.array(x, np.float32)
+        powers = np.exp(x - x.max(axis=1, keepdims=True))
+        share, chosen = powers / powers.sum(axis=1, keepdims=True), np.full(len(x), 2)
+        assert np.allclose(language_model._log_chosen(x.copy(), chosen), (x - x.max(axis=1, keepdims=True))[:, 2] - np.log(powers.sum(axis=1)))
+        share[:, 2] -= 1
+        assert np.allclose(language_model._error(x.copy(), chosen, 4), share / 4, atol=1e-6)
