@@ -241,7 +241,7 @@ def verified(pairs: DataFrame, rows: DataFrame, threshold: float = THRESHOLD) ->
     """
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        begin("words")
+        begin("word bags")  # what signing took goes back first
         last: dict[int, tuple] = {}
         held = 0
         for batch in batches:
@@ -280,7 +280,7 @@ def verified_jobs(jobs: DataFrame, rows: DataFrame, nodes: DataFrame, threshold:
     """
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        begin("words")
+        begin("word bags")  # what signing took goes back first
         held: dict[int, tuple] = {}  # bags of one job
         for batch in batches:
             texts = batch.column("text")

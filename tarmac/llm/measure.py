@@ -7,6 +7,8 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 
+from tarmac.llm.remembered import begin
+
 BLANKS = b" \t\n\r\x0b\x0c"  # what separates words
 SYMBOLS = b"#*$%&|<>"
 
@@ -67,6 +69,7 @@ def repeated_words(words: list[bytes]) -> int:
 
 def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """doc_id and the counts, for batches of doc_id and text."""
+    begin("measures")
     for batch in batches:
         rows = [measure(t.as_py()) for t in batch.column("text")]
         columns = list(zip(*rows)) or [()] * len(COUNTS)

@@ -79,6 +79,7 @@ def symbols(text: str) -> np.ndarray:
 
 
 def _trigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    begin("toxicity")
     total = np.zeros(N_SYMBOLS**3, np.int64)
     for batch in batches:
         texts = batch.column("text").to_pylist()

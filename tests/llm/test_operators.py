@@ -1,6 +1,8 @@
 """The numbered operators against brute force, the libraries, and awkward tables."""
 
 import re
+import subprocess
+import sys
 import time
 import tracemalloc
 import zlib
@@ -647,3 +649,34 @@ def test_runs_of_rows_and_softmax_without_their_largest():
         assert np.allclose(language_model._log_chosen(x.copy(), chosen), (x - x.max(axis=1, keepdims=True))[:, 2] - np.log(powers.sum(axis=1)))
         share[:, 2] -= 1
         assert np.allclose(language_model._error(x.copy(), chosen, 4), share / 4, atol=1e-6)
+
+
+@pytest.mark.skipif(sys.platform != "linux", reason="reads the memory of a process from /proc")
+def test_a_process_gives_back_what_another_operator_took():
+    script = """
+import re
+import numpy as np, pyarrow as pa
+from tarmac.llm import bagminhash, measure, remembered, toxicity
+
+def megabytes():
+    return int(re.search(r"Pss_Anon:\\s+(\\d+)", open("/proc/self/smaps_rollup").read()).group(1)) / 1024
+
+rows = pa.RecordBatch.from_pydict({"doc_id": [1], "text": ["a b c d e f"]})
+kept = []
+remembered.kept_for("first", kept.clear)
+for work in (toxicity._trigrams, measure.measured, bagminhash._signed):
+    remembered.begin("first")
+    bare = megabytes()
+    for _ in range(20_000):
+        kept += [np.ones(1000), pa.array(range(100))]
+    end = np.ones(1000)  # what is freed before it is no longer the end of the memory
+    full = megabytes()
+    list(work(iter([rows])))
+    print(bare, full, megabytes())
+"""
+    done = subprocess.run([sys.executable, "-c", script], capture_output=True, text=True, timeout=120, cwd=corpus_pipeline.__file__.rsplit("/", 1)[0])
+    assert not done.returncode, done.stderr
+    for line in done.stdout.splitlines():
+        bare, full, after = map(float, line.split())
+        assert full - bare > 100 and after - bare < 0.3 * (full - bare)
+    assert len(done.stdout.splitlines()) == 3
