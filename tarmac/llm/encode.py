@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from tarmac.llm.remembered import Remembering, begin, kept_for, runs
+from tarmac.llm.remembered import Remembering, begin, give_back, kept_for, runs
 
 ID = np.dtype("<u4")
 
@@ -92,6 +92,7 @@ class Encoder(Remembering):
             if size >= self.AT_ONCE:
                 yield from self._encode(part)
                 part, size = [], 0
+                give_back()  # a part takes many times its size while its units are told apart
         yield from self._encode(part)
 
     def _encode(self, texts: list[str]) -> Iterator[bytes]:

@@ -34,12 +34,12 @@ def begin(operator: str) -> None:
             if other != operator:
                 for clear in clears:
                     clear()
-        _give_back()
+        gc.collect()
+        give_back()
 
 
-def _give_back() -> None:
+def give_back() -> None:
     """Returns free memory of this process, Python's and Arrow's, to the machine."""
-    gc.collect()
     pa.default_memory_pool().release_unused()
     if sys.platform == "linux" and hasattr(libc := ctypes.CDLL(None), "malloc_trim"):
         libc.malloc_trim(0)

@@ -680,3 +680,13 @@ for work in (toxicity._trigrams, measure.measured, bagminhash._signed):
         bare, full, after = map(float, line.split())
         assert full - bare > 100 and after - bare < 0.3 * (full - bare)
     assert len(done.stdout.splitlines()) == 3
+
+
+def test_memory_goes_back_after_each_part_that_is_encoded(monkeypatch):
+    texts = ["some words of a text, and more"] * 10
+    given = encode.Encoder(BPE, 2)
+    want = list(given.encode(texts))
+    back = []
+    monkeypatch.setattr(given, "AT_ONCE", 100)
+    monkeypatch.setattr(encode, "give_back", lambda: back.append(1))
+    assert list(given.encode(texts)) == want and len(back) == 2
